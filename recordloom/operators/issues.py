@@ -32,7 +32,8 @@ PARSE_EXCEPTION = "PARSE_EXCEPTION"
 MISSING_RESOURCE_MESSAGE = "Missing /oai_datacite/payload/resource element"
 ERROR_CONTEXT = "parse_record_file"
 
-_NO_ID = F.lit(None).cast("string")
+def _no_id() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _none() -> Column:
@@ -185,7 +186,7 @@ def warnings(record_id: Column) -> Column:
             KNOWN_ROOT_CHILDREN,
             "UNHANDLED_ROOT_CHILD",
             "root",
-            _NO_ID,
+            _no_id(),
             F.lit("/oai_datacite"),
         ),
         _unknown_children(
@@ -193,17 +194,17 @@ def warnings(record_id: Column) -> Column:
             KNOWN_RESOURCE_CHILDREN,
             "UNHANDLED_RESOURCE_CHILD",
             "resource",
-            _NO_ID,
+            _no_id(),
             F.lit("/oai_datacite/payload/resource"),
         ),
         _unknown_attributes(
-            F.col("identifier.attrs"), "identifier", _NO_ID, F.lit("/resource/identifier")
+            F.col("identifier.attrs"), "identifier", _no_id(), F.lit("/resource/identifier")
         ),
         _element_attributes(
             "alternate_identifiers",
             "alternateIdentifier",
             "/resource/alternateIdentifiers/alternateIdentifier",
-            _NO_ID,
+            _no_id(),
         ),
         _element_attributes("titles", "title", "/resource/titles/title", record_id),
         _per_item(
@@ -255,7 +256,7 @@ def issues_table(judged: DataFrame) -> DataFrame:
                 F.lit("ERROR").alias("severity"),
                 F.col("error_code").alias("code"),
                 F.col("error_message").alias("message"),
-                _NO_ID.alias("record_id"),
+                _no_id().alias("record_id"),
                 F.lit(ERROR_CONTEXT).alias("context"),
             )
         ),

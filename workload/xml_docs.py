@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from recordloom.schemas import ENVELOPE_NS, KERNEL_NS
 from recordloom.session import spread
 
-_K = F.col("k")
+def _k() -> Column:
+    return F.col("k")
 
 
 def _every(n: int, remainder: int = 0) -> Column:
-    return F.pmod(_K, F.lit(n)) == remainder
+    return F.pmod(_k(), F.lit(n)) == remainder
 
 
 def _escape(value: Column) -> Column:
@@ -45,19 +46,19 @@ def _repeat(count: Column, item: Callable[[Column], Column]) -> Column:
 
 def _creator(i: Column) -> Column:
     identifier = _repeat(
-        F.pmod(_K + i, F.lit(4)),
+        F.pmod(_k() + i, F.lit(4)),
         lambda j: _text(
             '<nameIdentifier nameIdentifierScheme="ORCID" schemeURI="https://orcid.example">',
-            "ID-", _K, "-", i, "-", j, "</nameIdentifier>",
+            "ID-", _k(), "-", i, "-", j, "</nameIdentifier>",
         ),
     )
     affiliation = _repeat(
-        F.pmod(_K + i, F.lit(3)),
+        F.pmod(_k() + i, F.lit(3)),
         lambda a: _text(
             "<affiliation",
             F.when(
                 a == 1,
-                _text(' affiliationIdentifier="ror:', _K, '" affiliationIdentifierScheme="ROR"'),
+                _text(' affiliationIdentifier="ror:', _k(), '" affiliationIdentifierScheme="ROR"'),
             ).otherwise(F.lit("")),
             ">Dept ", a, " of ", F.col("nation"), "</affiliation>",
         ),
@@ -98,7 +99,7 @@ def _titles() -> Column:
         "<titles><title",
         _if(_every(6), ' xml:lang="en"'),
         _if(_every(13), ' extra="q"'),
-        ">  ", F.col("priority"), "\n  order   ", _K, " </title>",
+        ">  ", F.col("priority"), "\n  order   ", _k(), " </title>",
         _if(
             _every(2),
             '<title titleType="Subtitle">status <i>', F.col("status"), "</i>\n<![CDATA[<b>]]></title>",
@@ -110,7 +111,7 @@ def _titles() -> Column:
 def _dates() -> Column:
     day = F.date_format("order_date", "yyyy-MM-dd")
     month = F.date_format("order_date", "yyyy-MM")
-    updated = F.date_add(F.col("order_date"), F.pmod(_K, F.lit(30)).cast("int"))
+    updated = F.date_add(F.col("order_date"), F.pmod(_k(), F.lit(30)).cast("int"))
     return _text(
         "<dates>",
         _if(_every(11), '<date dateType="Issued"> </date>'),
@@ -140,7 +141,7 @@ def _related(i: Column) -> Column:
     return _text(
         '<relatedIdentifier relatedIdentifierType="DOI" relationType="',
         F.when(i == 1, F.lit("References")).otherwise(F.lit("IsPartOf")),
-        '">10.2/', _K + i, "</relatedIdentifier>",
+        '">10.2/', _k() + i, "</relatedIdentifier>",
     )
 
 
@@ -151,8 +152,8 @@ def _alternate_identifiers() -> Column:
     end = "</alternateIdentifier>"
     return _text(
         "<alternateIdentifiers>",
-        _if(_every(3, 0), url, _K, end, oai, _K + 1000000, end),
-        _if(_every(3, 1), url, _K, "/files", end, oai, _K, end),
+        _if(_every(3, 0), url, _k(), end, oai, _k() + 1000000, end),
+        _if(_every(3, 1), url, _k(), "/files", end, oai, _k(), end),
         "</alternateIdentifiers>",
     )
 
@@ -160,9 +161,9 @@ def _alternate_identifiers() -> Column:
 def _resource() -> Column:
     return _text(
         f'<resource xmlns="{KERNEL_NS}">',
-        '<identifier identifierType="DOI">10.1/', _K, "</identifier>",
+        '<identifier identifierType="DOI">10.1/', _k(), "</identifier>",
         _alternate_identifiers(),
-        "<creators>", _repeat(F.pmod(_K, F.lit(4)), _creator), "</creators>",
+        "<creators>", _repeat(F.pmod(_k(), F.lit(4)), _creator), "</creators>",
         _titles(),
         "<publisher>", F.col("nation"), " Press</publisher>",
         "<publicationYear>",
@@ -172,9 +173,9 @@ def _resource() -> Column:
         '<resourceType resourceTypeGeneral="', F.when(_every(2), F.lit("Dataset")).otherwise(F.lit("Text")),
         '">Data of ', F.col("status"), "</resourceType>",
         _contributor(),
-        "<subjects>", _repeat(F.pmod(_K, F.lit(5)), _subject), "</subjects>",
+        "<subjects>", _repeat(F.pmod(_k(), F.lit(5)), _subject), "</subjects>",
         _dates(),
-        "<relatedIdentifiers>", _repeat(F.pmod(_K + 1, F.lit(3)), _related), "</relatedIdentifiers>",
+        "<relatedIdentifiers>", _repeat(F.pmod(_k() + 1, F.lit(3)), _related), "</relatedIdentifiers>",
         '<rightsList><rights xml:lang="en" rightsIdentifier="lic">Some licence</rights>',
         '<rights rightsURI="info:eu-repo/semantics/',
         F.when(F.col("status") == "F", F.lit("openAccess")).otherwise(F.lit("restrictedAccess")),
@@ -182,7 +183,7 @@ def _resource() -> Column:
         '<descriptions><description descriptionType="Abstract">',
         _escape(F.concat(F.lit("<p>"), F.col("segment"), F.lit("</p>"))),
         "</description></descriptions>",
-        _if(_every(2, 1), "<version>v", F.pmod(_K, F.lit(10)), "</version>"),
+        _if(_every(2, 1), "<version>v", F.pmod(_k(), F.lit(10)), "</version>"),
         _if(_every(25), "<fundingReferences><f/></fundingReferences>"),
         "</resource>",
     )
@@ -219,7 +220,7 @@ def build_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         "</payload>",
         _if(~_every(97), "</oai_datacite>"),
     )
-    name = F.when(_every(3, 2), _text(_K, ".xml")).otherwise(_text("doc-", _K, ".xml"))
+    name = F.when(_every(3, 2), _text(_k(), ".xml")).otherwise(_text("doc-", _k(), ".xml"))
     return rows.select(
         F.concat(F.lit("/xml/"), name).alias("path"),
         name.alias("file_name"),
