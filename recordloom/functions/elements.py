@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from recordloom.functions.text import normalize_text
+from recordloom.functions.text import has_text, normalize_text
 
 
 def attribute(element: Column, name: str) -> Column:
@@ -38,7 +38,7 @@ def first_with_text(array: Column, attr: str, value: str) -> Column:
     A blank match does not end the search: the next match gets its turn.
     """
     return first_where(
-        array, lambda e: (attribute(e, attr) == value) & text_of(e).isNotNull()
+        array, lambda e: (attribute(e, attr) == value) & has_text(e["text"])
     )
 
 

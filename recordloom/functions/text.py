@@ -8,18 +8,29 @@ from recordloom.schemas import XML_NS
 
 # Fixed value: the code points Unicode-aware regex engines call whitespace. Java's
 # own \s is ASCII only and its (?U) form leaves out U+001C to U+001F.
-WHITESPACE = (
-    r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A"
-    r"\u2028\u2029\u202F\u205F\u3000]"
+_WHITESPACE_CODES = (
+    r"\t\n\x0B\f\r\x1C\x1D\x1E\x1F\x20\x85\xA0"
+    r"\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 )
+WHITESPACE = f"[{_WHITESPACE_CODES}]"
+NOT_WHITESPACE = f"[^{_WHITESPACE_CODES}]"
+
+# A whitespace run that is not already one plain space. Most texts have none, and
+# Spark then returns the input as it is instead of building a new string.
+_IRREGULAR_RUN = rf"{WHITESPACE}(?:{WHITESPACE}+|(?<=[^ ]))"
 
 
 def normalize_text(value: Column) -> Column:
     """Collapse whitespace runs to one space and strip; empty text becomes null."""
-    collapsed = F.regexp_replace(value, WHITESPACE + "+", " ")
+    collapsed = F.regexp_replace(value, _IRREGULAR_RUN, " ")
     return F.nullif(F.trim(collapsed), F.lit(""))
 
 
+def has_text(value: Column) -> Column:
+    """Whether ``normalize_text`` would leave anything; cheaper than doing it."""
+    return value.rlike(NOT_WHITESPACE)
+
+
 def safe_int(value: Column) -> Column:
     """Base-10 integer or null: optional sign, single ``_`` between digits allowed.
 

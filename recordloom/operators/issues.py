@@ -289,39 +289,39 @@ def issues_table(judged: DataFrame) -> DataFrame:
     ).select(table_columns("issues"))
 
 
-def judge(shredded: DataFrame, record_id: Column, strict: bool = False) -> DataFrame:
+def judge(
+    shredded: DataFrame, record_id: Column, strict: bool = False, report: bool = True
+) -> DataFrame:
     """Add ``warnings``, ``error_code``, ``error_message`` and ``record_id``.
 
     In strict mode a document's first warning also fails the document and its later
-    warnings are not reported. Warnings found before a failure stay.
+    warnings are not reported. Warnings found before a failure stay. Without
+    ``report`` there is no ``warnings`` column, and none are looked for.
     """
-    found = shredded.withColumn("warnings", warnings(record_id))
-    if strict:
-        found = found.withColumn("warnings", F.slice("warnings", 1, 1))
-        strict_message = F.try_element_at("warnings", F.lit(1))["strict_message"]
-    else:
-        strict_message = F.lit(None).cast("string")
+    # A column of its own: the warnings mention the id in many places.
+    found = shredded.withColumn("own_id", record_id)
+    own_id = F.col("own_id")
     message = (
         F.when(
-            F.col("is_missing"),
-            F.concat(F.lit("No such file or directory: "), F.col("path")),
+            F.col("is_missing"), F.concat(F.lit("No such file or directory: "), F.col("path"))
         )
         .when(F.col("parser_error").isNotNull(), F.col("parser_error"))
-        .when(strict_message.isNotNull(), strict_message)
-        .when(~F.col("has_resource"), F.lit(MISSING_RESOURCE_MESSAGE))
     )
-    return (
-        found.withColumn("error_message", message)
-        .withColumn(
-            "error_code",
-            F.when(F.col("is_missing"), F.lit(MISSING_INPUT_FILE)).when(
-                F.col("error_message").isNotNull(), F.lit(PARSE_EXCEPTION)
-            ),
-        )
-        .withColumn(
-            "record_id",
-            F.when(F.col("error_code").isNull(), record_id).otherwise(
-                file_name_record_id(F.col("file_name"))
-            ),
-        )
+    if strict:
+        first = F.slice(warnings(own_id), 1, 1)
+        found = found.withColumn("warnings", first)
+        strict_message = F.try_element_at("warnings", F.lit(1))["strict_message"]
+        message = message.when(strict_message.isNotNull(), strict_message)
+    elif report:
+        found = found.withColumn("warnings", warnings(own_id))
+    message = message.when(~F.col("has_resource"), F.lit(MISSING_RESOURCE_MESSAGE))
+    error_code = F.when(F.col("is_missing"), F.lit(MISSING_INPUT_FILE)).when(
+        F.col("error_message").isNotNull(), F.lit(PARSE_EXCEPTION)
+    )
+    settled_id = F.when(F.col("error_message").isNull(), own_id).otherwise(
+        file_name_record_id(F.col("file_name"))
+    )
+    judged = found.withColumn("error_message", message).withColumns(
+        {"error_code": error_code, "record_id": settled_id}
     )
+    return judged.drop("own_id")

@@ -188,13 +188,8 @@ _HEAD = [
 ]
 
 
-def section_type(name: str) -> str:
-    """Spark type of one section of a shredded row."""
-    return _SECTIONS[name][0]
-
-
 def shredded_ddl(sections: Sequence[str] = SECTIONS) -> str:
-    return ", ".join([_HEAD_DDL, *(f"{name} {section_type(name)}" for name in sections)])
+    return ", ".join([_HEAD_DDL, *(f"{name} {_SECTIONS[name][0]}" for name in sections)])
 
 
 def _shred_one(

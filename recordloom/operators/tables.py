@@ -22,7 +22,7 @@ from recordloom.functions.elements import (
 from recordloom.functions.identifiers import extract_record_id
 from recordloom.functions.text import last_segment, safe_int
 from recordloom.operators.issues import issues_table, judge
-from recordloom.operators.shred import SECTIONS, section_type, shred_documents
+from recordloom.operators.shred import SECTIONS, shred_documents
 from recordloom.schemas import (
     ACCESS_RIGHTS_PREFIX,
     ALL_TABLES,
@@ -31,10 +31,10 @@ from recordloom.schemas import (
     table_schema,
 )
 
-# Sections each table is made of; ids always need the alternate identifiers.
+# Sections each table is made of; ids always need the alternate identifiers. Issues
+# need all.
 TABLE_SECTIONS: dict[str, list[str]] = {
     "records": [s for s in SECTIONS if s not in ("root_children", "resource_children")],
-    "issues": SECTIONS,
     **{
         t: ["alternate_identifiers", t]
         for t in ALL_TABLES
@@ -44,6 +44,30 @@ TABLE_SECTIONS: dict[str, list[str]] = {
 }
 
 
+_SINGLE_SECTIONS = [
+    "schema_version",
+    "datacentre_symbol",
+    "identifier",
+    "publisher",
+    "publication_year",
+    "version",
+    "resource_type",
+]
+
+# Counts of a record, and the leaf whose array length tells each. Creators and
+# contributors count persons, not person-affiliation rows.
+_COUNTED_LEAVES = {
+    "title_count": "titles.text",
+    "description_count": "descriptions.text",
+    "creator_count": "creators.name.text",
+    "contributor_count": "contributors.name.text",
+    "subject_count": "subjects.text",
+    "related_identifier_count": "related_identifiers.text",
+    "rights_count": "rights.text",
+    "alternate_identifier_count": "alternate_identifiers.text",
+}
+
+
 def _record_url() -> Column:
     return first_with_text(F.col("alternate_identifiers"), "alternateIdentifierType", "URL")
 
@@ -60,17 +84,12 @@ def judge_documents(
     ``tables`` names what will be derived, so that only their sections are built.
     Strict mode looks at everything, since any warning can fail a document.
     """
-    wanted = SECTIONS if strict else [s for t in tables for s in TABLE_SECTIONS[t]]
-    shredded = shred_documents(docs, wanted)
-    absent = [s for s in SECTIONS if s not in shredded.columns]
+    report = strict or "issues" in tables
+    wanted = SECTIONS if report else [s for t in tables for s in TABLE_SECTIONS[t]]
     record_id = extract_record_id(
         text_of(_record_url()), text_of(_oai_identifier()), F.col("file_name")
     )
-    if not absent:
-        return judge(shredded, record_id, strict)
-    # Warnings need every section; without them there is nothing to report on.
-    full = shredded.withColumns({s: F.lit(None).cast(section_type(s)) for s in absent})
-    return judge(full, record_id, strict).drop("warnings", *absent)
+    return judge(shred_documents(docs, wanted), record_id, strict, report)
 
 
 def _order(position: Column) -> Column:
@@ -87,54 +106,59 @@ def _typed(rows: DataFrame, table: str) -> DataFrame:
 def records(judged: DataFrame) -> DataFrame:
     """One row per document; a failed one keeps only its path, name, id and error."""
     ok = F.col("error_code").isNull()
-
-    def if_ok(value: Column) -> Column:
-        return F.when(ok, value)
-
-    def count(section: str) -> Column:
-        return F.when(ok, element_count(F.col(section))).otherwise(F.lit(0))
-
-    issued = first_with_text(F.col("dates"), "dateType", "Issued")
-    updated = first_with_text(F.col("dates"), "dateType", "Updated")
-    access_uri = first_by_prefix(
-        F.transform("rights", lambda r: attribute(r, "rightsURI")), ACCESS_RIGHTS_PREFIX
+    # First of all, everything large shrinks to what a record needs of it, and failed
+    # documents lose it. Later expressions are then unconditional, so Spark evaluates
+    # what they share once. Counts name one leaf, which is all a Parquet scan reads.
+    needed = {
+        **{s: F.col(s) for s in _SINGLE_SECTIONS},
+        "alternate_identifiers": F.col("alternate_identifiers"),
+        "dates": F.col("dates"),
+        "first_title": positional_first(F.col("titles")),
+        "access_rights_uri": first_by_prefix(
+            F.transform(F.col("rights.attrs"), lambda a: F.try_element_at(a, F.lit("rightsURI"))),
+            ACCESS_RIGHTS_PREFIX,
+        ),
+    }
+    kept = judged.select(
+        "path",
+        "file_name",
+        "record_id",
+        "error_message",
+        ok.alias("parse_ok"),
+        *(F.when(ok, v).alias(n) for n, v in needed.items()),
+        *(
+            F.when(ok, element_count(F.col(leaf))).otherwise(F.lit(0)).alias(n)
+            for n, leaf in _COUNTED_LEAVES.items()
+        ),
+    )
+    picked = kept.withColumns(
+        {
+            "record_url": text_of(_record_url()),
+            "oai_identifier": text_of(_oai_identifier()),
+            "issued_date_raw": text_of(first_with_text(F.col("dates"), "dateType", "Issued")),
+            "updated_date_raw": text_of(first_with_text(F.col("dates"), "dateType", "Updated")),
+        }
     )
-    # Picked once here; the next select reads each of them more than once.
-    picked = judged.withColumns({"issued_": issued, "updated_": updated, "access_": access_uri})
     values = {
         "source_xml_path": F.col("path"),
         "source_file_name": F.col("file_name"),
-        "schema_version": if_ok(text_of(F.col("schema_version"))),
-        "datacentre_symbol": if_ok(text_of(F.col("datacentre_symbol"))),
-        "identifier": if_ok(text_of(F.col("identifier"))),
-        "identifier_type": if_ok(attribute(F.col("identifier"), "identifierType")),
-        "oai_identifier": if_ok(text_of(_oai_identifier())),
-        "record_url": if_ok(text_of(_record_url())),
-        "publisher": if_ok(text_of(F.col("publisher"))),
-        "publication_year": if_ok(safe_int(text_of(F.col("publication_year")))),
-        "version": if_ok(text_of(F.col("version"))),
-        "resource_type": if_ok(text_of(F.col("resource_type"))),
-        "resource_type_general": if_ok(attribute(F.col("resource_type"), "resourceTypeGeneral")),
-        "issued_date_raw": if_ok(text_of(F.col("issued_"))),
-        "issued_date": if_ok(parse_date_strict(text_of(F.col("issued_")))),
-        "updated_date_raw": if_ok(text_of(F.col("updated_"))),
-        "updated_date": if_ok(parse_date_strict(text_of(F.col("updated_")))),
-        "primary_title": if_ok(text_of(positional_first(F.col("titles")))),
-        "title_count": count("titles"),
-        "description_count": count("descriptions"),
-        "creator_count": count("creators"),
-        "contributor_count": count("contributors"),
-        "subject_count": count("subjects"),
-        "related_identifier_count": count("related_identifiers"),
-        "rights_count": count("rights"),
-        "alternate_identifier_count": count("alternate_identifiers"),
-        "access_rights_uri": if_ok(F.col("access_")),
-        "access_rights_label": if_ok(last_segment(F.col("access_"))),
-        "parse_ok": ok,
+        "schema_version": text_of(F.col("schema_version")),
+        "datacentre_symbol": text_of(F.col("datacentre_symbol")),
+        "identifier": text_of(F.col("identifier")),
+        "identifier_type": attribute(F.col("identifier"), "identifierType"),
+        "publisher": text_of(F.col("publisher")),
+        "publication_year": safe_int(F.col("publication_year")["text"]),
+        "version": text_of(F.col("version")),
+        "resource_type": text_of(F.col("resource_type")),
+        "resource_type_general": attribute(F.col("resource_type"), "resourceTypeGeneral"),
+        "issued_date": parse_date_strict(F.col("issued_date_raw")),
+        "updated_date": parse_date_strict(F.col("updated_date_raw")),
+        "primary_title": text_of(F.col("first_title")),
+        "access_rights_label": last_segment(F.col("access_rights_uri")),
         "parse_error": F.col("error_message"),
     }
-    selected = picked.select("record_id", *(v.alias(n) for n, v in values.items()))
-    return _typed(selected, "records")
+    ready = [c for c in table_columns("records") if c not in values]
+    return _typed(picked.select(*ready, *(v.alias(n) for n, v in values.items())), "records")
 
 
 def _elements(judged: DataFrame, section: str, order_name: str) -> DataFrame:

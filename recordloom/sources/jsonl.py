@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from recordloom.functions.json import record_id_of
-from recordloom.functions.text import normalize_text
+from recordloom.functions.text import has_text
 
 
 def _is_blank(line: Column) -> Column:
-    return normalize_text(line).isNull()
+    return ~has_text(line)
 
 
 def parse_jsonl(lines: DataFrame, keep_null_ids: bool = False) -> DataFrame:
