@@ -71,17 +71,21 @@ def _names(parent) -> list[str]:
     return [child.tag.rpartition("}")[2] for child in parent]
 
 
-def _element(el) -> dict:
+# Elements and persons are tuples in the field order of their Arrow types; Arrow reads
+# those several times faster than dictionaries.
+
+
+def _element(el) -> tuple:
     text = "".join(el.itertext()) if len(el) else el.text or ""
-    return {"text": text, "attrs": list(el.items())}
+    return text, list(el.items())
 
 
-def _first(children: _Children, tag: str) -> dict | None:
+def _first(children: _Children, tag: str) -> tuple | None:
     found = children.get(tag)
     return _element(found[0]) if found else None
 
 
-def _all(children: _Children, tag: str) -> list[dict]:
+def _all(children: _Children, tag: str) -> list[tuple]:
     return [_element(el) for el in children.get(tag, ())]
 
 
@@ -94,17 +98,17 @@ _GIVEN, _FAMILY = _kernel("givenName"), _kernel("familyName")
 _NAME_IDENTIFIER, _AFFILIATION = _kernel("nameIdentifier"), _kernel("affiliation")
 
 
-def _person(el, name_tag: str) -> dict:
+def _person(el, name_tag: str) -> tuple:
     children = _by_tag(el)
-    return {
-        "attrs": list(el.items()),
-        "child_names": _names(el),
-        "name": _first(children, name_tag),
-        "given": _first(children, _GIVEN),
-        "family": _first(children, _FAMILY),
-        "name_identifiers": _all(children, _NAME_IDENTIFIER),
-        "affiliations": _all(children, _AFFILIATION),
-    }
+    return (
+        list(el.items()),
+        _names(el),
+        _first(children, name_tag),
+        _first(children, _GIVEN),
+        _first(children, _FAMILY),
+        _all(children, _NAME_IDENTIFIER),
+        _all(children, _AFFILIATION),
+    )
 
 
 # Section name -> (DDL type, Arrow type, reader). A reader gets the root, the

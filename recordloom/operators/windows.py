@@ -208,25 +208,25 @@ def plan_windows_by_count(
     total = F.col("n_left") + F.col("n_right") - F.col("tail_right")
     piece = pieces.withColumn("total", total)
 
-    root = piece.where(
-        (F.col("level") == 0) & ((F.col("total") <= cap) | F.lit(tree.span_us <= tree.min_split_us))
-    ).select("level", "node", F.col("total").alias("est_total"))
-
-    def half(side: int, n: str, tail_name: str) -> Column:
+    def window(level: Column, node: Column, est_total: Column) -> Column:
         return F.struct(
-            (F.col("level") + 1).alias("level"),
-            (F.col("node") * 2 + side).alias("node"),
-            (F.col(n) - F.col(tail_name)).alias("est_total"),
+            level.alias("level"), node.alias("node"), est_total.alias("est_total")
         )
 
+    def half(side: int, n: str, tail_name: str) -> Column:
+        return window(level + 1, F.col("node") * 2 + side, F.col(n) - F.col(tail_name))
+
     both = F.array(half(0, "n_left", "tail_left"), half(1, "n_right", "tail_right"))
-    halved = (
-        piece.where(F.col("total") > cap)
-        .where(_is_splittable(tree))
-        .select(F.inline(both))
-        .where((F.col("est_total") <= cap) | ~_is_splittable(tree))
+    whole = F.array(window(level, F.col("node"), F.col("total")))
+    # Splittability hides behind the count: as a condition of its own it would be
+    # pushed below the sums and evaluated for every leaf on every level.
+    found = F.when(F.col("total") > cap, F.when(_is_splittable(tree), both)).when(
+        level == 0, whole
+    )
+    windows = piece.select(F.inline(found)).where(
+        (F.col("est_total") <= cap) | ~_is_splittable(tree)
     )
-    return _finish(tree, root.unionByName(halved), cap)
+    return _finish(tree, windows, cap)
 
 
 def _is_splittable(tree: HalvingTree) -> Column:
