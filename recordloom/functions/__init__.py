@@ -8,7 +8,6 @@ from recordloom.functions.dates import (
     parse_iso_ts,
 )
 from recordloom.functions.elements import (
-    attribute,
     element_count,
     first_by_prefix,
     first_where,
@@ -27,7 +26,6 @@ from recordloom.functions.text import (
 )
 
 __all__ = [
-    "attribute",
     "attribute_display_name",
     "day_end_exclusive",
     "day_start",

@@ -1,7 +1,6 @@
 """Picking one value out of an array of elements.
 
-An element is ``struct<text string, attrs map<string,string>>``; ``text`` is the raw
-text and is normalised here.
+An element is a struct with a raw ``text``, normalised here, and a field per attribute.
 """
 
 from __future__ import annotations
@@ -13,11 +12,6 @@ from pyspark.sql import Column, functions as F
 from recordloom.functions.text import has_text, normalize_text
 
 
-def attribute(element: Column, name: str) -> Column:
-    """Attribute value as written, without normalisation; null if absent."""
-    return F.try_element_at(element["attrs"], F.lit(name))
-
-
 def text_of(element: Column) -> Column:
     return normalize_text(element["text"])
 
@@ -38,7 +32,7 @@ def first_with_text(array: Column, attr: str, value: str) -> Column:
     A blank match does not end the search: the next match gets its turn.
     """
     return first_where(
-        array, lambda e: (attribute(e, attr) == value) & has_text(e["text"])
+        array, lambda e: (e[attr] == value) & has_text(e["text"])
     )
 
 

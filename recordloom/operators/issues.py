@@ -6,20 +6,13 @@ only its first entry: no window, no join, no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordloom.functions.identifiers import file_name_record_id
 from recordloom.functions.text import attribute_display_name, quoted
-from recordloom.schemas import (
-    KNOWN_ATTRIBUTES,
-    KNOWN_CONTRIBUTOR_CHILDREN,
-    KNOWN_CREATOR_CHILDREN,
-    KNOWN_RESOURCE_CHILDREN,
-    KNOWN_ROOT_CHILDREN,
-    table_columns,
-)
+from recordloom.schemas import table_columns
 
 _WARNINGS_DDL = (
     "array<struct<code: string, message: string, strict_message: string, "
@@ -52,17 +45,12 @@ def _warning(
     )
 
 
-def _known(names: Iterable[str]) -> Column:
-    return F.array(*(F.lit(n) for n in names))
-
-
 def _unknown_children(
-    names: Column, known: list[str], code: str, parent: str, record_id: Column, context: Column
+    names: Column, code: str, parent: str, record_id: Column, context: Column
 ) -> Column:
-    """One warning per occurrence of a child with an unknown local name."""
-    unknown = F.filter(names, lambda n: ~F.array_contains(_known(known), n))
+    """One warning per unknown child."""
     return F.transform(
-        unknown,
+        names,
         lambda n: _warning(
             code,
             F.concat(F.lit(f"Unhandled {parent} child element "), quoted(n)),
@@ -72,12 +60,10 @@ def _unknown_children(
     )
 
 
-def _unknown_attributes(attrs: Column, element: str, record_id: Column, context: Column) -> Column:
+def _unknown_attributes(holder: Column, element: str, record_id: Column, context: Column) -> Column:
     """One warning per attribute that the element is not known to have."""
-    known = _known(KNOWN_ATTRIBUTES[element])
-    unknown = F.filter(F.map_keys(attrs), lambda k: ~F.array_contains(known, k))
     return F.transform(
-        unknown,
+        holder["unknown_attributes"],
         lambda k: _warning(
             "UNHANDLED_ATTRIBUTE",
             F.concat(
@@ -100,14 +86,39 @@ def _indexed(base: str | Column, position: Column) -> Column:
     return F.concat(prefix, F.lit("["), (position + 1).cast("string"), F.lit("]"))
 
 
-def _per_item(array: Column, warnings_of: Callable[[Column, Column], Column]) -> Column:
-    return F.flatten(F.transform(array, warnings_of))
+def _per_item(
+    array: Column,
+    warnings_of: Callable[[Column, Column], Column],
+    is_odd: Callable[[Column], Column] | None = None,
+) -> Column:
+    """Warnings of every item, in order. Arrays without an odd item are not looked into."""
+    every = F.flatten(F.transform(array, lambda e, i: F.coalesce(warnings_of(e, i), _none())))
+    return F.when(F.exists(array, is_odd or _has_unknown_attributes), every)
+
+
+def _has_unknown_attributes(element: Column) -> Column:
+    return element["unknown_attributes"].isNotNull()
+
+
+def _is_odd_person(person: Column) -> Column:
+    """Whether a creator or contributor can have any warning at all."""
+    return (
+        person["unknown_children"].isNotNull()
+        | (F.size(person["name_identifiers"]) > 1)
+        | person["name"]["unknown_attributes"].isNotNull()
+        | F.exists(person["name_identifiers"], _has_unknown_attributes)
+        | F.exists(person["affiliations"], _has_unknown_attributes)
+    )
+
+
+def _is_odd_contributor(person: Column) -> Column:
+    return _has_unknown_attributes(person) | _is_odd_person(person)
 
 
 def _element_attributes(column: str, element: str, base: str, record_id: Column) -> Column:
     return _per_item(
         F.col(column),
-        lambda e, i: _unknown_attributes(e["attrs"], element, record_id, _indexed(base, i)),
+        lambda e, i: _unknown_attributes(e, element, record_id, _indexed(base, i)),
     )
 
 
@@ -116,7 +127,6 @@ def _person_warnings(
     base: Column,
     record_id: Column,
     element: str,
-    known_children: list[str],
     own_attributes: bool,
 ) -> Column:
     """Warnings of one creator or contributor, in reading order."""
@@ -143,22 +153,21 @@ def _person_warnings(
     )
     steps = [
         _unknown_children(
-            person["child_names"],
-            known_children,
+            person["unknown_children"],
             f"UNHANDLED_{element.upper()}_CHILD",
             element,
             record_id,
             base,
         ),
         _unknown_attributes(
-            person["name"]["attrs"],
+            person["name"],
             f"{element}Name",
             record_id,
             F.concat(base, F.lit(f"/{element}Name")),
         ),
         several,
         _unknown_attributes(
-            F.try_element_at(ids, F.lit(1))["attrs"],
+            F.try_element_at(ids, F.lit(1)),
             "nameIdentifier",
             record_id,
             F.concat(base, F.lit("/nameIdentifier[1]")),
@@ -166,7 +175,7 @@ def _person_warnings(
         _per_item(
             person["affiliations"],
             lambda a, i: _unknown_attributes(
-                a["attrs"],
+                a,
                 "affiliation",
                 record_id,
                 _indexed(F.concat(base, F.lit("/affiliation")), i),
@@ -174,7 +183,7 @@ def _person_warnings(
         ),
     ]
     if own_attributes:
-        steps.insert(0, _unknown_attributes(person["attrs"], element, record_id, base))
+        steps.insert(0, _unknown_attributes(person, element, record_id, base))
     return _joined(*steps)
 
 
@@ -182,23 +191,21 @@ def warnings(record_id: Column) -> Column:
     """All warnings of a shredded row in the order in which a reader meets them."""
     return _joined(
         _unknown_children(
-            F.col("root_children"),
-            KNOWN_ROOT_CHILDREN,
+            F.col("unknown_root_children"),
             "UNHANDLED_ROOT_CHILD",
             "root",
             _no_id(),
             F.lit("/oai_datacite"),
         ),
         _unknown_children(
-            F.col("resource_children"),
-            KNOWN_RESOURCE_CHILDREN,
+            F.col("unknown_resource_children"),
             "UNHANDLED_RESOURCE_CHILD",
             "resource",
             _no_id(),
             F.lit("/oai_datacite/payload/resource"),
         ),
         _unknown_attributes(
-            F.col("identifier.attrs"), "identifier", _no_id(), F.lit("/resource/identifier")
+            F.col("identifier"), "identifier", _no_id(), F.lit("/resource/identifier")
         ),
         _element_attributes(
             "alternate_identifiers",
@@ -214,9 +221,9 @@ def warnings(record_id: Column) -> Column:
                 _indexed("/resource/creators/creator", i),
                 record_id,
                 "creator",
-                KNOWN_CREATOR_CHILDREN,
                 own_attributes=False,
             ),
+            _is_odd_person,
         ),
         _per_item(
             F.col("contributors"),
@@ -225,14 +232,14 @@ def warnings(record_id: Column) -> Column:
                 _indexed("/resource/contributors/contributor", i),
                 record_id,
                 "contributor",
-                KNOWN_CONTRIBUTOR_CHILDREN,
                 own_attributes=True,
             ),
+            _is_odd_contributor,
         ),
         _element_attributes("subjects", "subject", "/resource/subjects/subject", record_id),
         _element_attributes("dates", "date", "/resource/dates/date", record_id),
         _unknown_attributes(
-            F.col("resource_type.attrs"), "resourceType", record_id, F.lit("/resource/resourceType")
+            F.col("resource_type"), "resourceType", record_id, F.lit("/resource/resourceType")
         ),
         _element_attributes(
             "related_identifiers",

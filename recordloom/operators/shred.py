@@ -2,8 +2,9 @@
 
 Spark's XML functions lose text around child elements and drop unknown children
 and attributes silently, which are exactly the things to report. So each document
-is parsed inside ``mapInArrow`` and handed back, unjudged, as nested columns. All
-rules (normalisation, ids, counts, warnings) are Column expressions downstream.
+is parsed inside ``mapInArrow`` and handed back as nested columns: raw texts, the known
+attributes, and the names of whatever is not known. All rules (normalisation, ids,
+counts, warnings) are Column expressions downstream.
 """
 
 from __future__ import annotations
@@ -16,33 +17,20 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-from recordloom.schemas import ENVELOPE_NS, KERNEL_NS
+from recordloom.schemas import (
+    ENVELOPE_NS,
+    KERNEL_NS,
+    KNOWN_ATTRIBUTES,
+    KNOWN_CONTRIBUTOR_CHILDREN,
+    KNOWN_CREATOR_CHILDREN,
+    KNOWN_RESOURCE_CHILDREN,
+    KNOWN_ROOT_CHILDREN,
+    LANG_ATTR,
+)
 
 # Ship this module's functions with the job, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# An element: raw text and attributes. A person: a creator or a contributor.
-_ELEMENT_DDL = "struct<text: string, attrs: map<string, string>>"
-_PERSON_DDL = (
-    "struct<attrs: map<string, string>, child_names: array<string>, "
-    f"name: {_ELEMENT_DDL}, given: {_ELEMENT_DDL}, family: {_ELEMENT_DDL}, "
-    f"name_identifiers: array<{_ELEMENT_DDL}>, affiliations: array<{_ELEMENT_DDL}>>"
-)
-
-_ATTRS = pa.map_(pa.string(), pa.string())
-_ELEMENT = pa.struct([("text", pa.string()), ("attrs", _ATTRS)])
-_PERSON = pa.struct(
-    [
-        ("attrs", _ATTRS),
-        ("child_names", pa.list_(pa.string())),
-        ("name", _ELEMENT),
-        ("given", _ELEMENT),
-        ("family", _ELEMENT),
-        ("name_identifiers", pa.list_(_ELEMENT)),
-        ("affiliations", pa.list_(_ELEMENT)),
-    ]
-)
-
 _RESOURCE = f"{{{ENVELOPE_NS}}}payload/{{{KERNEL_NS}}}resource"
 
 # Output batches are cut at so many documents or bytes of XML, whichever comes first.
@@ -51,15 +39,16 @@ _RESOURCE = f"{{{ENVELOPE_NS}}}payload/{{{KERNEL_NS}}}resource"
 _BATCH_DOCS = 512
 _BATCH_BYTES = 16 * 1024 * 1024
 
+# Children of one parent, grouped by qualified tag, each group in document order.
+_Children = dict[str, list[ElementTree.Element]]
+_Reader = Callable[..., object]
+_NAMES = pa.list_(pa.string())
+
 
 def _kernel(tag: str) -> str:
     return f"{{{KERNEL_NS}}}{tag}"
 
 
-# Children of one parent, grouped by qualified tag, each group in document order.
-_Children = dict[str, list[ElementTree.Element]]
-
-
 def _by_tag(parent) -> _Children:
     groups: _Children = {}
     for child in parent:
@@ -67,122 +56,171 @@ def _by_tag(parent) -> _Children:
     return groups
 
 
-def _names(parent) -> list[str]:
-    return [child.tag.rpartition("}")[2] for child in parent]
+def _text(el) -> str:
+    return "".join(el.itertext()) if len(el) else el.text or ""
+
 
+def _first(children: _Children, tag: str, read: _Reader) -> object:
+    found = children.get(tag)
+    return read(found[0]) if found else None
 
-# Elements and persons are tuples in the field order of their Arrow types; Arrow reads
-# those several times faster than dictionaries.
 
+def _unknown_children(parent, known: frozenset[str]) -> list[str] | None:
+    """Local names of children that are not known, once per occurrence; None if all are."""
+    names = [child.tag.rpartition("}")[2] for child in parent]
+    return [n for n in names if n not in known] or None
 
-def _element(el) -> tuple:
-    text = "".join(el.itertext()) if len(el) else el.text or ""
-    return text, list(el.items())
 
+def attribute_field(attribute: str) -> str:
+    """Name of the struct field that holds an attribute."""
+    return "xml_lang" if attribute == LANG_ATTR else attribute
 
-def _first(children: _Children, tag: str) -> tuple | None:
-    found = children.get(tag)
-    return _element(found[0]) if found else None
 
+# Structs are read as tuples in field order; Arrow takes those several times faster
+# than dictionaries.
 
-def _all(children: _Children, tag: str) -> list[tuple]:
-    return [_element(el) for el in children.get(tag, ())]
 
+def _element_type(element: str) -> pa.DataType:
+    known = [(attribute_field(a), pa.string()) for a in KNOWN_ATTRIBUTES[element]]
+    return pa.struct([("text", pa.string()), *known, ("unknown_attributes", _NAMES)])
 
-def _items(children: _Children, container: str, tag: str) -> list[ElementTree.Element]:
-    """Items of every container of that name, so a second list continues the first."""
-    return [el for parent in children.get(container, ()) for el in parent if el.tag == tag]
 
+def _attributes(element: str) -> _Reader:
+    """Reader of an element's known attributes and the names of all others."""
+    known = KNOWN_ATTRIBUTES[element]
+    allowed = frozenset(known)
 
-_GIVEN, _FAMILY = _kernel("givenName"), _kernel("familyName")
-_NAME_IDENTIFIER, _AFFILIATION = _kernel("nameIdentifier"), _kernel("affiliation")
+    def read(el) -> tuple:
+        values = tuple([el.get(a) for a in known])
+        unknown = [k for k in el.keys() if k not in allowed] if len(el.keys()) else None
+        return (*values, unknown or None)
 
+    return read
 
-def _person(el, name_tag: str) -> tuple:
-    children = _by_tag(el)
-    return (
-        list(el.items()),
-        _names(el),
-        _first(children, name_tag),
-        _first(children, _GIVEN),
-        _first(children, _FAMILY),
-        _all(children, _NAME_IDENTIFIER),
-        _all(children, _AFFILIATION),
+
+def _element(element: str) -> _Reader:
+    attributes = _attributes(element)
+    return lambda el: (_text(el), *attributes(el))
+
+
+def _person_type(noun: str, own: list[tuple[str, pa.DataType]]) -> pa.DataType:
+    return pa.struct(
+        [
+            *own,
+            ("unknown_children", _NAMES),
+            ("name", _element_type(f"{noun}Name")),
+            ("given", pa.string()),
+            ("family", pa.string()),
+            ("name_identifiers", pa.list_(_element_type("nameIdentifier"))),
+            ("affiliations", pa.list_(_element_type("affiliation"))),
+        ]
     )
 
 
-# Section name -> (DDL type, Arrow type, reader). A reader gets the root, the
-# resource and the grouped children of each; sections of the resource are null when
-# a document has none.
-_Reader = Callable[..., object]
-_SECTIONS: dict[str, tuple[str, pa.DataType, _Reader]] = {}
+def _person(noun: str, known_children: list[str], own: _Reader | None) -> _Reader:
+    name_tag, read_name = _kernel(f"{noun}Name"), _element(f"{noun}Name")
+    given, family = _kernel("givenName"), _kernel("familyName")
+    identifier, read_identifier = _kernel("nameIdentifier"), _element("nameIdentifier")
+    affiliation, read_affiliation = _kernel("affiliation"), _element("affiliation")
+    known = frozenset(known_children)
 
+    def read(el) -> tuple:
+        children = _by_tag(el)
+        return (
+            *(own(el) if own else ()),
+            _unknown_children(el, known),
+            _first(children, name_tag, read_name),
+            _first(children, given, _text),
+            _first(children, family, _text),
+            [read_identifier(e) for e in children.get(identifier, ())],
+            [read_affiliation(e) for e in children.get(affiliation, ())],
+        )
 
-def _envelope_value(name: str, tag: str) -> None:
-    tag = f"{{{ENVELOPE_NS}}}{tag}"
-    _SECTIONS[name] = (_ELEMENT_DDL, _ELEMENT, lambda root, in_root, res, in_res: _first(in_root, tag))
+    return read
 
 
-def _single(name: str, tag: str) -> None:
-    tag = _kernel(tag)
-    _SECTIONS[name] = (_ELEMENT_DDL, _ELEMENT, lambda root, in_root, res, in_res: _first(in_res, tag))
+# Section name -> (Arrow type, reader). A reader gets the root, the resource and the
+# grouped children of each; sections of the resource are null if there is none.
+_SECTIONS: dict[str, tuple[pa.DataType, _Reader]] = {}
 
 
-def _repeated(name: str, container: str, tag: str) -> None:
-    container, tag = _kernel(container), _kernel(tag)
+def _unknown_section(name: str, known: list[str], of_root: bool) -> None:
+    known_names = frozenset(known)
 
     def read(root, in_root, res, in_res):
-        if res is None:
-            return None
-        return [_element(el) for el in _items(in_res, container, tag)]
+        parent = root if of_root else res
+        return None if parent is None else _unknown_children(parent, known_names)
 
-    _SECTIONS[name] = (f"array<{_ELEMENT_DDL}>", pa.list_(_ELEMENT), read)
+    _SECTIONS[name] = (_NAMES, read)
 
 
-def _persons(name: str, container: str, tag: str, name_tag: str) -> None:
-    container, tag, name_tag = _kernel(container), _kernel(tag), _kernel(name_tag)
+def _envelope_text(name: str, tag: str) -> None:
+    tag = f"{{{ENVELOPE_NS}}}{tag}"
+    _SECTIONS[name] = (pa.string(), lambda root, in_root, res, in_res: _first(in_root, tag, _text))
 
-    def read(root, in_root, res, in_res):
+
+def _single_text(name: str, tag: str) -> None:
+    tag = _kernel(tag)
+    _SECTIONS[name] = (pa.string(), lambda root, in_root, res, in_res: _first(in_res, tag, _text))
+
+
+def _single(name: str, element: str) -> None:
+    tag, read = _kernel(element), _element(element)
+    _SECTIONS[name] = (
+        _element_type(element),
+        lambda root, in_root, res, in_res: _first(in_res, tag, read),
+    )
+
+
+def _repeated(name: str, container: str, item: str, item_type: pa.DataType, read: _Reader) -> None:
+    """Items of every container of that name, so a second list continues the first."""
+    container, item = _kernel(container), _kernel(item)
+
+    def read_all(root, in_root, res, in_res):
         if res is None:
             return None
-        return [_person(el, name_tag) for el in _items(in_res, container, tag)]
-
-    _SECTIONS[name] = (f"array<{_PERSON_DDL}>", pa.list_(_PERSON), read)
+        return [read(el) for p in in_res.get(container, ()) for el in p if el.tag == item]
 
+    _SECTIONS[name] = (pa.list_(item_type), read_all)
 
-def _child_names(name: str, of_root: bool) -> None:
-    def read(root, in_root, res, in_res):
-        parent = root if of_root else res
-        return None if parent is None else _names(parent)
 
-    _SECTIONS[name] = ("array<string>", pa.list_(pa.string()), read)
+def _elements(name: str, container: str, element: str) -> None:
+    _repeated(name, container, element, _element_type(element), _element(element))
 
 
-_child_names("root_children", of_root=True)
-_child_names("resource_children", of_root=False)
-_envelope_value("schema_version", "schemaVersion")
-_envelope_value("datacentre_symbol", "datacentreSymbol")
+_unknown_section("unknown_root_children", KNOWN_ROOT_CHILDREN, of_root=True)
+_unknown_section("unknown_resource_children", KNOWN_RESOURCE_CHILDREN, of_root=False)
+_envelope_text("schema_version", "schemaVersion")
+_envelope_text("datacentre_symbol", "datacentreSymbol")
 _single("identifier", "identifier")
-_repeated("alternate_identifiers", "alternateIdentifiers", "alternateIdentifier")
-_repeated("titles", "titles", "title")
-_persons("creators", "creators", "creator", "creatorName")
-_persons("contributors", "contributors", "contributor", "contributorName")
-_repeated("subjects", "subjects", "subject")
-_repeated("dates", "dates", "date")
+_elements("alternate_identifiers", "alternateIdentifiers", "alternateIdentifier")
+_elements("titles", "titles", "title")
+_repeated(
+    "creators",
+    "creators",
+    "creator",
+    _person_type("creator", []),
+    _person("creator", KNOWN_CREATOR_CHILDREN, None),
+)
+_repeated(
+    "contributors",
+    "contributors",
+    "contributor",
+    _person_type("contributor", [("contributorType", pa.string()), ("unknown_attributes", _NAMES)]),
+    _person("contributor", KNOWN_CONTRIBUTOR_CHILDREN, _attributes("contributor")),
+)
+_elements("subjects", "subjects", "subject")
+_elements("dates", "dates", "date")
 _single("resource_type", "resourceType")
-_repeated("related_identifiers", "relatedIdentifiers", "relatedIdentifier")
-_repeated("rights", "rightsList", "rights")
-_repeated("descriptions", "descriptions", "description")
-_single("publisher", "publisher")
-_single("publication_year", "publicationYear")
-_single("version", "version")
+_elements("related_identifiers", "relatedIdentifiers", "relatedIdentifier")
+_elements("rights", "rightsList", "rights")
+_elements("descriptions", "descriptions", "description")
+_single_text("publisher", "publisher")
+_single_text("publication_year", "publicationYear")
+_single_text("version", "version")
 
 SECTIONS: list[str] = list(_SECTIONS)
 
-_HEAD_DDL = (
-    "path string, file_name string, is_missing boolean, parser_error string, "
-    "has_resource boolean"
-)
 _HEAD = [
     ("path", pa.string()),
     ("file_name", pa.string()),
@@ -192,8 +230,13 @@ _HEAD = [
 ]
 
 
-def shredded_ddl(sections: Sequence[str] = SECTIONS) -> str:
-    return ", ".join([_HEAD_DDL, *(f"{name} {_SECTIONS[name][0]}" for name in sections)])
+def _ddl(arrow_type: pa.DataType) -> str:
+    if pa.types.is_struct(arrow_type):
+        fields = (f"{f.name}: {_ddl(f.type)}" for f in arrow_type)
+        return f"struct<{', '.join(fields)}>"
+    if pa.types.is_list(arrow_type):
+        return f"array<{_ddl(arrow_type.value_type)}>"
+    return "boolean" if pa.types.is_boolean(arrow_type) else "string"
 
 
 def _shred_one(
@@ -209,7 +252,7 @@ def _shred_one(
     in_root = {} if root is None else _by_tag(root)
     in_resource = {} if resource is None else _by_tag(resource)
     head = (path, file_name, content is None, error, resource is not None)
-    return head + tuple(read(root, in_root, resource, in_resource) for read in readers)
+    return head + tuple([read(root, in_root, resource, in_resource) for read in readers])
 
 
 def shred_documents(docs: DataFrame, sections: Sequence[str] = SECTIONS) -> DataFrame:
@@ -220,11 +263,11 @@ def shred_documents(docs: DataFrame, sections: Sequence[str] = SECTIONS) -> Data
     needs only some ``sections`` names them and the others are not built.
     """
     wanted = [name for name in SECTIONS if name in set(sections)]
-    ddl = shredded_ddl(wanted)
+    fields = [*_HEAD, *((name, _SECTIONS[name][0]) for name in wanted)]
 
     def shred(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        readers = [_SECTIONS[name][2] for name in wanted]
-        schema = pa.schema([*_HEAD, *((name, _SECTIONS[name][1]) for name in wanted)])
+        readers = [_SECTIONS[name][1] for name in wanted]
+        schema = pa.schema(fields)
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             columns = zip(*rows)
@@ -245,4 +288,5 @@ def shred_documents(docs: DataFrame, sections: Sequence[str] = SECTIONS) -> Data
         if rows:
             yield batch_of(rows)
 
+    ddl = ", ".join(f"{name} {_ddl(arrow_type)}" for name, arrow_type in fields)
     return docs.select("path", "file_name", "content").mapInArrow(shred, ddl)

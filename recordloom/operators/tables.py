@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recordloom.functions.dates import parse_date_strict
 from recordloom.functions.elements import (
-    attribute,
     element_count,
     first_by_prefix,
     first_with_text,
@@ -20,21 +19,22 @@ from recordloom.functions.elements import (
     text_of,
 )
 from recordloom.functions.identifiers import extract_record_id
-from recordloom.functions.text import last_segment, safe_int
+from recordloom.functions.text import last_segment, normalize_text, safe_int
 from recordloom.operators.issues import issues_table, judge
 from recordloom.operators.shred import SECTIONS, shred_documents
 from recordloom.schemas import (
     ACCESS_RIGHTS_PREFIX,
     ALL_TABLES,
-    LANG_ATTR,
     table_columns,
     table_schema,
 )
 
+_UNKNOWN_CHILDREN = ["unknown_root_children", "unknown_resource_children"]
+
 # Sections each table is made of; ids always need the alternate identifiers. Issues
 # need all.
 TABLE_SECTIONS: dict[str, list[str]] = {
-    "records": [s for s in SECTIONS if s not in ("root_children", "resource_children")],
+    "records": [s for s in SECTIONS if s not in _UNKNOWN_CHILDREN],
     **{
         t: ["alternate_identifiers", t]
         for t in ALL_TABLES
@@ -115,8 +115,7 @@ def records(judged: DataFrame) -> DataFrame:
         "dates": F.col("dates"),
         "first_title": positional_first(F.col("titles")),
         "access_rights_uri": first_by_prefix(
-            F.transform(F.col("rights.attrs"), lambda a: F.try_element_at(a, F.lit("rightsURI"))),
-            ACCESS_RIGHTS_PREFIX,
+            F.col("rights.rightsURI"), ACCESS_RIGHTS_PREFIX
         ),
     }
     kept = judged.select(
@@ -142,15 +141,15 @@ def records(judged: DataFrame) -> DataFrame:
     values = {
         "source_xml_path": F.col("path"),
         "source_file_name": F.col("file_name"),
-        "schema_version": text_of(F.col("schema_version")),
-        "datacentre_symbol": text_of(F.col("datacentre_symbol")),
+        "schema_version": normalize_text(F.col("schema_version")),
+        "datacentre_symbol": normalize_text(F.col("datacentre_symbol")),
         "identifier": text_of(F.col("identifier")),
-        "identifier_type": attribute(F.col("identifier"), "identifierType"),
-        "publisher": text_of(F.col("publisher")),
-        "publication_year": safe_int(F.col("publication_year")["text"]),
-        "version": text_of(F.col("version")),
+        "identifier_type": F.col("identifier.identifierType"),
+        "publisher": normalize_text(F.col("publisher")),
+        "publication_year": safe_int(F.col("publication_year")),
+        "version": normalize_text(F.col("version")),
         "resource_type": text_of(F.col("resource_type")),
-        "resource_type_general": attribute(F.col("resource_type"), "resourceTypeGeneral"),
+        "resource_type_general": F.col("resource_type.resourceTypeGeneral"),
         "issued_date": parse_date_strict(F.col("issued_date_raw")),
         "updated_date": parse_date_strict(F.col("updated_date_raw")),
         "primary_title": text_of(F.col("first_title")),
@@ -186,7 +185,7 @@ def _element_table(
     def build(judged: DataFrame) -> DataFrame:
         el = F.col("el")
         rows = _elements(judged, table, order_name).withColumn(text_name, text_of(el))
-        rows = rows.withColumns({c: attribute(el, a) for c, a in attributes.items()})
+        rows = rows.withColumns({c: el[a] for c, a in attributes.items()})
         rows = rows.withColumns({c: parse_date_strict(F.col(src)) for c, src in (dates or {}).items()})
         return _typed(rows, table)
 
@@ -203,11 +202,11 @@ def _person_table(
         people = _elements(judged, table, f"{noun}_order").withColumns(
             {
                 f"{noun}_name": text_of(el["name"]),
-                f"{noun}_name_type": attribute(el["name"], "nameType"),
-                "given_name": text_of(el["given"]),
-                "family_name": text_of(el["family"]),
+                f"{noun}_name_type": el["name"]["nameType"],
+                "given_name": normalize_text(el["given"]),
+                "family_name": normalize_text(el["family"]),
                 "first_id": positional_first(el["name_identifiers"]),
-                **{c: F.try_element_at(el["attrs"], F.lit(a)) for c, a in own_attributes.items()},
+                **{c: el[a] for c, a in own_attributes.items()},
             }
         )
         first_id, affiliation = F.col("first_id"), F.col("affiliation")
@@ -217,14 +216,12 @@ def _person_table(
             {
                 "affiliation_order": _order(F.col("affiliation_pos")),
                 "name_identifier": text_of(first_id),
-                "name_identifier_scheme": attribute(first_id, "nameIdentifierScheme"),
-                "name_identifier_scheme_uri": attribute(first_id, "nameIdentifierSchemeURI"),
-                "scheme_uri": attribute(first_id, "schemeURI"),
+                "name_identifier_scheme": first_id["nameIdentifierScheme"],
+                "name_identifier_scheme_uri": first_id["nameIdentifierSchemeURI"],
+                "scheme_uri": first_id["schemeURI"],
                 "affiliation_name": text_of(affiliation),
-                "affiliation_identifier": attribute(affiliation, "affiliationIdentifier"),
-                "affiliation_identifier_scheme": attribute(
-                    affiliation, "affiliationIdentifierScheme"
-                ),
+                "affiliation_identifier": affiliation["affiliationIdentifier"],
+                "affiliation_identifier_scheme": affiliation["affiliationIdentifierScheme"],
             }
         )
         return _typed(rows, table)
@@ -233,7 +230,7 @@ def _person_table(
 
 
 titles = _element_table(
-    "titles", "title_order", "title_text", {"title_type": "titleType", "xml_lang": LANG_ATTR}
+    "titles", "title_order", "title_text", {"title_type": "titleType", "xml_lang": "xml_lang"}
 )
 creators = _person_table("creators", "creator", {})
 contributors = _person_table(
@@ -248,7 +245,7 @@ subjects = _element_table(
         "scheme_uri": "schemeURI",
         "value_uri": "valueURI",
         "classification_code": "classificationCode",
-        "xml_lang": LANG_ATTR,
+        "xml_lang": "xml_lang",
     },
 )
 dates = _element_table(
@@ -280,14 +277,14 @@ rights = _element_table(
         "rights_identifier": "rightsIdentifier",
         "rights_identifier_scheme": "rightsIdentifierScheme",
         "scheme_uri": "schemeURI",
-        "xml_lang": LANG_ATTR,
+        "xml_lang": "xml_lang",
     },
 )
 descriptions = _element_table(
     "descriptions",
     "description_order",
     "description_text",
-    {"description_type": "descriptionType", "xml_lang": LANG_ATTR},
+    {"description_type": "descriptionType", "xml_lang": "xml_lang"},
 )
 alternate_identifiers = _element_table(
     "alternate_identifiers",

@@ -161,14 +161,12 @@ def date_bounds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    line_kind = lambda t: F.create_map(
-        F.lit("kind"), F.when(F.length(t) % 2 == 1, F.lit("odd")).otherwise(F.lit("even"))
-    )
+    def line(text: Column) -> Column:
+        kind = F.when(F.length(text) % 2 == 1, F.lit("odd")).otherwise(F.lit("even"))
+        return F.struct(text.alias("text"), kind.alias("kind"))
+
     return documents(spark, sf).select(
-        "doc_id",
-        F.transform(
-            F.split("text", "\n"), lambda t: F.struct(t.alias("text"), line_kind(t).alias("attrs"))
-        ).alias("lines"),
+        "doc_id", F.transform(F.split("text", "\n"), line).alias("lines")
     )
 
 
