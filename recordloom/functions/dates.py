@@ -30,11 +30,13 @@ def parse_date_strict(value: Column) -> Column:
 def parse_iso_ts(value: Column) -> Column:
     """ISO text with ``Z``, an offset, or no zone (UTC) to an instant; null if malformed."""
     zone = F.regexp_extract(value, _ISO_TIMESTAMP, 1)
+    # Spark wants seconds where ISO lets them go.
+    full = F.regexp_replace(value, r"^(.{10}[T ]\d{2}:\d{2})(?![:\d])", "$1:00")
     return F.when(
         value.rlike(_ISO_TIMESTAMP),
-        F.when(zone != "", value)
+        F.when(zone != "", full)
         .when(F.length(value) == 10, F.concat(value, F.lit("T00:00:00Z")))
-        .otherwise(F.concat(value, F.lit("Z")))
+        .otherwise(F.concat(full, F.lit("Z")))
         .try_cast("timestamp"),
     )
 
