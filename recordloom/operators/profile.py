@@ -23,6 +23,10 @@ def top_issue_signatures(issues: DataFrame, n: int = 50) -> DataFrame:
     )
 
 
+def _rolled_up(counts: DataFrame, key: str) -> DataFrame:
+    return counts.groupBy(key).agg(F.sum("n").alias("n"))
+
+
 def _as_map(counts: DataFrame, key: str, name: str) -> DataFrame:
     """Counts of a fixed, small set of keys as one map, sorted by key."""
     entries = F.array_sort(F.collect_list(F.struct(key, "n")))
@@ -39,16 +43,27 @@ def run_summary(judged: DataFrame, issues: DataFrame, top_n: int = 50) -> DataFr
         F.count("*").alias("processed_files"),
         F.count_if(F.col("error_code").isNotNull()).alias("fatal_parse_errors"),
     )
-    severities = _as_map(issues_by(issues, "severity"), "severity", "issue_counts_by_severity")
-    codes = _as_map(issues_by(issues, "code"), "code", "issue_counts_by_code")
-    ranked = top_issue_signatures(issues, top_n).agg(
-        F.sort_array(
-            F.collect_list(F.struct((-F.col("n")).alias("rank"), "signature", F.col("n").alias("count")))
-        ).alias("ranked")
+    # Counted once; the three reports below all sum up these counts.
+    counts = issues.groupBy("severity", "code", "message").agg(F.count("*").alias("n"))
+    severities = _as_map(_rolled_up(counts, "severity"), "severity", "issue_counts_by_severity")
+    codes = _as_map(_rolled_up(counts, "code"), "code", "issue_counts_by_code")
+    signature = F.concat(F.col("code"), F.lit(": "), F.col("message"))
+    signatures = _rolled_up(counts.withColumn("signature", signature), "signature")
+    ranked = (
+        signatures.orderBy(F.desc("n"), F.asc("signature"))
+        .limit(top_n)
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.struct((-F.col("n")).alias("rank"), "signature", F.col("n").alias("count"))
+                )
+            ).alias("ranked")
+        )
     )
     top = ranked.select(
         F.transform(
-            "ranked", lambda r: F.struct(r["signature"].alias("signature"), r["count"].alias("count"))
+            "ranked",
+            lambda r: F.struct(r["signature"].alias("signature"), r["count"].alias("count")),
         ).alias("top_issue_signatures")
     )
     # Each side is one aggregated row, so these are scalar subqueries, not joins.
