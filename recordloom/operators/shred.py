@@ -31,7 +31,7 @@ from recordloom.schemas import (
 # Ship this module's functions with the job, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_RESOURCE = f"{{{ENVELOPE_NS}}}payload/{{{KERNEL_NS}}}resource"
+_PAYLOAD, _RESOURCE = f"{{{ENVELOPE_NS}}}payload", f"{{{KERNEL_NS}}}resource"
 
 # Output batches are cut at so many documents or bytes of XML, whichever comes first.
 # Small batches keep few Python objects alive; the byte limit keeps long documents
@@ -242,14 +242,15 @@ def _ddl(arrow_type: pa.DataType) -> str:
 def _shred_one(
     path: str, file_name: str, content: bytes | None, readers: Sequence[_Reader]
 ) -> tuple:
-    root = resource = error = None
+    root = error = None
     if content is not None:
         try:
             root = ElementTree.fromstring(content)
-            resource = root.find(_RESOURCE)
         except (ElementTree.ParseError, LookupError, ValueError) as exc:
             error = str(exc)
     in_root = {} if root is None else _by_tag(root)
+    resources = (el for p in in_root.get(_PAYLOAD, ()) for el in p if el.tag == _RESOURCE)
+    resource = next(resources, None)
     in_resource = {} if resource is None else _by_tag(resource)
     head = (path, file_name, content is None, error, resource is not None)
     return head + tuple([read(root, in_root, resource, in_resource) for read in readers])

@@ -3,226 +3,227 @@
 Each document is a function of its order row and the customer joined to it. Nothing
 is grouped, so the work grows with the orders and no order or customer, however
 frequent, gathers rows in one task; AQE splits a hot customer in the join.
+
+The document is one SQL expression, put together below from literals and columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.schemas import ENVELOPE_NS, KERNEL_NS
 from recordloom.session import spread
 
-def _k() -> Column:
-    return F.col("k")
 
+class Sql(str):
+    """SQL text, as opposed to a plain string, which means itself."""
 
-def _every(n: int, remainder: int = 0) -> Column:
-    return F.pmod(_k(), F.lit(n)) == remainder
 
+K = Sql("string(k)")
+STATUS, PRIORITY = Sql("status"), Sql("priority")
+CUSTOMER, SEGMENT, NATION = Sql("customer"), Sql("segment"), Sql("nation")
 
-def _escape(value: Column) -> Column:
-    for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
-        value = F.replace(value, F.lit(raw), F.lit(entity))
-    return value
 
+def _text(*parts: str) -> Sql:
+    """All parts joined to one text."""
+    return Sql(f"concat({', '.join(_sql(p) for p in parts)})")
 
-def _text(*parts: Column | str | int) -> Column:
-    return F.concat(
-        *(p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts)
-    )
 
+def _sql(part: str) -> str:
+    if isinstance(part, Sql):
+        return part
+    return "'" + part.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
 
-def _if(condition: Column, *parts: Column | str) -> Column:
-    return F.when(condition, _text(*parts)).otherwise(F.lit(""))
 
+def _if(condition: str, *parts: str) -> Sql:
+    return _choose(condition, _text(*parts), "")
 
-def _repeat(count: Column, item: Callable[[Column], Column]) -> Column:
-    """The texts of items 1..count, joined."""
-    positions = F.slice(F.sequence(F.lit(1), F.lit(8)), F.lit(1), count.cast("int"))
-    return F.array_join(F.transform(positions, item), "")
 
+def _choose(condition: str, yes: str, no: str) -> Sql:
+    return Sql(f"if({condition}, {_sql(yes)}, {_sql(no)})")
 
-def _creator(i: Column) -> Column:
-    identifier = _repeat(
-        F.pmod(_k() + i, F.lit(4)),
-        lambda j: _text(
-            '<nameIdentifier nameIdentifierScheme="ORCID" schemeURI="https://orcid.example">',
-            "ID-", _k(), "-", i, "-", j, "</nameIdentifier>",
-        ),
-    )
-    affiliation = _repeat(
-        F.pmod(_k() + i, F.lit(3)),
-        lambda a: _text(
-            "<affiliation",
-            F.when(
-                a == 1,
-                _text(' affiliationIdentifier="ror:', _k(), '" affiliationIdentifierScheme="ROR"'),
-            ).otherwise(F.lit("")),
-            ">Dept ", a, " of ", F.col("nation"), "</affiliation>",
-        ),
-    )
+
+def _repeat(count: str, name: str, item: Callable[[Sql], Sql]) -> Sql:
+    """The texts of items 1..count, joined; ``name`` is the item number inside ``item``."""
+    positions = f"slice(sequence(1, 8), 1, int({count}))"
+    return Sql(f"array_join(transform({positions}, {name} -> {item(Sql(f'string({name})'))}), '')")
+
+
+def _creator(i: Sql) -> Sql:
     return _text(
         '<creator><creatorName nameType="',
-        F.when(F.pmod(i, F.lit(2)) == 1, F.lit("Organizational")).otherwise(F.lit("Personal")),
-        '">', F.col("customer"), " / ", i, "</creatorName>",
-        F.when(
-            F.pmod(i, F.lit(2)) == 0,
-            _text("<givenName>G", i, "</givenName><familyName> ", F.col("segment"), "</familyName>"),
-        ).otherwise(F.lit("")),
-        identifier,
-        affiliation,
-        F.when(_every(19) & (i == 1), F.lit("<note>n</note>")).otherwise(F.lit("")),
+        _choose("i % 2 = 1", "Organizational", "Personal"),
+        '">', CUSTOMER, " / ", i, "</creatorName>",
+        _if("i % 2 = 0", "<givenName>G", i, "</givenName><familyName> ", SEGMENT, "</familyName>"),
+        _repeat(
+            "(k + i) % 4", "j",
+            lambda j: _text(
+                '<nameIdentifier nameIdentifierScheme="ORCID" schemeURI="https://orcid.example">',
+                "ID-", K, "-", i, "-", j, "</nameIdentifier>",
+            ),
+        ),
+        _repeat(
+            "(k + i) % 3", "a",
+            lambda a: _text(
+                "<affiliation",
+                _if("a = 1", ' affiliationIdentifier="ror:', K, '" affiliationIdentifierScheme="ROR"'),
+                ">Dept ", a, " of ", NATION, "</affiliation>",
+            ),
+        ),
+        _if("k % 19 = 0 AND i = 1", "<note>n</note>"),
         "</creator>",
     )
 
 
-def _contributor() -> Column:
+def _contributor() -> Sql:
     return _if(
-        _every(4),
+        "k % 4 = 0",
         '<contributors><contributor contributorType="DataCollector"><contributorName>',
-        F.col("customer"),
+        CUSTOMER,
         "</contributorName>",
         _if(
-            _every(8),
+            "k % 8 = 0",
             "<nameIdentifier>C1</nameIdentifier><nameIdentifier>C2</nameIdentifier>",
-            "<affiliation>Office of ", F.col("nation"), "</affiliation>",
+            "<affiliation>Office of ", NATION, "</affiliation>",
         ),
-        _if(_every(23), "<role>r</role>"),
+        _if("k % 23 = 0", "<role>r</role>"),
         "</contributor></contributors>",
     )
 
 
-def _titles() -> Column:
+def _titles() -> Sql:
     return _text(
         "<titles><title",
-        _if(_every(6), ' xml:lang="en"'),
-        _if(_every(13), ' extra="q"'),
-        ">  ", F.col("priority"), "\n  order   ", _k(), " </title>",
+        _if("k % 6 = 0", ' xml:lang="en"'),
+        _if("k % 13 = 0", ' extra="q"'),
+        ">  ", PRIORITY, "\n  order   ", K, " </title>",
         _if(
-            _every(2),
-            '<title titleType="Subtitle">status <i>', F.col("status"), "</i>\n<![CDATA[<b>]]></title>",
+            "k % 2 = 0",
+            '<title titleType="Subtitle">status <i>', STATUS, "</i>\n<![CDATA[<b>]]></title>",
         ),
         "</titles>",
     )
 
 
-def _dates() -> Column:
-    day = F.date_format("order_date", "yyyy-MM-dd")
-    month = F.date_format("order_date", "yyyy-MM")
-    updated = F.date_add(F.col("order_date"), F.pmod(_k(), F.lit(30)).cast("int"))
+def _dates() -> Sql:
+    updated = Sql("string(date_add(order_date, int(k % 30)))")
     return _text(
         "<dates>",
-        _if(_every(11), '<date dateType="Issued"> </date>'),
+        _if("k % 11 = 0", '<date dateType="Issued"> </date>'),
         '<date dateType="Issued">',
-        F.when(_every(5), month).otherwise(day),
+        _choose("k % 5 = 0", Sql("date_format(order_date, 'yyyy-MM')"), Sql("string(order_date)")),
         "</date>",
-        _if(
-            ~_every(3),
-            '<date dateType="Updated" dateInformation="x">',
-            F.date_format(updated, "yyyy-MM-dd"),
-            "</date>",
-        ),
+        _if("k % 3 <> 0", '<date dateType="Updated" dateInformation="x">', updated, "</date>"),
         "</dates>",
     )
 
 
-def _subject(i: Column) -> Column:
+def _subject(i: Sql) -> Sql:
     return _text(
         '<subject subjectScheme="segment"',
-        F.when(F.pmod(i, F.lit(2)) == 0, _text(' classificationCode="', i, '"')).otherwise(F.lit("")),
-        F.when(i == 3, F.lit(' xml:lang="de"')).otherwise(F.lit("")),
-        ">", F.col("segment"), " topic ", i, "</subject>",
+        _if("i % 2 = 0", ' classificationCode="', i, '"'),
+        _if("i = 3", ' xml:lang="de"'),
+        ">", SEGMENT, " topic ", i, "</subject>",
     )
 
 
-def _related(i: Column) -> Column:
+def _related(i: Sql) -> Sql:
     return _text(
         '<relatedIdentifier relatedIdentifierType="DOI" relationType="',
-        F.when(i == 1, F.lit("References")).otherwise(F.lit("IsPartOf")),
-        '">10.2/', _k() + i, "</relatedIdentifier>",
+        _choose("i = 1", "References", "IsPartOf"),
+        '">10.2/', Sql("string(k + i)"), "</relatedIdentifier>",
     )
 
 
-def _alternate_identifiers() -> Column:
+def _alternate_identifiers() -> Sql:
     """The id by three routes, each with a decoy that shows when the wrong one is taken."""
     url = '<alternateIdentifier alternateIdentifierType="URL">https://x.example/records/'
     oai = '<alternateIdentifier alternateIdentifierType="oai">oai:x.example:'
     end = "</alternateIdentifier>"
     return _text(
         "<alternateIdentifiers>",
-        _if(_every(3, 0), url, _k(), end, oai, _k() + 1000000, end),
-        _if(_every(3, 1), url, _k(), "/files", end, oai, _k(), end),
+        _if("k % 3 = 0", url, K, end, oai, Sql("string(k + 1000000)"), end),
+        _if("k % 3 = 1", url, K, "/files", end, oai, K, end),
         "</alternateIdentifiers>",
     )
 
 
-def _resource() -> Column:
+def _resource() -> Sql:
     return _text(
         f'<resource xmlns="{KERNEL_NS}">',
-        '<identifier identifierType="DOI">10.1/', _k(), "</identifier>",
+        '<identifier identifierType="DOI">10.1/', K, "</identifier>",
         _alternate_identifiers(),
-        "<creators>", _repeat(F.pmod(_k(), F.lit(4)), _creator), "</creators>",
+        "<creators>", _repeat("k % 4", "i", _creator), "</creators>",
         _titles(),
-        "<publisher>", F.col("nation"), " Press</publisher>",
+        "<publisher>", NATION, " Press</publisher>",
         "<publicationYear>",
-        F.when(_every(7), F.lit("n.d.")).otherwise(F.date_format("order_date", "yyyy")),
+        _choose("k % 7 = 0", "n.d.", Sql("string(year(order_date))")),
         "</publicationYear>",
-        _if(_every(10), "<language>en</language>"),
-        '<resourceType resourceTypeGeneral="', F.when(_every(2), F.lit("Dataset")).otherwise(F.lit("Text")),
-        '">Data of ', F.col("status"), "</resourceType>",
+        _if("k % 10 = 0", "<language>en</language>"),
+        '<resourceType resourceTypeGeneral="', _choose("k % 2 = 0", "Dataset", "Text"),
+        '">Data of ', STATUS, "</resourceType>",
         _contributor(),
-        "<subjects>", _repeat(F.pmod(_k(), F.lit(5)), _subject), "</subjects>",
+        "<subjects>", _repeat("k % 5", "i", _subject), "</subjects>",
         _dates(),
-        "<relatedIdentifiers>", _repeat(F.pmod(_k() + 1, F.lit(3)), _related), "</relatedIdentifiers>",
+        "<relatedIdentifiers>", _repeat("(k + 1) % 3", "i", _related), "</relatedIdentifiers>",
         '<rightsList><rights xml:lang="en" rightsIdentifier="lic">Some licence</rights>',
         '<rights rightsURI="info:eu-repo/semantics/',
-        F.when(F.col("status") == "F", F.lit("openAccess")).otherwise(F.lit("restrictedAccess")),
+        _choose("status = 'F'", "openAccess", "restrictedAccess"),
         '"/></rightsList>',
-        '<descriptions><description descriptionType="Abstract">',
-        _escape(F.concat(F.lit("<p>"), F.col("segment"), F.lit("</p>"))),
-        "</description></descriptions>",
-        _if(_every(2, 1), "<version>v", F.pmod(_k(), F.lit(10)), "</version>"),
-        _if(_every(25), "<fundingReferences><f/></fundingReferences>"),
+        '<descriptions><description descriptionType="Abstract">&lt;p&gt;',
+        SEGMENT,
+        "&lt;/p&gt;</description></descriptions>",
+        _if("k % 2 = 1", "<version>v", Sql("string(k % 10)"), "</version>"),
+        _if("k % 25 = 0", "<fundingReferences><f/></fundingReferences>"),
         "</resource>",
     )
 
 
-def build_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents ``path, file_name, content`` for every order.
+def _document() -> Sql:
+    """Every 97th document lacks its closing root tag, every 101st its resource."""
+    return _text(
+        f'<?xml version="1.0" encoding="UTF-8"?>\n<oai_datacite xmlns="{ENVELOPE_NS}">',
+        "<!-- one order -->",
+        "<schemaVersion>4.3</schemaVersion><datacentreSymbol>X.Y</datacentreSymbol>",
+        _if("k % 17 = 0", "<oaiNote/>"),
+        "<payload>",
+        _choose("k % 101 = 0", "", _resource()),
+        "</payload>",
+        _if("k % 97 <> 0", "</oai_datacite>"),
+    )
+
+
+def _escaped(column: str) -> str:
+    """Column text with the characters XML reserves written as entities."""
+    text = column
+    for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = f"replace({text}, '{raw}', '{entity}')"
+    return f"coalesce({text}, '')"
 
-    Every 97th document lacks its closing root tag, every 101st its resource.
-    """
+
+def build_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents ``path, file_name, content`` for every order."""
     orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
     nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
     rows = (
         orders.join(customers, orders.o_custkey == customers.c_custkey, "left")
         .join(nations, customers.c_nationkey == nations.n_nationkey, "left")
-        .select(
-            F.col("o_orderkey").alias("k"),
-            F.col("o_orderstatus").alias("status"),
-            F.to_date("o_orderdate").alias("order_date"),
-            _escape(F.col("o_orderpriority")).alias("priority"),
-            F.coalesce(_escape(F.col("c_name")), F.lit("")).alias("customer"),
-            F.coalesce(_escape(F.col("c_mktsegment")), F.lit("")).alias("segment"),
-            F.coalesce(_escape(F.col("n_name")), F.lit("")).alias("nation"),
+        .selectExpr(
+            "o_orderkey AS k",
+            "o_orderstatus AS status",
+            "to_date(o_orderdate) AS order_date",
+            f"{_escaped('o_orderpriority')} AS priority",
+            f"{_escaped('c_name')} AS customer",
+            f"{_escaped('c_mktsegment')} AS segment",
+            f"{_escaped('n_name')} AS nation",
         )
     )
-    xml = _text(
-        f'<?xml version="1.0" encoding="UTF-8"?>\n<oai_datacite xmlns="{ENVELOPE_NS}">',
-        "<!-- one order -->",
-        "<schemaVersion>4.3</schemaVersion><datacentreSymbol>X.Y</datacentreSymbol>",
-        _if(_every(17), "<oaiNote/>"),
-        "<payload>",
-        F.when(_every(101), F.lit("")).otherwise(_resource()),
-        "</payload>",
-        _if(~_every(97), "</oai_datacite>"),
-    )
-    name = F.when(_every(3, 2), _text(_k(), ".xml")).otherwise(_text("doc-", _k(), ".xml"))
+    name = _choose("k % 3 = 2", _text(K, ".xml"), _text("doc-", K, ".xml"))
     return rows.select(
-        F.concat(F.lit("/xml/"), name).alias("path"),
-        name.alias("file_name"),
-        xml.cast("binary").alias("content"),
+        F.expr(_text("/xml/", name)).alias("path"),
+        F.expr(name).alias("file_name"),
+        F.expr(_document()).cast("binary").alias("content"),
     )
