@@ -21,7 +21,6 @@ from recordloom.functions.text import (
     attribute_display_name,
     last_segment,
     normalize_text,
-    quoted,
     safe_int,
 )
 
@@ -43,7 +42,6 @@ __all__ = [
     "parse_date_strict",
     "parse_iso_ts",
     "positional_first",
-    "quoted",
     "record_id_of",
     "safe_int",
     "text_of",

@@ -47,15 +47,17 @@ def last_segment(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
-def attribute_display_name(key: Column) -> Column:
-    """``{xml-namespace}lang`` reads ``xml:lang``; other names stay as they are."""
+def attribute_display_name_sql(key: str) -> str:
+    """SQL text of ``attribute_display_name``, for use inside SQL lambdas."""
     prefix = "{" + XML_NS + "}"
-    return F.when(
-        F.startswith(key, F.lit(prefix)),
-        F.concat(F.lit("xml:"), F.substring(key, len(prefix) + 1, 2**31 - 1)),
-    ).otherwise(key)
+    return (
+        f"if(startswith({key}, '{prefix}'), concat('xml:', substr({key}, {len(prefix) + 1})), {key})"
+    )
+
 
+def attribute_display_name(key: str) -> Column:
+    """``{xml-namespace}lang`` reads ``xml:lang``; other names stay as they are.
 
-def quoted(name: Column) -> Column:
-    """A name in single quotes, as the warning messages spell it."""
-    return F.concat(F.lit("'"), name, F.lit("'"))
+    ``key`` is the name of a column or any SQL expression.
+    """
+    return F.expr(attribute_display_name_sql(key))

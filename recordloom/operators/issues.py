@@ -6,12 +6,10 @@ only its first entry: no window, no join, no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from recordloom.functions.identifiers import file_name_record_id
-from recordloom.functions.text import attribute_display_name, quoted
+from recordloom.functions.text import attribute_display_name_sql
 from recordloom.schemas import table_columns
 
 _WARNINGS_DDL = (
@@ -25,232 +23,160 @@ PARSE_EXCEPTION = "PARSE_EXCEPTION"
 MISSING_RESOURCE_MESSAGE = "Missing /oai_datacite/payload/resource element"
 ERROR_CONTEXT = "parse_record_file"
 
+_OWN_ID = "own_id"
+_NO_ID = "string(null)"
+_EMPTY = f"cast(array() AS {_WARNINGS_DDL})"
+
+
 def _no_id() -> Column:
     return F.lit(None).cast("string")
 
 
-def _none() -> Column:
-    return F.array().cast(_WARNINGS_DDL)
+# The warnings are one SQL expression, put together from the pieces below. Each piece
+# is SQL text for an array of warnings, or null if there are none. ``record_id`` and
+# ``context`` are SQL too.
 
 
 def _warning(
-    code: str, message: Column, record_id: Column, context: Column, strict_message: Column | None = None
-) -> Column:
-    return F.struct(
-        F.lit(code).alias("code"),
-        message.alias("message"),
-        (message if strict_message is None else strict_message).alias("strict_message"),
-        record_id.alias("record_id"),
-        context.alias("context"),
+    code: str, message: str, record_id: str, context: str, strict_message: str | None = None
+) -> str:
+    return (
+        f"named_struct('code', '{code}', 'message', {message}, "
+        f"'strict_message', {strict_message or message}, "
+        f"'record_id', {record_id}, 'context', {context})"
     )
 
 
-def _unknown_children(
-    names: Column, code: str, parent: str, record_id: Column, context: Column
-) -> Column:
+def _unknown_children(names: str, code: str, parent: str, record_id: str, context: str) -> str:
     """One warning per unknown child."""
-    return F.transform(
-        names,
-        lambda n: _warning(
-            code,
-            F.concat(F.lit(f"Unhandled {parent} child element "), quoted(n)),
-            record_id,
-            context,
-        ),
-    )
+    message = f"concat('Unhandled {parent} child element \\'', n, '\\'')"
+    return f"transform({names}, n -> {_warning(code, message, record_id, context)})"
 
 
-def _unknown_attributes(holder: Column, element: str, record_id: Column, context: Column) -> Column:
+def _unknown_attributes(holder: str, element: str, record_id: str, context: str) -> str:
     """One warning per attribute that the element is not known to have."""
-    return F.transform(
-        holder["unknown_attributes"],
-        lambda k: _warning(
-            "UNHANDLED_ATTRIBUTE",
-            F.concat(
-                F.lit("Unhandled attribute "),
-                quoted(attribute_display_name(k)),
-                F.lit(f" on element '{element}'"),
-            ),
-            record_id,
-            context,
-        ),
+    message = (
+        f"concat('Unhandled attribute \\'', {attribute_display_name_sql('n')}, "
+        f"'\\' on element \\'{element}\\'')"
     )
+    warning = _warning("UNHANDLED_ATTRIBUTE", message, record_id, context)
+    return f"transform({holder}.unknown_attributes, n -> {warning})"
 
 
-def _joined(*parts: Column) -> Column:
-    return F.concat(*(F.coalesce(p, _none()) for p in parts))
-
-
-def _indexed(base: str | Column, position: Column) -> Column:
-    prefix = F.lit(base) if isinstance(base, str) else base
-    return F.concat(prefix, F.lit("["), (position + 1).cast("string"), F.lit("]"))
+def _joined(*parts: str) -> str:
+    return f"concat({', '.join(f'coalesce({p}, {_EMPTY})' for p in parts)})"
 
 
-def _per_item(
-    array: Column,
-    warnings_of: Callable[[Column, Column], Column],
-    is_odd: Callable[[Column], Column] | None = None,
-) -> Column:
-    """Warnings of every item, in order. Arrays without an odd item are not looked into."""
-    every = F.flatten(F.transform(array, lambda e, i: F.coalesce(warnings_of(e, i), _none())))
-    return F.when(F.exists(array, is_odd or _has_unknown_attributes), every)
+def _indexed(base: str, position: str) -> str:
+    return f"concat({base}, '[', {position} + 1, ']')"
 
 
-def _has_unknown_attributes(element: Column) -> Column:
-    return element["unknown_attributes"].isNotNull()
+def _per_item(array: str, item: str, warnings_of: str, is_odd: str | None = None) -> str:
+    """Warnings of every item, in order. Arrays without an odd item are not looked into.
 
-
-def _is_odd_person(person: Column) -> Column:
-    """Whether a creator or contributor can have any warning at all."""
-    return (
-        person["unknown_children"].isNotNull()
-        | (F.size(person["name_identifiers"]) > 1)
-        | person["name"]["unknown_attributes"].isNotNull()
-        | F.exists(person["name_identifiers"], _has_unknown_attributes)
-        | F.exists(person["affiliations"], _has_unknown_attributes)
-    )
+    Inside ``warnings_of`` an item is called ``item`` and its position ``item`` + ``_i``.
+    """
+    odd = is_odd or f"{item}.unknown_attributes IS NOT NULL"
+    every = f"transform({array}, ({item}, {item}_i) -> coalesce({warnings_of}, {_EMPTY}))"
+    return f"if(exists({array}, {item} -> {odd}), flatten({every}), null)"
 
 
-def _is_odd_contributor(person: Column) -> Column:
-    return _has_unknown_attributes(person) | _is_odd_person(person)
+def _element_attributes(column: str, element: str, base: str, record_id: str) -> str:
+    context = _indexed(f"'{base}'", "e_i")
+    return _per_item(column, "e", _unknown_attributes("e", element, record_id, context))
 
 
-def _element_attributes(column: str, element: str, base: str, record_id: Column) -> Column:
-    return _per_item(
-        F.col(column),
-        lambda e, i: _unknown_attributes(e, element, record_id, _indexed(base, i)),
-    )
+# Whether a creator or contributor p can have any warning at all.
+_ODD_PERSON = (
+    "p.unknown_children IS NOT NULL OR size(p.name_identifiers) > 1 "
+    "OR p.name.unknown_attributes IS NOT NULL "
+    "OR exists(p.name_identifiers, x -> x.unknown_attributes IS NOT NULL) "
+    "OR exists(p.affiliations, x -> x.unknown_attributes IS NOT NULL)"
+)
 
 
-def _person_warnings(
-    person: Column,
-    base: Column,
-    record_id: Column,
-    element: str,
-    own_attributes: bool,
-) -> Column:
-    """Warnings of one creator or contributor, in reading order."""
-    ids = person["name_identifiers"]
-    noun = element.capitalize()
-    several = F.when(
-        F.size(ids) > 1,
-        F.array(
-            _warning(
-                "MULTIPLE_NAME_IDENTIFIERS",
-                F.concat(
-                    F.lit(f"{noun} has "),
-                    F.size(ids).cast("string"),
-                    F.lit(
-                        " nameIdentifier elements; only the first is mapped "
-                        f"into {element}s table"
-                    ),
-                ),
-                record_id,
-                base,
-                F.lit(f"Multiple {element} nameIdentifier elements"),
-            )
-        ),
+def _person_warnings(column: str, element: str, own_attributes: bool) -> str:
+    """Warnings of all creators or contributors, in reading order."""
+    base = _indexed(f"'/resource/{column}/{element}'", "p_i")
+    several = _warning(
+        "MULTIPLE_NAME_IDENTIFIERS",
+        f"concat('{element.capitalize()} has ', size(p.name_identifiers), "
+        f"' nameIdentifier elements; only the first is mapped into {element}s table')",
+        _OWN_ID,
+        base,
+        f"'Multiple {element} nameIdentifier elements'",
     )
     steps = [
         _unknown_children(
-            person["unknown_children"],
-            f"UNHANDLED_{element.upper()}_CHILD",
-            element,
-            record_id,
-            base,
-        ),
-        _unknown_attributes(
-            person["name"],
-            f"{element}Name",
-            record_id,
-            F.concat(base, F.lit(f"/{element}Name")),
+            "p.unknown_children", f"UNHANDLED_{element.upper()}_CHILD", element, _OWN_ID, base
         ),
-        several,
+        _unknown_attributes("p.name", f"{element}Name", _OWN_ID, f"concat({base}, '/{element}Name')"),
+        f"if(size(p.name_identifiers) > 1, array({several}), null)",
         _unknown_attributes(
-            F.try_element_at(ids, F.lit(1)),
+            "try_element_at(p.name_identifiers, 1)",
             "nameIdentifier",
-            record_id,
-            F.concat(base, F.lit("/nameIdentifier[1]")),
+            _OWN_ID,
+            f"concat({base}, '/nameIdentifier[1]')",
         ),
         _per_item(
-            person["affiliations"],
-            lambda a, i: _unknown_attributes(
-                a,
-                "affiliation",
-                record_id,
-                _indexed(F.concat(base, F.lit("/affiliation")), i),
+            "p.affiliations",
+            "a",
+            _unknown_attributes(
+                "a", "affiliation", _OWN_ID, _indexed(f"concat({base}, '/affiliation')", "a_i")
             ),
         ),
     ]
+    odd = _ODD_PERSON
     if own_attributes:
-        steps.insert(0, _unknown_attributes(person, element, record_id, base))
-    return _joined(*steps)
-
-
-def warnings(record_id: Column) -> Column:
-    """All warnings of a shredded row in the order in which a reader meets them."""
-    return _joined(
-        _unknown_children(
-            F.col("unknown_root_children"),
-            "UNHANDLED_ROOT_CHILD",
-            "root",
-            _no_id(),
-            F.lit("/oai_datacite"),
-        ),
-        _unknown_children(
-            F.col("unknown_resource_children"),
-            "UNHANDLED_RESOURCE_CHILD",
-            "resource",
-            _no_id(),
-            F.lit("/oai_datacite/payload/resource"),
-        ),
-        _unknown_attributes(
-            F.col("identifier"), "identifier", _no_id(), F.lit("/resource/identifier")
-        ),
-        _element_attributes(
-            "alternate_identifiers",
-            "alternateIdentifier",
-            "/resource/alternateIdentifiers/alternateIdentifier",
-            _no_id(),
-        ),
-        _element_attributes("titles", "title", "/resource/titles/title", record_id),
-        _per_item(
-            F.col("creators"),
-            lambda p, i: _person_warnings(
-                p,
-                _indexed("/resource/creators/creator", i),
-                record_id,
-                "creator",
-                own_attributes=False,
+        steps.insert(0, _unknown_attributes("p", element, _OWN_ID, base))
+        odd += " OR p.unknown_attributes IS NOT NULL"
+    return _per_item(column, "p", _joined(*steps), odd)
+
+
+def warnings() -> Column:
+    """All warnings of a shredded row with an ``own_id``, in the order of reading."""
+    return F.expr(
+        _joined(
+            _unknown_children(
+                "unknown_root_children",
+                "UNHANDLED_ROOT_CHILD",
+                "root",
+                _NO_ID,
+                "'/oai_datacite'",
             ),
-            _is_odd_person,
-        ),
-        _per_item(
-            F.col("contributors"),
-            lambda p, i: _person_warnings(
-                p,
-                _indexed("/resource/contributors/contributor", i),
-                record_id,
-                "contributor",
-                own_attributes=True,
+            _unknown_children(
+                "unknown_resource_children",
+                "UNHANDLED_RESOURCE_CHILD",
+                "resource",
+                _NO_ID,
+                "'/oai_datacite/payload/resource'",
             ),
-            _is_odd_contributor,
-        ),
-        _element_attributes("subjects", "subject", "/resource/subjects/subject", record_id),
-        _element_attributes("dates", "date", "/resource/dates/date", record_id),
-        _unknown_attributes(
-            F.col("resource_type"), "resourceType", record_id, F.lit("/resource/resourceType")
-        ),
-        _element_attributes(
-            "related_identifiers",
-            "relatedIdentifier",
-            "/resource/relatedIdentifiers/relatedIdentifier",
-            record_id,
-        ),
-        _element_attributes("rights", "rights", "/resource/rightsList/rights", record_id),
-        _element_attributes(
-            "descriptions", "description", "/resource/descriptions/description", record_id
-        ),
+            _unknown_attributes("identifier", "identifier", _NO_ID, "'/resource/identifier'"),
+            _element_attributes(
+                "alternate_identifiers",
+                "alternateIdentifier",
+                "/resource/alternateIdentifiers/alternateIdentifier",
+                _NO_ID,
+            ),
+            _element_attributes("titles", "title", "/resource/titles/title", _OWN_ID),
+            _person_warnings("creators", "creator", own_attributes=False),
+            _person_warnings("contributors", "contributor", own_attributes=True),
+            _element_attributes("subjects", "subject", "/resource/subjects/subject", _OWN_ID),
+            _element_attributes("dates", "date", "/resource/dates/date", _OWN_ID),
+            _unknown_attributes(
+                "resource_type", "resourceType", _OWN_ID, "'/resource/resourceType'"
+            ),
+            _element_attributes(
+                "related_identifiers",
+                "relatedIdentifier",
+                "/resource/relatedIdentifiers/relatedIdentifier",
+                _OWN_ID,
+            ),
+            _element_attributes("rights", "rights", "/resource/rightsList/rights", _OWN_ID),
+            _element_attributes(
+                "descriptions", "description", "/resource/descriptions/description", _OWN_ID
+            ),
+        )
     )
 
 
@@ -306,8 +232,8 @@ def judge(
     ``report`` there is no ``warnings`` column, and none are looked for.
     """
     # A column of its own: the warnings mention the id in many places.
-    found = shredded.withColumn("own_id", record_id)
-    own_id = F.col("own_id")
+    found = shredded.withColumn(_OWN_ID, record_id)
+    own_id = F.col(_OWN_ID)
     message = (
         F.when(
             F.col("is_missing"), F.concat(F.lit("No such file or directory: "), F.col("path"))
@@ -315,12 +241,12 @@ def judge(
         .when(F.col("parser_error").isNotNull(), F.col("parser_error"))
     )
     if strict:
-        first = F.slice(warnings(own_id), 1, 1)
+        first = F.slice(warnings(), 1, 1)
         found = found.withColumn("warnings", first)
         strict_message = F.try_element_at("warnings", F.lit(1))["strict_message"]
         message = message.when(strict_message.isNotNull(), strict_message)
     elif report:
-        found = found.withColumn("warnings", warnings(own_id))
+        found = found.withColumn("warnings", warnings())
     message = message.when(~F.col("has_resource"), F.lit(MISSING_RESOURCE_MESSAGE))
     error_code = F.when(F.col("is_missing"), F.lit(MISSING_INPUT_FILE)).when(
         F.col("error_message").isNotNull(), F.lit(PARSE_EXCEPTION)
@@ -331,4 +257,4 @@ def judge(
     judged = found.withColumn("error_message", message).withColumns(
         {"error_code": error_code, "record_id": settled_id}
     )
-    return judged.drop("own_id")
+    return judged.drop(_OWN_ID)

@@ -122,9 +122,8 @@ def attribute_display_name(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("{urn:x}"), F.col("role")),
         F.col("role"),
     )
-    return conversations(spark, sf).select(
-        "conv_id", "turn", fn.attribute_display_name(key).alias("name")
-    )
+    keyed = conversations(spark, sf).select("conv_id", "turn", key.alias("key"))
+    return keyed.select("conv_id", "turn", fn.attribute_display_name("key").alias("name"))
 
 
 def iso_z(spark: SparkSession, sf: str) -> DataFrame:
