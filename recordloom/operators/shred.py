@@ -172,16 +172,28 @@ def _single(name: str, element: str) -> None:
     )
 
 
+def count_section(name: str) -> str:
+    return f"{name}_count"
+
+
 def _repeated(name: str, container: str, item: str, item_type: pa.DataType, read: _Reader) -> None:
-    """Items of every container of that name, so a second list continues the first."""
+    """Items of every container of that name, so a second list continues the first.
+
+    Their number is a section of its own, for those who need nothing else of them.
+    """
     container, item = _kernel(container), _kernel(item)
 
+    def items(in_res):
+        return (el for p in in_res.get(container, ()) for el in p if el.tag == item)
+
     def read_all(root, in_root, res, in_res):
-        if res is None:
-            return None
-        return [read(el) for p in in_res.get(container, ()) for el in p if el.tag == item]
+        return None if res is None else [read(el) for el in items(in_res)]
+
+    def count(root, in_root, res, in_res):
+        return sum(1 for _ in items(in_res))
 
     _SECTIONS[name] = (pa.list_(item_type), read_all)
+    _SECTIONS[count_section(name)] = (pa.int64(), count)
 
 
 def _elements(name: str, container: str, element: str) -> None:
@@ -236,7 +248,7 @@ def _ddl(arrow_type: pa.DataType) -> str:
         return f"struct<{', '.join(fields)}>"
     if pa.types.is_list(arrow_type):
         return f"array<{_ddl(arrow_type.value_type)}>"
-    return "boolean" if pa.types.is_boolean(arrow_type) else "string"
+    return {pa.bool_(): "boolean", pa.int64(): "bigint"}.get(arrow_type, "string")
 
 
 def _shred_one(

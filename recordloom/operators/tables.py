@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from recordloom.functions.dates import parse_date_strict
 from recordloom.functions.elements import (
-    element_count,
     first_by_prefix,
     first_with_text,
     positional_first,
@@ -21,29 +20,15 @@ from recordloom.functions.elements import (
 from recordloom.functions.identifiers import extract_record_id
 from recordloom.functions.text import last_segment, normalize_text, safe_int
 from recordloom.operators.issues import issues_table, judge
-from recordloom.operators.shred import SECTIONS, shred_documents
+from recordloom.operators.shred import SECTIONS, count_section, shred_documents
 from recordloom.schemas import (
     ACCESS_RIGHTS_PREFIX,
     ALL_TABLES,
+    CHILD_TABLES,
     table_columns,
     table_schema,
 )
 
-_UNKNOWN_CHILDREN = ["unknown_root_children", "unknown_resource_children"]
-
-# Sections each table is made of; ids always need the alternate identifiers. Issues
-# need all.
-TABLE_SECTIONS: dict[str, list[str]] = {
-    "records": [s for s in SECTIONS if s not in _UNKNOWN_CHILDREN],
-    **{
-        t: ["alternate_identifiers", t]
-        for t in ALL_TABLES
-        if t not in ("records", "issues", "alternate_identifiers")
-    },
-    "alternate_identifiers": ["alternate_identifiers"],
-}
-
-
 _SINGLE_SECTIONS = [
     "schema_version",
     "datacentre_symbol",
@@ -54,17 +39,28 @@ _SINGLE_SECTIONS = [
     "resource_type",
 ]
 
-# Counts of a record, and the leaf whose array length tells each. Creators and
-# contributors count persons, not person-affiliation rows.
-_COUNTED_LEAVES = {
-    "title_count": "titles.text",
-    "description_count": "descriptions.text",
-    "creator_count": "creators.name.text",
-    "contributor_count": "contributors.name.text",
-    "subject_count": "subjects.text",
-    "related_identifier_count": "related_identifiers.text",
-    "rights_count": "rights.text",
-    "alternate_identifier_count": "alternate_identifiers.text",
+# Counts of a record and the sections they count. Creators and contributors count
+# persons, not person-affiliation rows.
+_COUNTED_SECTIONS = {
+    "title_count": "titles",
+    "description_count": "descriptions",
+    "creator_count": "creators",
+    "contributor_count": "contributors",
+    "subject_count": "subjects",
+    "related_identifier_count": "related_identifiers",
+    "rights_count": "rights",
+    "alternate_identifier_count": "alternate_identifiers",
+}
+
+# Sections each table is made of; ids always need the alternate identifiers. Issues
+# need all.
+TABLE_SECTIONS: dict[str, list[str]] = {
+    "records": [
+        *_SINGLE_SECTIONS,
+        *("alternate_identifiers", "titles", "dates", "rights"),
+        *(count_section(s) for s in _COUNTED_SECTIONS.values()),
+    ],
+    **{t: ["alternate_identifiers", t] for t in CHILD_TABLES},
 }
 
 
@@ -108,7 +104,7 @@ def records(judged: DataFrame) -> DataFrame:
     ok = F.col("error_code").isNull()
     # First of all, everything large shrinks to what a record needs of it, and failed
     # documents lose it. Later expressions are then unconditional, so Spark evaluates
-    # what they share once. Counts name one leaf, which is all a Parquet scan reads.
+    # what they share once.
     needed = {
         **{s: F.col(s) for s in _SINGLE_SECTIONS},
         "alternate_identifiers": F.col("alternate_identifiers"),
@@ -126,8 +122,8 @@ def records(judged: DataFrame) -> DataFrame:
         ok.alias("parse_ok"),
         *(F.when(ok, v).alias(n) for n, v in needed.items()),
         *(
-            F.when(ok, element_count(F.col(leaf))).otherwise(F.lit(0)).alias(n)
-            for n, leaf in _COUNTED_LEAVES.items()
+            F.when(ok, F.col(count_section(s))).otherwise(F.lit(0)).alias(n)
+            for n, s in _COUNTED_SECTIONS.items()
         ),
     )
     picked = kept.withColumns(
