@@ -1,0 +1 @@
+"""Metadata documents and records as analytical tables on Spark."""

@@ -1,6 +1,7 @@
 """The golden documents, through files, in tolerant and strict mode."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,6 +211,8 @@ def test_file_list(spark, folder):
     docs = read_xml_list(spark, str(inside / "list.txt"))
     got = sorted((r.file_name, r.content is None) for r in docs.collect())
     assert got == [("24.xml", True), ("7.xml", False), ("7.xml", False), ("8.xml", False), ("9.xml", False)]
+    relative = read_xml_list(spark, os.path.relpath(inside / "list.txt"))
+    assert relative.exceptAll(docs).count() == docs.exceptAll(relative).count() == 0
     missing = by_file(table_from_documents(docs, "records"))["24.xml"][0]
     assert (missing.parse_ok, missing.record_id) == (False, "24")
     (issue,) = by_file(table_from_documents(docs, "issues"))["24.xml"]
@@ -217,6 +220,15 @@ def test_file_list(spark, folder):
     assert issue.message == f"No such file or directory: {inside}/24.xml"
 
 
+def test_listed_names_with_spaces_and_signs(spark, tmp_path):
+    odd = tmp_path / "x + y"
+    odd.mkdir()
+    (odd / "7 a+b%20.xml").write_text(golden.DOCS["7.xml"])
+    (odd / "list.txt").write_text("7 a+b%20.xml\n")
+    (doc,) = read_xml_list(spark, str(odd / "list.txt")).collect()
+    assert (doc.path, doc.content is not None) == (f"{odd}/7 a+b%20.xml", True)
+
+
 def test_ordered_listing_and_literal_filter(spark, folder):
     docs = read_xml_dir(spark, str(folder), ordered=True)
     paths = [r.path for r in docs.select("path").collect()]
