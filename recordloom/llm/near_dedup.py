@@ -11,8 +11,12 @@ Candidates are found in two rounds, and no region is cut short:
    ``DEPTH`` values, that it shares. That is two pairs a row however large a region is, and
    ties together almost all that belongs together;
 2. in regions that still hold several components, every member outside the region's
-   largest component against all members of other components, unless sizes or 256 sketch
-   bits rule out the needed similarity. So a region of near copies costs next to nothing.
+   largest component against all members of other components, unless sizes or sketches
+   rule out the needed similarity. So a region of near copies costs next to nothing.
+
+Of the two sketches, one has a bit of each MinHash value. The other has a bit for each rest
+of a shingle modulo 1024, set if an odd number of shingles have that rest: two of them
+never differ in more bits than the sets in shingles, so it rules out no link.
 
 Documents with equal sets are one node throughout.
 """
@@ -34,17 +38,18 @@ from .work import work_table
 BASE = 5  # values that a region shares
 DEPTH = 7  # values that the deepest run shares
 ORDERS = 32
-_BITS = 256  # sketch bits: the lowest bit of as many hash functions
+_BITS = ORDERS * DEPTH  # of the sketch with a bit of each value
+_RESTS = 1024  # bits of the sketch of odd rests
 _BLOCK = 512  # shingles hashed at a time, to stay in the processor's cache
-# Agreeing bits of 256 expected at similarity s: 128 * (1 + s). So many standard deviations of slack.
+# Standard deviations by which agreeing bits may fall short of what a linked pair is expected to have.
 _SLACK = 4.5
 
-_FEATURES = "doc_id long, text_hash long, n_shingles long, digest binary, regions array<long>, runs array<long>, bits array<long>"
+_FEATURES = "doc_id long, text_hash long, n_shingles long, digest binary, regions array<long>, runs array<long>, bits array<long>, odd array<long>"
 
 
 def _factors(seed: int) -> np.ndarray:
     draw = np.random.default_rng(seed)
-    return draw.integers(1, 2**63, ORDERS * DEPTH + _BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return draw.integers(1, 2**63, ORDERS * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -57,20 +62,32 @@ def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def _keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    orders = mixed(values[: ORDERS * DEPTH]).reshape(ORDERS, DEPTH)
+    """Hashes of the first values of every order, of all its values, and a bit of each value."""
+    values = mixed(values)
+    orders = values.reshape(ORDERS, DEPTH)
     path = np.arange(1, ORDERS + 1, dtype=np.uint64)
     for k in range(DEPTH):
         path = mixed(path * np.uint64(0x9E3779B97F4A7C15) + orders[:, k])
         if k == BASE - 1:
             regions = path
-    bits = (mixed(values[ORDERS * DEPTH :]) & np.uint64(1)).astype(np.uint8)
-    return regions.view(np.int64), path.view(np.int64), np.packbits(bits).view(np.int64)
+    return regions.view(np.int64), path.view(np.int64), _packed(values & np.uint64(1))
+
+
+def _packed(bits: np.ndarray) -> np.ndarray:
+    """Bits as 64-bit numbers, filled up with zeros."""
+    bytes_ = np.packbits(bits.astype(np.uint8))
+    return np.pad(bytes_, (0, -len(bytes_) % 8)).view(np.int64)
+
+
+def odd_rests(shingles: np.ndarray) -> np.ndarray:
+    rests = (shingles % np.uint64(_RESTS)).astype(np.int64)
+    return _packed(np.bincount(rests, minlength=_RESTS) & 1)
 
 
 def _featurizer(width: int, seed: int):
     factors = _factors(seed)
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
-                        *((n, pa.list_(pa.int64())) for n in ("regions", "runs", "bits"))])
+                        *((n, pa.list_(pa.int64())) for n in ("regions", "runs", "bits", "odd"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,10 +95,10 @@ def _featurizer(width: int, seed: int):
             for *ids, text in zip(*(batch[n].to_pylist() for n in ("doc_id", "text_hash")), batch["text"], strict=True):
                 found = shingle_set(text.as_py(), width)
                 if not len(found):
-                    rows.append((*ids, 0, None, None, None, None))
+                    rows.append((*ids, 0, None, None, None, None, None))
                     continue
                 digest = xxhash.xxh3_128_digest(found.tobytes())
-                rows.append((*ids, len(found), digest, *_keys(signature(found, factors))))
+                rows.append((*ids, len(found), digest, *_keys(signature(found, factors)), odd_rests(found)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)],
@@ -117,13 +134,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").where(100 * both >= percent * union).select("a", "b")
 
 
+def _differing(name: str, words: int) -> Column:
+    """In how many bits a sketch of two rows differs."""
+    return sum((F.bit_count(F.col(f"x.{name}")[k].bitwiseXOR(F.col(f"y.{name}")[k])) for k in range(words)), F.lit(0))
+
+
 def _could_link(percent: int) -> Column:
     """Neither the sizes nor the sketches of two nodes rule out a link."""
-    share = percent / 100
-    least = 128 * (1 + share) - _SLACK * (_BITS * (1 + share) / 2 * (1 - share) / 2) ** 0.5
-    differ = sum((F.bit_count(F.col(f"x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(4)), F.lit(0))
+    agree = (1 + percent / 100) / 2
+    most = _BITS * (1 - agree) + _SLACK * (_BITS * agree * (1 - agree)) ** 0.5
     sizes = 100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")
-    return sizes & (differ <= int(_BITS - least))
+    # Linked sets differ in at most this part of their shingles.
+    rests = _differing("odd", _RESTS // 64) * (100 + percent) <= (F.col("x.size") + F.col("y.size")) * (100 - percent)
+    return sizes & rests & (_differing("bits", -(-_BITS // 64)) <= int(most))
 
 
 def near_duplicates(
@@ -154,7 +177,7 @@ def _placed(docs: DataFrame, width: int, percent: int, id_col: str, text_col: st
         features.where("digest is not null").groupBy("digest").agg(
             F.min("doc_id").alias("least_id"), F.any_value("n_shingles").alias("size"),
             F.any_value("regions").alias("regions"), F.any_value("runs").alias("runs"),
-            F.any_value("bits").alias("bits"),
+            F.any_value("bits").alias("bits"), F.any_value("odd").alias("odd"),
         ).withColumn("node", F.monotonically_increasing_id()))
 
     # Rows of every order whose region holds more than one node.
@@ -194,7 +217,7 @@ def _across(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int
     mixed_regions = shares.groupBy("region").agg(
         F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     rows = work_table(placed.join(mixed_regions.select("region", "main"), "region").join(
-        nodes.select("node", "size", "bits"), "node"))
+        nodes.select("node", "size", "bits", "odd"), "node"))
     x, y = rows.where("root <> main").alias("x"), rows.alias("y")
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.node") > F.col("y.node"))
     both = x.join(y, (F.col("x.region") == F.col("y.region")) & (F.col("x.root") != F.col("y.root"))
