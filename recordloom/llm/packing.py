@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 8_000_000  # 32 MB of ids held by a task
+_TOGETHER = 64  # documents whose new words are tokenized in one call
 
 _PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -78,42 +79,59 @@ def best_fit_decreasing(lengths: list[int], window: int) -> tuple[list[int], lis
     return places, offsets, used
 
 
-class WordIds(dict):
+class WordIds:
     """Ids, as little-endian 32-bit bytes, of each piece of text between ASCII white space.
 
     The tokenizer drops white space and its pieces never reach across it, so a text's ids are
-    those of its words one after the other. Each word is tokenized once per worker; a full
-    stop or comma after a Latin letter is a piece of its own and taken off first.
+    those of its words one after the other. A word is tokenized when first met, with all other
+    new words of some documents in one call; a full stop or comma after a Latin letter is a
+    piece of its own and taken off first.
     """
 
-    MOST = 600_000  # memory only: beyond it the words are forgotten and tokenized anew
+    MOST = 700_000  # memory only: so many words, and the generation before them, are remembered
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end_id], "<u4").tobytes()
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.MOST:
-            self.clear()
-        if word[-1:] in (b".", b",") and len(word) > 1:
-            head = word[:-1].decode("utf-8")
-            if head[-1] < "ɐ" and head[-1].isalpha():
-                value = self[word] = self[word[:-1]] + self[word[-1:]]
-                return value
-        if word.isalpha() and not word.islower():  # ASCII letters alone
-            value = self[word] = self[word.lower()]
-            return value
-        value = self[word] = self._encode(word.decode("utf-8"))
-        return value
-
-    def document(self, text: str | None) -> bytes:
-        words = text.encode("utf-8").split() if text else []
-        return b"".join([*map(self.__getitem__, words), self.end])
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _learn(self, words: set[bytes]) -> None:
+        known, old, new, made = self.known, self.old, {b".", b","}, []
+        for word in words:
+            if word in old:
+                known[word] = old[word]
+                continue
+            base, tail = word, b""
+            if word[-1:] in (b".", b",") and len(word) > 1:
+                head = word[:-1].decode("utf-8")
+                if head[-1] < "ɐ" and head[-1].isalpha():
+                    base, tail = word[:-1], word[-1:]
+            if base.isalpha() and not base.islower():  # ASCII letters alone
+                base = base.lower()
+            made.append((word, base, tail))
+            new.add(base)
+        fresh = [word for word in new if word not in known]
+        found = self.tokenizer.encode([w.decode("utf-8") for w in fresh], is_pretokenized=True, add_special_tokens=False)
+        ids, ends = np.array(found.ids, "<u4"), np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(fresh) + 1))
+        for k, word in enumerate(fresh):
+            known[word] = ids[ends[k] : ends[k + 1]].tobytes()
+        for word, base, tail in made:
+            known[word] = known[base] + known[tail] if tail else known[base]
+
+    def documents(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of whole texts, each with the end id."""
+        words = [t.encode("utf-8").split() if t else [] for t in texts]
+        new = set().union(*words).difference(self.known)
+        if new:
+            if len(self.known) + len(new) > self.MOST:
+                self.known, self.old = {}, self.known
+                new = set().union(*words)
+            self._learn(new)
+        ids = self.known.__getitem__
+        return [b"".join([*map(ids, found), self.end]) for found in words]
 
 
 _LOADED: dict[tuple[str, int], WordIds] = {}
@@ -156,14 +174,17 @@ def _packer(path: str, window: int, end_id: int, block_tokens: int):
             return batch
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                whole = ids.document(text.as_py())
-                total = len(whole) // 4
-                for start in range(0, total, window):
-                    block.append((doc_id.as_py(), start, whole[start * 4 : (start + window) * 4], total))
-                    held += min(window, total - start)
-                    if held >= block_tokens:
-                        yield packed_block()
+            doc_ids = batch["doc_id"].to_pylist()
+            for first_row in range(0, len(doc_ids), _TOGETHER):
+                rows = slice(first_row, first_row + _TOGETHER)
+                texts = [t.as_py() for t in batch["text"][rows]]
+                for doc_id, whole in zip(doc_ids[rows], ids.documents(texts), strict=True):
+                    total = len(whole) // 4
+                    for start in range(0, total, window):
+                        block.append((doc_id, start, whole[start * 4 : (start + window) * 4], total))
+                        held += min(window, total - start)
+                        if held >= block_tokens:
+                            yield packed_block()
         if block:
             yield packed_block()
 
