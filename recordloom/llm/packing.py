@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .work import kept_by_worker
+
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 8_000_000  # 32 MB of ids held by a task
@@ -134,14 +136,9 @@ class WordIds:
         return [b"".join([*map(ids, found), self.end]) for found in words]
 
 
-_LOADED: dict[tuple[str, int], WordIds] = {}
-
-
 def word_ids(path: str, end_id: int) -> WordIds:
     """The tokenizer of this worker, loaded once."""
-    if (path, end_id) not in _LOADED:
-        _LOADED[path, end_id] = WordIds(path, end_id)
-    return _LOADED[path, end_id]
+    return kept_by_worker(f"{path} {end_id}", lambda: WordIds(path, end_id))
 
 
 def _packer(path: str, window: int, end_id: int, block_tokens: int):

@@ -3,7 +3,7 @@
 P(grade <= k | x) = sigmoid(threshold_k - w.x). All thresholds share the weights ``w``, so
 what makes a text worse moves it along one scale. The result is the expected grade.
 
-Features are words in lower case and their beginnings of four and five letters, which meet
+Features are words in lower case and their beginnings of four to seven letters, which meet
 inflected forms; a feature counts 1 + log(number of occurrences), however long the text.
 """
 
@@ -27,7 +27,7 @@ LEAST_DOCUMENTS = 3  # of the sample that hold a feature
 LEAST_Z = 4.0  # how far, in standard errors, its share of toxic documents is above the average
 GRADE_HITS = (1, 3, 6)  # occurrences of toxic features from which a toxic document has grade 1, 2, 3
 _WORD = re.compile(r"[^\W\d_]+")
-_BEGINNINGS = (4, 5)
+_BEGINNINGS = (4, 5, 6, 7)
 
 
 def features_of(word: str) -> list[str]:

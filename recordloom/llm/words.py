@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from .work import kept_by_worker
+
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _HALF = np.uint64(32)
 
@@ -21,16 +23,13 @@ class WordHashes(dict):
         return value
 
 
-_HASHES = WordHashes()
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Runs of anything but ASCII white space, A-Z in lower case; whole text, null has none."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(kept_by_worker("words", WordHashes).__getitem__, words), np.uint64, len(words))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,3 +25,15 @@ def work_table(df: DataFrame) -> DataFrame:
     path = work_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def kept_by_worker(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gave the first task of this worker process that asked for ``name``.
+
+    Functions come to a worker anew with every task, so what they are to remember from one
+    to the next has a module of its own.
+    """
+    held = sys.modules.setdefault("recordloom_kept", types.ModuleType("recordloom_kept")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
