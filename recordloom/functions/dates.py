@@ -12,7 +12,7 @@ from recordloom.functions.text import WHITESPACE
 
 _ISO_TIMESTAMP = (
     r"^\d{4}-\d{2}-\d{2}"
-    r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?\z"
+    r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(Z|[+-]\d{2}:\d{2})?)?\z"
 )
 
 
@@ -28,10 +28,14 @@ def parse_date_strict(value: Column) -> Column:
 
 
 def parse_iso_ts(value: Column) -> Column:
-    """ISO text with ``Z``, an offset, or no zone (UTC) to an instant; null if malformed."""
+    """ISO text with ``Z``, an offset, or no zone (UTC) to an instant; null if malformed.
+
+    Of a fraction of a second six digits count.
+    """
     zone = F.regexp_extract(value, _ISO_TIMESTAMP, 1)
     # Spark wants seconds where ISO lets them go.
     full = F.regexp_replace(value, r"^(.{10}[T ]\d{2}:\d{2})(?![:\d])", "$1:00")
+    full = F.regexp_replace(full, r"(\.\d{6})\d+", "$1")
     return F.when(
         value.rlike(_ISO_TIMESTAMP),
         F.when(zone != "", full)

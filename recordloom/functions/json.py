@@ -5,6 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# No limit on the length of a line, of its texts and numbers, or on its depth.
+_UNLIMITED = {"maxStringLen": "2147483647", "maxNumLen": "2147483647", "maxNestingDepth": "2147483647"}
+_LINE_DDL = "id string, malformed_ string"
+
+
+def read_line(value: Column) -> Column:
+    """``struct<id, malformed_>`` of a line: the id's text as written, and the line if it is no JSON object.
+
+    Repeated keys (the last one counts), ``NaN`` and ``Infinity`` are valid, and lines of any length.
+    """
+    options = {"columnNameOfCorruptRecord": "malformed_", "allowSingleQuotes": "false", **_UNLIMITED}
+    return F.from_json(value, _LINE_DDL, options)
+
+
 def record_id_of(record: Column) -> Column:
     """The record's ``id`` as a string, whatever JSON type it has; null if absent."""
     return F.try_variant_get(record, "$.id", "string")

@@ -18,6 +18,7 @@ from recordloom.operators.windows import (
     HalvingTree,
     assign_windows,
     count_by_window,
+    count_leaves,
     plan_windows_by_count,
     split_windows,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "HalvingTree",
     "assign_windows",
     "count_by_window",
+    "count_leaves",
     "dedupe_against_existing",
     "dedupe_first",
     "derive_tables",

@@ -25,8 +25,7 @@ def dedupe_first(df: DataFrame, id_col: str, order_by: str | Sequence[str]) -> D
 
     The first row is the minimum of ``(order, row)``, an aggregate that Spark computes
     partly before the shuffle: an id that holds a third of all rows leaves each map
-    task as one row. A window function would sort all of them in a single task. Rows
-    without an id do not take part in the shuffle.
+    task as one row. Rows without an id do not take part in the shuffle.
     """
     firsts = _first_rows(df, id_col, order_by).select(f"{_ROW}.*")
     return firsts.unionByName(df.where(F.col(id_col).isNull()))

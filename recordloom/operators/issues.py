@@ -218,7 +218,7 @@ def issues_table(judged: DataFrame) -> DataFrame:
         F.col("file_name").alias("source_file_name"),
         "issue.record_id",
         "issue.context",
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp_utc"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("timestamp_utc"),
     ).select(table_columns("issues"))
 
 

@@ -24,10 +24,17 @@ def page_count(total: Column, size: int, spare: int = 0) -> Column:
 
 
 def paginate(
-    df: DataFrame, window: str | Sequence[str], order: Sequence[str | Column], size: int
+    df: DataFrame,
+    window: str | Sequence[str],
+    order: Sequence[str | Column],
+    size: int,
+    folder: str | None = None,
 ) -> DataFrame:
     """Add ``position`` (from 1, in ``order`` inside the window) and ``page``.
 
+    This is an action: the sorted rows are written to ``folder``, by default a fresh one in
+    the shared folder, when it is called, and the result reads them from there.
+
     ``order`` must be unique inside a window, so end it with the id. A window may hold
     any share of the rows, so positions do not come from one task per window: the rows
     are sorted globally, cut into ranges wherever the sort cuts them, and stored. Each
@@ -40,7 +47,7 @@ def paginate(
     keys = [window] if isinstance(window, str) else list(window)
     # Sequence numbers are (range << 33) + row inside the range.
     placed = materialize(
-        df.orderBy(*keys, *order).withColumn("sequence_", F.monotonically_increasing_id())
+        df.orderBy(*keys, *order).withColumn("sequence_", F.monotonically_increasing_id()), folder
     ).withColumn("range_", F.shiftright("sequence_", 33))
     # One row per window, and one more for each range border inside a window.
     parts = placed.groupBy(*keys, "range_").agg(

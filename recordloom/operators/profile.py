@@ -100,18 +100,25 @@ def harvest_profile(
 def distribution(records: DataFrame, column: str) -> DataFrame:
     """Count and share in percent of every value of a column.
 
-    The total is a scalar subquery; a window over all groups would gather them in
-    one task.
+    The total is the sum of the counts, as a scalar subquery over the same exchange; a
+    window over all groups would gather them in one task.
     """
-    total = records.agg(F.count("*").alias("total")).scalar()
-    return (
-        records.groupBy(column)
-        .agg(F.count("*").alias("n"))
-        .withColumn("percent", _percent(F.col("n"), total))
-    )
+    counts = records.groupBy(column).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    return counts.withColumn("percent", _percent(F.col("n"), total))
+
 
+def key_inventory(records: DataFrame, json_col: str, *paths: str) -> DataFrame:
+    """``path, key, n``: which keys the JSON objects at the paths have, and in how many records.
 
-def key_inventory(records: DataFrame, json_col: str, path: str = "$") -> DataFrame:
-    """Which keys the JSON object at ``path`` has, and in how many records."""
-    keys = records.select(F.explode(object_keys(F.col(json_col), path)).alias("key"))
-    return keys.groupBy("key").agg(F.count("*").alias("n"))
+    One pass for all paths, by default for the record itself.
+    """
+    found = [
+        F.transform(
+            F.coalesce(object_keys(F.col(json_col), path), F.array().cast("array<string>")),
+            lambda key: F.struct(F.lit(path).alias("path"), key.alias("key")),  # noqa: B023
+        )
+        for path in paths or ("$",)
+    ]
+    keys = records.select(F.explode(F.concat(*found)).alias("at")).select("at.path", "at.key")
+    return keys.groupBy("path", "key").agg(F.count("*").alias("n"))

@@ -9,6 +9,7 @@ counts, warnings) are Column expressions downstream.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from xml.etree import ElementTree
@@ -251,13 +252,28 @@ def _ddl(arrow_type: pa.DataType) -> str:
     return {pa.bool_(): "boolean", pa.int64(): "bigint"}.get(arrow_type, "string")
 
 
+# Encodings with more than one byte a letter, which the parser leaves to others.
+_DECLARED = re.compile(rb"""^<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._-]+)""")
+
+
+def _parsed(content: bytes) -> ElementTree.Element:
+    try:
+        return ElementTree.fromstring(content)
+    except ValueError:
+        declared = _DECLARED.match(content)
+        if declared is None:
+            raise
+        # Text overrides what its own declaration says.
+        return ElementTree.fromstring(content.decode(declared[1].decode("ascii")))
+
+
 def _shred_one(
     path: str, file_name: str, content: bytes | None, readers: Sequence[_Reader]
 ) -> tuple:
     root = error = None
     if content is not None:
         try:
-            root = ElementTree.fromstring(content)
+            root = _parsed(content)
         except (ElementTree.ParseError, LookupError, ValueError) as exc:
             error = str(exc)
     in_root = {} if root is None else _by_tag(root)

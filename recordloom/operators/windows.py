@@ -151,8 +151,31 @@ def _window_time(us: Column) -> Column:
     return F.timestamp_micros(us).cast("timestamp_ntz")
 
 
+def count_leaves(records: DataFrame, ts: str, tree: HalvingTree, mode: str = HALF_OPEN) -> DataFrame:
+    """``leaf, n, tail``: records in each leaf, and of those how many its last millisecond loses.
+
+    One pass over the records, summed before the shuffle. Stored, the result serves the plan
+    and the assignment.
+    """
+    check_mode(mode)
+    column = F.col(ts)
+    placed = in_time_window(records, ts, tree.start, tree.end).select(
+        tree.leaf(column).alias("leaf"), column.alias("ts")
+    )
+    if mode == MS_INCLUSIVE:
+        tail = F.count_if(tree.in_last_ms(F.col("ts"), F.col("leaf")))
+    else:
+        tail = F.lit(0).cast("bigint")
+    return placed.groupBy("leaf").agg(F.count("*").alias("n"), tail.alias("tail"))
+
+
 def plan_windows_by_count(
-    records: DataFrame, ts: str, tree: HalvingTree, cap: int = 9000, mode: str = HALF_OPEN
+    records: DataFrame,
+    ts: str,
+    tree: HalvingTree,
+    cap: int = 9000,
+    mode: str = HALF_OPEN,
+    leaves: DataFrame | None = None,
 ) -> DataFrame:
     """Windows ``level, node, window_start, window_end, est_total, over_cap``, by start.
 
@@ -161,26 +184,22 @@ def plan_windows_by_count(
     kept as it is and marked ``over_cap``. In mode ``ms_inclusive`` the records in the
     last millisecond of a piece are not counted in it.
 
-    Two shuffles, both of counts that are summed up before they are sent; the second
-    handles at most ``depth`` rows per non-empty leaf, however many records there are.
+    ``leaves`` are the counts of ``count_leaves`` if they are known already. Leaves are
+    dealt out in ranges, so siblings meet in a task and each task sends on about two rows for
+    each of its leaves, not one for each leaf and level.
     """
     check_mode(mode)
     depth = tree.depth
-    column = F.col(ts)
-    placed = in_time_window(records, ts, tree.start, tree.end).select(
-        tree.leaf(column).alias("leaf"), column.alias("ts")
-    )
-    if mode == MS_INCLUSIVE:
-        tail = F.count_if(tree.in_last_ms(F.col("ts"), F.col("leaf")))
-    else:
-        tail = F.lit(0).cast("bigint")
-    leaves = placed.groupBy("leaf").agg(F.count("*").alias("n"), tail.alias("tail"))
+    if leaves is None:
+        leaves = count_leaves(records, ts, tree, mode)
     # One empty leaf, so that a span without records still yields its one window.
     zero = _long(0)
     seed = records.sparkSession.range(1).select(
         zero.alias("leaf"), zero.alias("n"), zero.alias("tail")
     )
     counted = leaves.unionByName(seed)
+    if depth > 0:
+        counted = counted.repartitionByRange("leaf")
     if depth == 0:
         whole = counted.agg((F.sum("n") - F.sum("tail")).alias("est_total"))
         return _finish(tree, whole.select(zero.alias("level"), zero.alias("node"), "est_total"), cap)
@@ -247,20 +266,26 @@ def _finish(tree: HalvingTree, windows: DataFrame, cap: int) -> DataFrame:
 
 
 def assign_windows(
-    records: DataFrame, ts: str, windows: DataFrame, tree: HalvingTree, mode: str = HALF_OPEN
+    records: DataFrame,
+    ts: str,
+    windows: DataFrame,
+    tree: HalvingTree,
+    mode: str = HALF_OPEN,
+    leaves: DataFrame | None = None,
 ) -> DataFrame:
     """Each record with the ``window_start`` and ``window_end`` of its planned window.
 
     Windows are pieces of the tree, so the time range join is an equi-join: the few
     distinct leaves find their window by ``(level, node)`` and the records find it by
     leaf. That map has one row per leaf; Spark broadcasts it only if it turns out
-    small, and otherwise AQE splits a leaf that holds very many records.
+    small, and otherwise AQE splits a leaf that holds very many records. ``leaves`` are
+    the counts of ``count_leaves`` if they are known; the records are then read once.
     """
     check_mode(mode)
     depth = tree.depth
     column = F.col(ts)
     placed = in_time_window(records, ts, tree.start, tree.end).withColumn("leaf", tree.leaf(column))
-    leaves = placed.select("leaf").distinct()
+    leaves = placed.select("leaf").distinct() if leaves is None else leaves.select("leaf")
     ancestors = leaves.select(
         "leaf", F.explode(F.sequence(_long(0), _long(depth))).alias("level")
     ).withColumn("node", _shift_right(F.col("leaf"), F.lit(depth) - F.col("level")))

@@ -35,7 +35,10 @@ def store_records(
     """
     spark = incoming.sparkSession
     if append:
-        others = read_store(spark, root).where(F.col(BATCH_COLUMN) != batch_id)
+        # Of all that is stored only ids that came in again matter. While the incoming ids are
+        # few enough to be sent to every task, the store is read in place and not shuffled.
+        ids = incoming.select("id").where(F.col("id").isNotNull()).distinct()
+        others = read_store(spark, root).where(F.col(BATCH_COLUMN) != batch_id).select("id").join(ids, "id", "left_semi")
         fresh = dedupe_against_existing(incoming, others, "id", order_by)
     else:
         fresh = dedupe_first(incoming, "id", order_by)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,15 +34,11 @@ def build_session(app_name: str = "recordloom", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session without that setting falls back to a temporary folder;
-    a cluster must name one, since data put on one machine dies with it.
+    A session that names none has no such folder: data put on one machine dies with it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="recordloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/recordloom/{uuid.uuid4()}"
 
 
@@ -57,13 +52,3 @@ def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     path = folder or shared_folder(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to every core when the input has fewer partitions than that.
-
-    For work that is heavy per row but starts from few or small files. An input that
-    already keeps the cluster busy is left alone, so large data is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

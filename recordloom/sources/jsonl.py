@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from recordloom.functions.json import record_id_of
+from recordloom.functions.json import read_line
 from recordloom.functions.text import has_text
 
 
@@ -12,16 +12,21 @@ def _is_blank(line: Column) -> Column:
     return ~has_text(line)
 
 
+def _read(lines: DataFrame) -> DataFrame:
+    """``value, valid, id`` of lines that are not blank."""
+    line = read_line(F.col("value"))
+    read = lines.where(has_text(F.col("value"))).select("*", line.alias("line_"))
+    return read.select(*lines.columns, F.isnull("line_.malformed_").alias("valid_"), F.col("line_.id").alias("id"))
+
+
 def parse_jsonl(lines: DataFrame, keep_null_ids: bool = False) -> DataFrame:
-    """Text lines (column ``value``) to ``value, record variant, id string``.
+    """Text lines (column ``value``, and any others) with their record's ``id`` as a string.
 
-    Blank and malformed lines are skipped. Records without an id are skipped too,
-    unless ``keep_null_ids`` is set.
+    Blank lines and lines that are no JSON object are skipped. Records without an id are
+    skipped too, unless ``keep_null_ids`` is set. The id is the text that the line has:
+    ``1.0`` is not ``1``, and long numbers keep all their digits.
     """
-    parsed = lines.select("value", F.try_parse_json("value").alias("record")).where(
-        F.col("record").isNotNull()
-    )
-    with_id = parsed.withColumn("id", record_id_of(F.col("record")))
+    with_id = _read(lines).where("valid_").drop("valid_")
     return with_id if keep_null_ids else with_id.where(F.col("id").isNotNull())
 
 
@@ -43,17 +48,17 @@ def read_jsonl_tolerant(
 
 def line_quality(lines: DataFrame) -> DataFrame:
     """One row: how many lines were read, blank, malformed, or had no id."""
-    record = F.try_parse_json("value")
+    line = read_line(F.col("value"))
     checked = lines.select(
         _is_blank(F.col("value")).alias("blank"),
-        record.isNotNull().alias("valid"),
-        record_id_of(record).isNull().alias("no_id"),
+        F.isnull(line["malformed_"]).alias("valid"),
+        F.isnull(line["id"]).alias("no_id"),
     )
     return checked.agg(
         F.count("*").alias("lines"),
         F.count_if("blank").alias("blank_lines"),
         F.count_if(~F.col("blank") & ~F.col("valid")).alias("bad_lines"),
-        F.count_if(F.col("valid") & F.col("no_id")).alias("lines_without_id"),
+        F.count_if(~F.col("blank") & F.col("valid") & F.col("no_id")).alias("lines_without_id"),
     )
 
 

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
-from workload import extract_queries, record_queries
+from workload import extract_queries, file_queries, record_queries
 from workload.compare import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,8 +15,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    own = {**extract_queries.QUERIES, **record_queries.QUERIES}
-    assert set(own) == {*extract_queries.ORACLES, *record_queries.ORACLES}
+    for module in (extract_queries, record_queries, file_queries):
+        assert set(module.QUERIES) == set(module.ORACLES)
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 

@@ -17,7 +17,9 @@ from recordloom.sources import (
     read_jsonl_tolerant,
     read_tables,
     read_xml_dir,
+    read_xml_list,
 )
+from recordloom.session import shared_folder
 from tests import golden
 
 LINES = ['{"id": 1, "t": "é"}', "", "  ", "{broken", '{"id": "b"}', '{"x": 1}', "[1]", '{"id": null}']
@@ -30,9 +32,59 @@ def test_tolerant_jsonl(spark, tmp_path):
     path = str(tmp_path / "*.jsonl*")
     got = {r.id: r.value for r in read_jsonl_tolerant(spark, path, partitions=3).collect()}
     assert got == {"1": LINES[0], "b": LINES[4], "3": '{"id": 3}'}
-    assert read_jsonl_tolerant(spark, path, keep_null_ids=True).count() == 6
+    assert read_jsonl_tolerant(spark, path, keep_null_ids=True).count() == 5
     q = line_quality(spark.read.text(str(tmp_path / "a.jsonl"))).first()
-    assert (q.lines, q.blank_lines, q.bad_lines, q.lines_without_id) == (8, 2, 1, 3)
+    assert (q.lines, q.blank_lines, q.bad_lines, q.lines_without_id) == (8, 2, 2, 2)
+
+
+def test_ids_stay_as_written_and_no_valid_line_is_lost(spark, tmp_path):
+    long = '{"id": "long", "t": "' + "x" * (135 << 20) + '"}'
+    lines = ['{"id": 1.0}', '{"id": 1}', '{"id": 1, "n": NaN}', '{"id": "a", "id": "b"}', '{"id": ' + "7" * 41 + "1}",
+             '{"id": ' + "7" * 41 + "2}", "{'id': 5}", '{"id": 6,}', '{"id": 1' + "[" * 2000, long]
+    (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    got = read_jsonl_tolerant(spark, str(tmp_path / "a.jsonl")).selectExpr("id", "length(value) AS n")
+    want = [("1.0", 11), ("1", 9), ("1", 19), ("b", len(lines[3])), ("7" * 41 + "1", 50), ("7" * 41 + "2", 50), ("long", len(long))]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_hidden_and_listed_files(spark, tmp_path):
+    folder = tmp_path / "a b"
+    folder.mkdir()
+    for name in ("1.xml", "_2.xml", ".3.xml", "4.XML", "5.oai"):
+        (folder / name).write_text(name)
+    (tmp_path / "far.xml").write_text("far")
+    found = read_xml_dir(spark, str(folder), ordered=True).collect()
+    assert [r.file_name for r in found] == [".3.xml", "1.xml", "_2.xml"]
+    listed = ["4.XML", "./_2.xml", "../far.xml", str(tmp_path / "far.xml"), "none.xml", "", "4.XML"]
+    (folder / "list.txt").write_text("\n".join(listed))
+    docs = read_xml_list(spark, str(folder / "list.txt"))
+    got = sorted((r.file_name, None if r.content is None else r.content.decode()) for r in docs.collect())
+    assert got == [("4.XML", "4.XML"), ("4.XML", "4.XML"), ("_2.xml", "_2.xml"), ("far.xml", "far"), ("far.xml", "far"), ("none.xml", None)]
+    text = docs._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert "Exchange" not in text
+
+
+def test_working_folder_must_be_named():
+    class Unset:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+    with pytest.raises(ValueError):
+        shared_folder(Unset)
+
+
+def test_small_tables_get_few_files(spark, tmp_path):
+    df = spark.range(2000).selectExpr("string(id) AS a").repartition(40)
+    write_table(df, str(tmp_path / "t"))
+    assert len(list((tmp_path / "t").glob("part-*"))) < 10
+
+
+def test_summaries_stay_after_an_append(spark, docs, tmp_path):
+    for append in (False, True):
+        one = run_extract(docs, str(tmp_path), append=append).first()
+        assert one.processed_files == len(golden.DOCS) and one.issues_jsonl == f"{tmp_path}/issues"
+        assert one.generated_utc.endswith("+00:00")
+    assert spark.read.json(f"{tmp_path}/summary").count() == 2
 
 
 def test_api_pages(spark):

@@ -26,7 +26,7 @@ from workload.xml_docs import build_xml
 _OWN_MESSAGE = "^(Missing|Unhandled|Multiple|No such|Creator has|Contributor has)"
 
 
-def _without_parser_text(df: DataFrame, column: str) -> DataFrame:
+def without_parser_text(df: DataFrame, column: str) -> DataFrame:
     own = F.col(column).rlike(_OWN_MESSAGE)
     return df.withColumn(
         column, F.when(F.col(column).isNotNull() & ~own, F.lit("malformed")).otherwise(F.col(column))
@@ -38,12 +38,12 @@ def _table(name: str):
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
-    return _without_parser_text(table_from_documents(build_xml(spark, sf), "records"), "parse_error")
+    return without_parser_text(table_from_documents(build_xml(spark, sf), "records"), "parse_error")
 
 
 def records_strict(spark: SparkSession, sf: str) -> DataFrame:
     rows = table_from_documents(build_xml(spark, sf), "records", strict=True)
-    return _without_parser_text(rows, "parse_error").select(
+    return without_parser_text(rows, "parse_error").select(
         "record_id", "source_xml_path", "primary_title", "creator_count", "parse_ok", "parse_error"
     )
 
@@ -54,7 +54,7 @@ def error_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def issues(spark: SparkSession, sf: str, strict: bool = False) -> DataFrame:
     rows = table_from_documents(build_xml(spark, sf), "issues", strict)
-    return _without_parser_text(rows, "message").drop("timestamp_utc")
+    return without_parser_text(rows, "message").drop("timestamp_utc")
 
 
 def issues_strict(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +78,7 @@ def summary(spark: SparkSession, sf: str) -> DataFrame:
     judged = materialize(judge_documents(build_xml(spark, sf)).select(
         "path", "file_name", "warnings", "error_code", "error_message"
     ))
-    found = _without_parser_text(issues_table(judged), "message")
+    found = without_parser_text(issues_table(judged), "message")
     one = run_summary(judged, found)
     return one.select(
         "processed_files",
@@ -105,7 +105,7 @@ def sql_example(spark: SparkSession, sf: str) -> DataFrame:
 
 def star_join(spark: SparkSession, sf: str) -> DataFrame:
     """Creators per kind of resource and year: a child table joined to its records."""
-    _, tables = extract_tables(build_xml(spark, sf))
+    _, tables = extract_tables(build_xml(spark, sf), tables=["records", "creators"])
     joined = tables["records"].join(tables["creators"], "record_id")
     return joined.groupBy("resource_type_general", "publication_year").agg(
         F.count("*").alias("creator_rows"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -13,6 +14,7 @@ from recordloom.operators import (
     HalvingTree,
     assign_windows,
     count_by_window,
+    count_leaves,
     dedupe_against_existing,
     dedupe_first,
     distribution,
@@ -27,14 +29,20 @@ from recordloom.operators import (
     where_equal,
 )
 from recordloom.plans.harvest import read_store
-from recordloom.session import shared_folder
-from recordloom.sources import explode_api_pages, line_quality, parse_jsonl, select_docs_containing
+from recordloom.session import materialize, shared_folder
+from recordloom.sinks import write_jsonl
+from recordloom.sources import (
+    explode_api_pages,
+    line_quality,
+    parse_jsonl,
+    read_jsonl_tolerant,
+    select_docs_containing,
+)
 from recordloom.streaming import dedupe_stream, ingest_records_stream, tumbling_counts
 
-MONTH = HalvingTree(datetime(2024, 1, 1), datetime(2024, 1, 31))
-# Twice as long as the data and longer, so that some windows are empty.
-SPARSE = HalvingTree(datetime(2023, 12, 2), datetime(2024, 4, 8))
 CAP = 200
+# So few that windows of one second are still over it where events are moved to full hours.
+DENSE_CAP = 3
 
 
 def _read(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -190,10 +198,18 @@ def first_by_prefix(spark: SparkSession, sf: str) -> DataFrame:
 # --- raw JSON records and API pages ---
 
 
+# 41 digits, one more makes two ids that are equal as floating-point numbers.
+LONG_ID = "12345678901234567890123456789012345678901"
+
+
 def _json_lines(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("event_id")
     value = (
-        F.when(k % 7 == 0, F.concat(F.lit('{"id": '), k))
+        F.when(k % 23 == 0, F.concat(F.lit('{"id": 1.0, "p": '), F.col("props"), F.lit("}")))
+        .when(k % 29 == 0, F.concat(F.lit('{"id": 1, "p": '), F.col("props"), F.lit(', "x": NaN}')))
+        .when(k % 31 == 0, F.concat(F.lit('{"id": "old", "id": "e'), k, F.lit('"}')))
+        .when(k % 37 == 0, F.concat(F.lit('{"id": '), F.lit(LONG_ID), k % 2, F.lit("}")))
+        .when(k % 7 == 0, F.concat(F.lit('{"id": '), k))
         .when(k % 5 == 0, F.lit(" \t "))
         .when(k % 4 == 0, F.concat(F.lit('{"id": "e'), k, F.lit('", "p": '), F.col("props"), F.lit("}")))
         .when(k % 3 == 0, F.concat(F.lit('{"p": '), F.col("props"), F.lit("}")))
@@ -204,10 +220,16 @@ def _json_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def jsonl_tolerant(spark: SparkSession, sf: str) -> DataFrame:
     return parse_jsonl(_json_lines(spark, sf)).select(
-        "id", "value", F.try_variant_get("record", "$.p.k", "bigint").alias("k")
+        "id", "value", F.get_json_object("value", "$.p.k").cast("bigint").alias("k")
     )
 
 
+def dedupe_raw_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Each id once, as the lines have it."""
+    rows = parse_jsonl(_json_lines(spark, sf))
+    return dedupe_first(rows, "id", "value").select("id", "value")
+
+
 def jsonl_quality(spark: SparkSession, sf: str) -> DataFrame:
     return line_quality(_json_lines(spark, sf))
 
@@ -247,9 +269,46 @@ def key_inventories(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('{"id": 1, "'), F.col("event_type"), F.lit('": 2, "metadata": '), F.col("props"), F.lit("}")
     )
     raw = events(spark, sf).select(record.alias("raw"))
-    top = key_inventory(raw, "raw").withColumn("path", F.lit("$"))
-    nested = key_inventory(raw, "raw", "$.metadata").withColumn("path", F.lit("$.metadata"))
-    return top.unionByName(nested)
+    return key_inventory(raw, "raw", "$", "$.metadata")
+
+
+def _raw_records(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored JSON line per order, of the fields that the published statistics are about."""
+    k = F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    value = F.concat(
+        F.lit('{"id": '), k, F.lit(', "created": "'), day, F.lit('T01:02:03.4+00:00", "updated": "'), day,
+        F.lit('T23:59:59+00:00"'),
+        F.when(k % 5 != 0, F.lit(', "files": [{"size": 1}]')).otherwise(F.lit(', "files": []')),
+        F.lit(', "metadata": {"access_right": "'),
+        F.when(F.col("o_orderstatus") == "F", F.lit("open")).otherwise(F.lit("restricted")), F.lit('"'),
+        F.when(k % 3 != 0, F.lit(', "license": {"id": "cc"}')).otherwise(F.lit("")),
+        F.lit("}}"),
+    )
+    return parse_jsonl(orders(spark, sf).select(value.alias("value")))
+
+
+def _field(path: str) -> Column:
+    return F.get_json_object("value", path)
+
+
+def raw_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Total, ranges of both timestamps, and shares with files and with a license, from stored lines."""
+    rows = _raw_records(spark, sf).select(
+        *(fn.parse_iso_ts(_field(f"$.{c}")).cast("timestamp_ntz").alias(c) for c in ("created", "updated")),
+        F.isnotnull(_field("$.files[0]")).alias("files"),
+        F.isnotnull(_field("$.metadata.license")).alias("license"),
+    )
+    return harvest_profile(rows, "created", "updated", {"files": F.col("files"), "license": F.col("license")})
+
+
+def raw_access_rights(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _raw_records(spark, sf).select(_field("$.metadata.access_right").alias("access_right"))
+    return distribution(rows, "access_right")
+
+
+def raw_key_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    return key_inventory(_raw_records(spark, sf), "value", "$", "$.metadata")
 
 
 def select_literal(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,21 +382,42 @@ def new_ids(spark: SparkSession, sf: str) -> DataFrame:
 # --- time windows and pages ---
 
 
+def _tree(rows: DataFrame, factor: int = 1) -> HalvingTree:
+    """From the first day on, a power of two of seconds that holds all rows, ``factor`` times."""
+    first, last = rows.agg(F.date_trunc("day", F.min("ts")), F.max("ts")).first()
+    start = datetime(first.year, first.month, first.day)
+    seconds = (last - start) // timedelta(seconds=1) + 1
+    return HalvingTree(start, start + timedelta(seconds=factor * 2 ** (seconds - 1).bit_length()))
+
+
 def window_plan(spark: SparkSession, sf: str) -> DataFrame:
-    return plan_windows_by_count(events(spark, sf), "ts", MONTH, CAP)
+    rows = events(spark, sf)
+    return plan_windows_by_count(rows, "ts", _tree(rows), CAP)
 
 
 def window_plan_sparse(spark: SparkSession, sf: str) -> DataFrame:
-    return plan_windows_by_count(events(spark, sf), "ts", SPARSE, CAP)
+    """A span four times as long as the data, so that some windows are empty."""
+    rows = events(spark, sf)
+    return plan_windows_by_count(rows, "ts", _tree(rows, 4), CAP)
 
 
 def window_plan_ms(spark: SparkSession, sf: str) -> DataFrame:
-    return plan_windows_by_count(_near_hours(spark, sf), "ts", MONTH, CAP, MS_INCLUSIVE)
+    rows = _near_hours(spark, sf)
+    return plan_windows_by_count(rows, "ts", _tree(rows), CAP, MS_INCLUSIVE)
+
+
+def window_plan_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """Events moved to full hours: windows down to a second, and still over the cap."""
+    rows = events(spark, sf).select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"))
+    return plan_windows_by_count(rows, "ts", _tree(rows), DENSE_CAP)
 
 
 def _assigned(spark: SparkSession, sf: str) -> DataFrame:
     rows = events(spark, sf).select("event_id", "ts")
-    return assign_windows(rows, "ts", window_plan(spark, sf), MONTH)
+    tree = _tree(rows)
+    leaves = materialize(count_leaves(rows, "ts", tree))
+    plan = plan_windows_by_count(rows, "ts", tree, CAP, leaves=leaves)
+    return assign_windows(rows, "ts", plan, tree, leaves=leaves)
 
 
 def window_assign(spark: SparkSession, sf: str) -> DataFrame:
@@ -365,15 +445,15 @@ def daily_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_pages_by_field(spark: SparkSession, sf: str) -> DataFrame:
-    """Page 1 in the order of a field: oldest first, or most recent first."""
+    """Every row with its page in the order of a field: oldest first, or most recent first."""
     rows = orders(spark, sf).select("o_orderkey", "o_orderdate")
-    firsts = [
-        rows.orderBy(sort_order(field, F.col("o_orderdate")), "o_orderkey")
-        .limit(25)
-        .withColumn("field", F.lit(field))
+    paged = [
+        paginate(
+            rows.withColumn("field", F.lit(field)), "field", [sort_order(field, F.col("o_orderdate")), "o_orderkey"], 25
+        )
         for field in ("created", "bestmatch")
     ]
-    return firsts[0].unionByName(firsts[1])
+    return paged[0].unionByName(paged[1])
 
 
 # --- streams, run until they have caught up ---
@@ -402,34 +482,58 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_tumbling_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts as they change, a folder per batch; of each window the last batch counts."""
     folder = shared_folder(spark)
     stamped = _stream(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
     query = (
         tumbling_counts(stamped, "ts", "1 day", "1 hour")
-        .writeStream.outputMode("complete")
-        .foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{folder}/out"))
+        .writeStream.outputMode("update")
+        .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{folder}/out/batch_id={n}"))
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
-    stored = spark.read.schema("window_start timestamp, window_end timestamp, n long")
-    return stored.parquet(f"{folder}/out").select(ntz("window_start"), ntz("window_end"), "n")
+    stored = spark.read.schema("window_start timestamp, window_end timestamp, n long, batch_id long").parquet(f"{folder}/out")
+    last = stored.groupBy("window_start", "window_end").agg(F.max_by("n", "batch_id").alias("n"))
+    return last.select(ntz("window_start"), ntz("window_end"), "n")
 
 
 def stream_record_store(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON lines from a stream in the record store: ids once, lines without id all."""
+    """JSON lines from files of three times in the record store: the first line of an id, lines without id all.
+
+    Every line is another; the oldest file is the smallest, and comes last by name.
+    """
     k = F.col("event_id")
     value = F.when(
-        k % 3 == 0, F.concat(F.lit('{"p": '), F.col("props"), F.lit("}"))
-    ).otherwise(F.concat(F.lit('{"id": '), F.col("user_id"), F.lit("}")))
+        k % 3 == 0, F.concat(F.lit('{"n": '), k, F.lit("}"))
+    ).otherwise(F.concat(F.lit('{"id": '), F.col("user_id"), F.lit(', "n": '), k, F.lit("}")))
     folder = shared_folder(spark)
-    lines = _stream(spark, sf, "events").select(value.alias("value"))
+    rows = events(spark, sf).select("event_id", value.alias("value"))
+    for name, part in (("c", k % 10 == 0), ("b", k % 10 == 1), ("a", k % 10 > 1)):
+        one = rows.where(part).coalesce(1).sortWithinPartitions("event_id")
+        one.select("value").write.text(f"{folder}/in/{name}")
+        time.sleep(0.05)
+    lines = spark.readStream.option("recursiveFileLookup", True).text(f"{folder}/in")
     ingest_records_stream(lines, f"{folder}/store", f"{folder}/checkpoint").awaitTermination()
     return read_store(spark, f"{folder}/store").select("id", "value")
 
 
+def raw_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw lines written, read back and written again, compressed: nothing changes them."""
+    folder = shared_folder(spark)
+    write_jsonl(parse_jsonl(_json_lines(spark, sf)), f"{folder}/raw")
+    return spark.read.text(f"{folder}/raw")
+
+
+def gzip_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    """Compressed lines, spread over tasks after reading."""
+    folder = shared_folder(spark)
+    _json_lines(spark, sf).write.option("compression", "gzip").text(folder)
+    return read_jsonl_tolerant(spark, folder, partitions=4).select("id", "value")
+
+
 QUERIES = {
     "normalize_text": normalize_text,
     "parse_date_strict": parse_date_strict,
@@ -445,6 +549,12 @@ QUERIES = {
     "first_by_prefix": first_by_prefix,
     "jsonl_tolerant": jsonl_tolerant,
     "jsonl_quality": jsonl_quality,
+    "dedupe_raw_ids": dedupe_raw_ids,
+    "raw_profile": raw_profile,
+    "raw_access_rights": raw_access_rights,
+    "raw_key_inventory": raw_key_inventory,
+    "raw_jsonl": raw_jsonl,
+    "gzip_jsonl": gzip_jsonl,
     "page_total": page_total,
     "api_page_records": api_page_records,
     "key_inventory": key_inventories,
@@ -460,6 +570,7 @@ QUERIES = {
     "window_plan": window_plan,
     "window_plan_sparse": window_plan_sparse,
     "window_plan_ms": window_plan_ms,
+    "window_plan_dense": window_plan_dense,
     "window_assign": window_assign,
     "window_counts": window_counts,
     "window_split": window_split,
@@ -488,13 +599,33 @@ def _case(number: str, *choices: str) -> str:
 
 _LINES = "string_split(text, chr(10))"
 
-_JSON_LINES = """
-SELECT CASE WHEN event_id % 7 = 0 THEN '{"id": ' || event_id
+# The same lines, each with the id that it has; null for lines that are no records.
+_JSON_LINES = f"""
+SELECT event_id, value, id, k, event_id % 5 = 0 AND id IS NULL AND trim(value, ' ' || chr(9)) = '' AS blank,
+       value LIKE '%}}' AS valid
+FROM (
+SELECT event_id,
+       CASE WHEN event_id % 23 = 0 THEN '{{"id": 1.0, "p": ' || props || '}}'
+            WHEN event_id % 29 = 0 THEN '{{"id": 1, "p": ' || props || ', "x": NaN}}'
+            WHEN event_id % 31 = 0 THEN '{{"id": "old", "id": "e' || event_id || '"}}'
+            WHEN event_id % 37 = 0 THEN '{{"id": {LONG_ID}' || (event_id % 2) || '}}'
+            WHEN event_id % 7 = 0 THEN '{{"id": ' || event_id
             WHEN event_id % 5 = 0 THEN ' ' || chr(9) || ' '
-            WHEN event_id % 4 = 0 THEN '{"id": "e' || event_id || '", "p": ' || props || '}'
-            WHEN event_id % 3 = 0 THEN '{"p": ' || props || '}'
-            ELSE '{"id": ' || user_id || ', "p": ' || props || '}' END AS value
-FROM events"""
+            WHEN event_id % 4 = 0 THEN '{{"id": "e' || event_id || '", "p": ' || props || '}}'
+            WHEN event_id % 3 = 0 THEN '{{"p": ' || props || '}}'
+            ELSE '{{"id": ' || user_id || ', "p": ' || props || '}}' END AS value,
+       CASE WHEN event_id % 23 = 0 THEN '1.0'
+            WHEN event_id % 29 = 0 THEN '1'
+            WHEN event_id % 31 = 0 THEN 'e' || event_id
+            WHEN event_id % 37 = 0 THEN '{LONG_ID}' || (event_id % 2)
+            WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN NULL
+            WHEN event_id % 4 = 0 THEN 'e' || event_id
+            WHEN event_id % 3 = 0 THEN NULL
+            ELSE CAST(user_id AS VARCHAR) END AS id,
+       CASE WHEN event_id % 23 = 0 THEN CAST(props ->> '$.k' AS BIGINT)
+            WHEN event_id % 29 = 0 OR event_id % 31 = 0 OR event_id % 37 = 0 THEN NULL
+            ELSE CAST(props ->> '$.k' AS BIGINT) END AS k
+FROM events)"""
 
 _WITH_ID = """
 SELECT event_id, ts, CASE WHEN event_id % 11 <> 0 THEN user_id || ':' || props END AS id,
@@ -505,38 +636,42 @@ _NEAR_HOURS = """
 SELECT event_id, make_timestamp(epoch_us(date_trunc('hour', ts)) + 3600000000 - event_id % 2000 - 1) AS ts
 FROM events"""
 
-# Halving goes down to one second; the SQL stops after 14 halvings, where these spans
-# still divide evenly and no piece of the test data is over the cap any more.
-_LEVELS = 15
-
+def _plan_sql(source: str, cap: int, factor: int = 1, lost_us: int = 0) -> str:
+    """Windows as children of pieces over the cap, level by level down to one second.
 
-def _plan_sql(source: str, tree: HalvingTree, cap: int, lost_us: int = 0) -> str:
-    start = f"TIMESTAMP '{tree.start:%Y-%m-%d %H:%M:%S}'"
-    span = (tree.end - tree.start) // timedelta(microseconds=1)
+    The span is a power of two of seconds from the first day on, so every piece halves evenly.
+    """
     return f"""
-WITH e AS (
-  SELECT epoch_us(ts) - epoch_us({start}) AS us FROM ({source}) AS src
-), levels AS (SELECT unnest(range(0, {_LEVELS})) AS level
-), grid AS (SELECT level, unnest(range(0, 1 << level)) AS node FROM levels
+WITH src AS MATERIALIZED (SELECT ts FROM ({source})
+), tree AS MATERIALIZED (
+  SELECT t0, {factor} * (1 << doublings) * 1000000 AS span, doublings + CAST(log2({factor}) AS BIGINT) AS depth
+  FROM (SELECT date_trunc('day', min(ts)) AS t0,
+               CAST(ceil(log2((epoch_us(max(ts)) - epoch_us(date_trunc('day', min(ts)))) // 1000000 + 1)) AS BIGINT) AS doublings
+        FROM src)
+), e AS MATERIALIZED (SELECT epoch_us(ts) - epoch_us(t0) AS us FROM src, tree
+), levels AS (SELECT unnest(range(0, depth + 1)) AS level FROM tree
 ), placed AS (
-  SELECT level, us * (1 << level) // {span} AS node, us FROM e, levels WHERE us >= 0 AND us < {span}
-), counted AS (
+  SELECT level, CAST(CAST(us AS HUGEINT) * (1 << level) // span AS BIGINT) AS node, us, span FROM e, levels, tree
+), counted AS MATERIALIZED (
   SELECT level, node,
-         count(*) FILTER (WHERE {lost_us} = 0 OR us <= (node + 1) * ({span} >> level) - {lost_us}) AS n
+         count(*) FILTER (WHERE {lost_us} = 0 OR us <= CAST(node + 1 AS HUGEINT) * span // (1 << level) - {lost_us}) AS n
   FROM placed GROUP BY level, node
-), nodes AS (
-  SELECT level, node, coalesce(n, 0) AS n FROM grid LEFT JOIN counted USING (level, node)
+), pieces AS (
+  SELECT 0 AS level, 0 AS node
+  UNION ALL
+  SELECT level + 1, 2 * node + side FROM counted, tree, (SELECT unnest([0, 1]) AS side)
+  WHERE n > {cap} AND level < depth
 ), plan AS (
-  SELECT c.level, c.node,
-         make_timestamp(epoch_us({start}) + c.node * ({span} >> c.level)) AS window_start,
-         make_timestamp(epoch_us({start}) + (c.node + 1) * ({span} >> c.level)) AS window_end,
-         c.n AS est_total, false AS over_cap
-  FROM nodes c LEFT JOIN nodes p ON p.level = c.level - 1 AND p.node = c.node // 2
-  WHERE c.n <= {cap} AND (c.level = 0 OR p.n > {cap})
+  SELECT p.level, p.node,
+         make_timestamp(CAST(epoch_us(t0) + CAST(p.node AS HUGEINT) * span // (1 << p.level) AS BIGINT)) AS window_start,
+         make_timestamp(CAST(epoch_us(t0) + CAST(p.node + 1 AS HUGEINT) * span // (1 << p.level) AS BIGINT)) AS window_end,
+         coalesce(c.n, 0) AS est_total, coalesce(c.n, 0) > {cap} AS over_cap
+  FROM pieces p CROSS JOIN tree LEFT JOIN counted c ON p.level = c.level AND p.node = c.node
+  WHERE coalesce(c.n, 0) <= {cap} OR p.level = depth
 )"""
 
 
-_MONTH_PLAN = _plan_sql("SELECT ts FROM events", MONTH, CAP)
+_MONTH_PLAN = _plan_sql("SELECT ts FROM events", CAP)
 _PLAN_JOIN = "events JOIN plan ON ts >= window_start AND ts < window_end"
 
 ORACLES = {
@@ -605,17 +740,38 @@ SELECT doc_id, {_norm(
 SELECT doc_id, {_norm(f"{_LINES}[1]")} AS line, len({_LINES}) AS n FROM documents""",
     "first_by_prefix": f"""
 SELECT doc_id, list_filter({_LINES}, lambda x: starts_with(x, 'E'))[1] AS line FROM documents""",
-    "jsonl_tolerant": f"""
-WITH valid AS (SELECT value FROM ({_JSON_LINES}) WHERE CASE WHEN json_valid(value) THEN true ELSE false END)
-SELECT value ->> '$.id' AS id, value, CAST(value ->> '$.p.k' AS BIGINT) AS k
-FROM valid WHERE value ->> '$.id' IS NOT NULL""",
+    "jsonl_tolerant": f"SELECT id, value, k FROM ({_JSON_LINES}) WHERE valid AND id IS NOT NULL",
     "jsonl_quality": f"""
-SELECT count(*) AS lines,
-       count(*) FILTER (WHERE {_norm('value')} IS NULL) AS blank_lines,
-       count(*) FILTER (WHERE {_norm('value')} IS NOT NULL AND NOT json_valid(value)) AS bad_lines,
-       count(*) FILTER (WHERE CASE WHEN json_valid(value) THEN value ->> '$.id' IS NULL ELSE false END)
-         AS lines_without_id
+SELECT count(*) AS lines, count(*) FILTER (WHERE blank) AS blank_lines,
+       count(*) FILTER (WHERE NOT blank AND NOT valid) AS bad_lines,
+       count(*) FILTER (WHERE valid AND id IS NULL) AS lines_without_id
 FROM ({_JSON_LINES})""",
+    "dedupe_raw_ids": f"""
+SELECT id, min(value) AS value FROM ({_JSON_LINES}) WHERE valid AND id IS NOT NULL GROUP BY id""",
+    "raw_jsonl": f"SELECT value FROM ({_JSON_LINES}) WHERE valid AND id IS NOT NULL",
+    "gzip_jsonl": f"SELECT id, value FROM ({_JSON_LINES}) WHERE valid AND id IS NOT NULL",
+    "raw_profile": """
+SELECT count(*) AS total,
+       min(date_trunc('day', o_orderdate)) + INTERVAL 3723400 MILLISECOND AS created_min,
+       max(date_trunc('day', o_orderdate)) + INTERVAL 3723400 MILLISECOND AS created_max,
+       min(date_trunc('day', o_orderdate)) + INTERVAL 86399 SECOND AS updated_min,
+       max(date_trunc('day', o_orderdate)) + INTERVAL 86399 SECOND AS updated_max,
+       count(*) FILTER (WHERE o_orderkey % 5 <> 0) AS files_count,
+       round(100.0 * count(*) FILTER (WHERE o_orderkey % 5 <> 0) / count(*), 1) AS files_percent,
+       count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS license_count,
+       round(100.0 * count(*) FILTER (WHERE o_orderkey % 3 <> 0) / count(*), 1) AS license_percent
+FROM orders""",
+    "raw_access_rights": """
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'open' ELSE 'restricted' END AS access_right, count(*) AS n,
+       round(100.0 * count(*) / sum(count(*)) OVER (), 1) AS percent
+FROM orders GROUP BY ALL""",
+    "raw_key_inventory": """
+SELECT '$' AS path, key, count(*) AS n
+FROM (SELECT unnest(['id', 'created', 'updated', 'files', 'metadata']) AS key FROM orders) GROUP BY key
+UNION ALL
+SELECT '$.metadata', key, count(*) AS n
+FROM (SELECT unnest(CASE WHEN o_orderkey % 3 <> 0 THEN ['access_right', 'license'] ELSE ['access_right'] END) AS key
+      FROM orders) GROUP BY key""",
     "page_total": """
 SELECT event_id, CASE WHEN event_id % 6 < 3 THEN user_id ELSE 0 END AS total FROM events""",
     "api_page_records": """
@@ -660,8 +816,10 @@ SELECT * FROM r WHERE ts >= TIMESTAMP '2024-01-15'
   AND (id IS NULL OR NOT EXISTS (SELECT 1 FROM known WHERE known.id = r.id))
 QUALIFY id IS NULL OR row_number() OVER (PARTITION BY id ORDER BY ts, event_id) = 1""",
     "window_plan": _MONTH_PLAN + " SELECT * FROM plan",
-    "window_plan_sparse": _plan_sql("SELECT ts FROM events", SPARSE, CAP) + " SELECT * FROM plan",
-    "window_plan_ms": _plan_sql(_NEAR_HOURS, MONTH, CAP, 1000) + " SELECT * FROM plan",
+    "window_plan_sparse": _plan_sql("SELECT ts FROM events", CAP, 4) + " SELECT * FROM plan",
+    "window_plan_ms": _plan_sql(_NEAR_HOURS, CAP, 1, 1000) + " SELECT * FROM plan",
+    "window_plan_dense": _plan_sql("SELECT date_trunc('hour', ts) AS ts FROM events", DENSE_CAP)
+    + " SELECT * FROM plan",
     "window_assign": _MONTH_PLAN + f" SELECT event_id, window_start, window_end FROM {_PLAN_JOIN}",
     "window_counts": _MONTH_PLAN + f"""
 SELECT window_start, window_end, count(*) AS n FROM {_PLAN_JOIN} GROUP BY ALL""",
@@ -680,10 +838,10 @@ SELECT event_id, CAST(ts AS DATE) AS day, p AS position, (p + 24) // 25 AS page
 FROM (SELECT event_id, ts, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS p
       FROM events)""",
     "first_pages_by_field": """
-(SELECT o_orderkey, o_orderdate, 'created' AS field FROM orders
- ORDER BY o_orderdate, o_orderkey LIMIT 25)
-UNION ALL
-(SELECT o_orderkey, o_orderdate, 'bestmatch' FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 25)""",
+SELECT o_orderkey, o_orderdate, field, p AS position, (p + 24) // 25 AS page FROM (
+  SELECT o_orderkey, o_orderdate, 'created' AS field, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS p FROM orders
+  UNION ALL
+  SELECT o_orderkey, o_orderdate, 'bestmatch', row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) FROM orders)""",
     "stream_dedupe": f"""
 SELECT id FROM ({_WITH_ID})
 QUALIFY id IS NULL OR row_number() OVER (PARTITION BY id ORDER BY ts, event_id) = 1""",
@@ -692,8 +850,9 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
        count(*) AS n
 FROM events GROUP BY ALL""",
     "stream_record_store": """
-SELECT DISTINCT CAST(user_id AS VARCHAR) AS id, '{"id": ' || user_id || '}' AS value
+SELECT CAST(user_id AS VARCHAR) AS id, '{"id": ' || user_id || ', "n": ' || event_id || '}' AS value
 FROM events WHERE event_id % 3 <> 0
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY least(event_id % 10, 2), event_id) = 1
 UNION ALL
-SELECT NULL, '{"p": ' || props || '}' FROM events WHERE event_id % 3 = 0""",
+SELECT NULL, '{"n": ' || event_id || '}' FROM events WHERE event_id % 3 = 0""",
 }

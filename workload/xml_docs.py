@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.schemas import ENVELOPE_NS, KERNEL_NS
-from recordloom.session import spread
 
 
 class Sql(str):
@@ -47,7 +46,7 @@ def _choose(condition: str, yes: str, no: str) -> Sql:
 
 def _repeat(count: str, name: str, item: Callable[[Sql], Sql]) -> Sql:
     """The texts of items 1..count, joined; ``name`` is the item number inside ``item``."""
-    positions = f"slice(sequence(1, 8), 1, int({count}))"
+    positions = f"if({count} < 1, array(), sequence(1, int({count})))"
     return Sql(f"array_join(transform({positions}, {name} -> {item(Sql(f'string({name})'))}), '')")
 
 
@@ -203,9 +202,15 @@ def _escaped(column: str) -> str:
     return f"coalesce({text}, '')"
 
 
-def build_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents ``path, file_name, content`` for every order."""
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+def build_xml(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Documents ``path, file_name, content`` for every order.
+
+    The work is heavy per row and starts from few files, so the orders are dealt out to
+    ``partitions`` tasks, by default one for each core.
+    """
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").repartition(
+        partitions or spark.sparkContext.defaultParallelism
+    )
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
     nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
     rows = (
