@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .work import work_table
 
-SAMPLE_ROWS = 20_000  # labelled documents that the model is fitted on, at most
-MAX_FEATURES = 4_000
+SAMPLE_ROWS = 12_000  # labelled documents that the model is fitted on, at most
+MAX_FEATURES = 2_000
 LEAST_DOCUMENTS = 3  # of the sample that hold a feature
 LEAST_Z = 4.0  # how far, in standard errors, its share of toxic documents is above the average
 GRADE_HITS = (1, 3, 6)  # occurrences of toxic features from which a toxic document has grade 1, 2, 3
@@ -71,15 +71,23 @@ def _selected_features(docs: DataFrame, labels: DataFrame, sample_rows: int, see
     # The sample has sample_rows rows of two numbers at most, so it may be sent to every task.
     sample = work_table(texts.join(F.broadcast(chosen), "doc_id").select(
         "doc_id", F.xxhash64("text").alias("hash"), "toxic", F.arrow_udf(read, "map<string, long>")("text").alias("terms")))
-    rows = sample.groupBy("doc_id", "hash").agg(F.max("toxic").alias("toxic")).toPandas()
-    share = rows["toxic"].mean() if len(rows) else 0.0
+    # As columns of numbers, 24 bytes a row; terms come as their places in a list.
+    rows = _numbers(sample.groupBy("doc_id", "hash").agg(F.max("toxic").alias("toxic")))
+    share = float(rows["toxic"].mean()) if len(rows["toxic"]) else 0.0
     if not 0 < share < 1:
-        return rows, None
+        return rows, None, []
     terms = sample.select("doc_id", "hash", "toxic", F.explode("terms").alias("term", "n")).distinct()
     z = (F.avg("toxic") - share) / F.sqrt(share * (1 - share) / F.count("*"))
     top = terms.groupBy("term").agg(F.count("*").alias("docs"), z.alias("z")).where(
         (F.col("docs") >= LEAST_DOCUMENTS) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "term").limit(MAX_FEATURES)
-    return rows, terms.join(F.broadcast(top.select("term")), "term").select("doc_id", "hash", "term", "n").toPandas()
+    names = [r.term for r in top.select("term").collect()]
+    places = docs.sparkSession.createDataFrame(list(enumerate(names)), "place int, term string")
+    return rows, _numbers(terms.join(F.broadcast(places), "term").select("doc_id", "hash", "place", "n")), names
+
+
+def _numbers(df: DataFrame) -> dict[str, np.ndarray]:
+    table = df.toArrow()
+    return {name: table[name].to_numpy() for name in table.column_names}
 
 
 def fit_ordinal(values, columns, rows, grades: np.ndarray, size: int, l1: float, l2: float, steps: int = 400):
@@ -138,28 +146,28 @@ def fit_toxicity(
     Labels of unknown documents, null ids and null labels are left out; of several labels of
     one id the higher counts. Without labels of both kinds the model gives grade 0 to all.
     """
-    rows, terms = _selected_features(docs, labels, sample_rows, seed, id_col, text_col)
-    if terms is None or terms.empty:
+    rows, terms, names = _selected_features(docs, labels, sample_rows, seed, id_col, text_col)
+    if not names:
         return OrdinalModel()
-    keys = {key: k for k, key in enumerate(zip(rows["doc_id"], rows["hash"], strict=True))}
-    names = sorted(set(terms["term"]))
-    at = {name: k for k, name in enumerate(names)}
-    row = np.array([keys[key] for key in zip(terms["doc_id"], terms["hash"], strict=True)])
-    column = np.array([at[t] for t in terms["term"]])
-    value = 1 + np.log(terms["n"].to_numpy(float))
-    toxic = rows["toxic"].to_numpy(int)
-
-    binary, _ = fit_ordinal(value, column, row, toxic, len(names), 0.3 / len(rows), 0.0)
+    # In one order, whichever way the rows came.
+    order = np.lexsort((rows["hash"], rows["doc_id"]))
+    rows = {name: column[order] for name, column in rows.items()}
+    keys = {key: k for k, key in enumerate(zip(rows["doc_id"].tolist(), rows["hash"].tolist(), strict=True))}
+    row = np.array([keys[key] for key in zip(terms["doc_id"].tolist(), terms["hash"].tolist(), strict=True)])
+    order = np.lexsort((terms["place"], row))
+    row, column, times = row[order], terms["place"][order], terms["n"][order].astype(float)
+    value = 1 + np.log(times)
+    toxic = rows["toxic"].astype(int)
+
+    binary, _ = fit_ordinal(value, column, row, toxic, len(names), 0.3 / len(toxic), 0.0)
     stays = binary > 1e-3
     if not stays.any():
         return OrdinalModel()
     kept = stays[column]
     # One occurrence of a word can count for several features; the most frequent feature tells how many there were.
-    hits = np.zeros(len(rows))
-    np.maximum.at(hits, row[kept], 0)
-    np.add.at(hits, row[kept], terms["n"].to_numpy(float)[kept] * np.array([not n.endswith("*") for n in names])[column[kept]])
-    most = np.zeros(len(rows))
-    np.maximum.at(most, row[kept], terms["n"].to_numpy(float)[kept])
+    hits, most = np.zeros(len(toxic)), np.zeros(len(toxic))
+    np.add.at(hits, row[kept], times[kept] * np.array([not n.endswith("*") for n in names])[column[kept]])
+    np.maximum.at(most, row[kept], times[kept])
     hits = np.maximum(hits, most)
     grades = np.where(toxic > 0, np.maximum(1, np.searchsorted(GRADE_HITS, hits, side="right")), 0)
     used = np.unique(grades)
