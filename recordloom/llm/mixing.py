@@ -104,8 +104,9 @@ def mix_sources(
     last = rows.join(edge, [*names, "digits"]).withColumn("end", F.col("before") + F.sum("tokens").over(in_order)).where(
         "end <= part").groupBy(*names).agg(F.max("at").alias("last"))
     # Any hash that begins with the digits comes after them.
-    ends = plan.join(edge, names, "left").join(last, names, "left").select(
-        *names, "epochs", F.coalesce("last", "digits").alias("upto"))
+    # A row for each leaf; stored, its size is known when the texts are joined to it, so they stay where they are.
+    ends = work_table(plan.join(edge, names, "left").join(last, names, "left").select(
+        *names, "epochs", F.coalesce("last", "digits").alias("upto")))
 
     keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("key"), *branch)
     taken = keyed.join(ends, names).withColumn("at", epoch_order(seed, F.col("epochs"), F.col("key")))
