@@ -267,9 +267,40 @@ SELECT record_id, source_xml_path, i AS creator_order, a AS affiliation_order,
        CASE WHEN affs > 0 AND a = 1 THEN 'ROR' END AS affiliation_identifier_scheme
 FROM person, unnest(range(1, greatest(affs, 1) + 1)) AS u(a))"""
 
+# Attributes that are not known: remainder of the document, element, place in the reading
+# order, further condition, whether the record's id is known yet, and context.
+_EXTRAS = [
+    (1, "identifier", 3.2, "true", False, "'/resource/identifier'"),
+    (2, "alternateIdentifier", 3.5, "k % 3 < 2", False, "'/resource/alternateIdentifiers/alternateIdentifier[1]'"),
+    (3, "creatorName", 10.5, "k % 4 > 0", True, "'/resource/creators/creator[1]/creatorName'"),
+    (4, "nameIdentifier", 11.5, "k % 4 > 0 AND (k + 1) % 4 > 0", True, "'/resource/creators/creator[1]/nameIdentifier[1]'"),
+    (5, "affiliation", 11.7, "k % 4 > 0 AND (k + 1) % 3 > 0", True, "'/resource/creators/creator[1]/affiliation[1]'"),
+    (6, "contributor", 99, "k % 4 = 0", True, "'/resource/contributors/contributor[1]'"),
+    (7, "contributorName", 100.5, "k % 4 = 0", True, "'/resource/contributors/contributor[1]/contributorName'"),
+    (8, "subject", 200, "k % 5 > 0", True, "'/resource/subjects/subject[1]'"),
+    (9, "date", 210, "true", True, "'/resource/dates/date[' || CASE WHEN k % 11 = 0 THEN 2 ELSE 1 END || ']'"),
+    (10, "resourceType", 220, "true", True, "'/resource/resourceType'"),
+    (11, "relatedIdentifier", 230, "(k + 1) % 3 > 0", True, "'/resource/relatedIdentifiers/relatedIdentifier[1]'"),
+    (12, "rights", 240, "true", True, "'/resource/rightsList/rights[1]'"),
+    (13, "description", 250, "true", True, "'/resource/descriptions/description[1]'"),
+]
+
+
+def _extra_warnings() -> str:
+    parts = []
+    for n, element, place, condition, with_id, context in _EXTRAS:
+        message = f"'Unhandled attribute ''extra'' on element ''{element}'''"
+        parts.append(f"""
+  UNION ALL
+  SELECT k, file_name, {place}, 'UNHANDLED_ATTRIBUTE', {message}, {message},
+         {'record_id' if with_id else 'NULL'}, {context}
+  FROM ok WHERE k % 43 = {n} AND {condition}""")
+    return "".join(parts)
+
+
 # Every warning with its place in the reading order of its document.
 _WARNINGS = _DOCS + """, w AS (
-  SELECT k, file_name, 1 AS seq, 'UNHANDLED_ROOT_CHILD' AS code,
+  SELECT k, file_name, CAST(1 AS DOUBLE) AS seq, 'UNHANDLED_ROOT_CHILD' AS code,
          'Unhandled root child element ''oaiNote''' AS message,
          'Unhandled root child element ''oaiNote''' AS strict_message,
          CAST(NULL AS VARCHAR) AS record_id, '/oai_datacite' AS context
@@ -305,8 +336,7 @@ _WARNINGS = _DOCS + """, w AS (
   SELECT k, file_name, 101, 'MULTIPLE_NAME_IDENTIFIERS',
          'Contributor has 2 nameIdentifier elements; only the first is mapped into contributors table',
          'Multiple contributor nameIdentifier elements', record_id, '/resource/contributors/contributor[1]'
-  FROM ok WHERE k % 8 = 0
-)"""
+  FROM ok WHERE k % 8 = 0""" + _extra_warnings() + ")"
 
 _ISSUES = _WARNINGS + """, found AS (
   SELECT 'WARNING' AS severity, code, message, '/xml/' || file_name AS source_xml_path,
@@ -461,7 +491,7 @@ SELECT CASE WHEN k % 2 = 0 THEN 'Dataset' ELSE 'Text' END AS resource_type_gener
        count(*) FILTER (WHERE affiliation_order = 1) AS persons
 FROM ok JOIN creator_rows USING (record_id) GROUP BY ALL""",
     "select_docs_containing": _DOCS + """
-SELECT file_name FROM d WHERE k % 2 = 0 AND k % 101 <> 0""",
+SELECT file_name FROM d WHERE k % 2 = 0 AND k % 101 <> 0 AND k % 43 <> 10""",
     "missing_files": _LISTED + " SELECT path, file_name, found FROM listed",
     "missing_file_issues": _LISTED + """
 SELECT 'ERROR' AS severity, 'MISSING_INPUT_FILE' AS code,

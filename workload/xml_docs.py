@@ -50,16 +50,22 @@ def _repeat(count: str, name: str, item: Callable[[Sql], Sql]) -> Sql:
     return Sql(f"array_join(transform({positions}, {name} -> {item(Sql(f'string({name})'))}), '')")
 
 
+def _extra(n: int, item: str = "true") -> Sql:
+    """An attribute that no element is known to have, in every 43rd document, for each kind of element in others."""
+    return _if(f"k % 43 = {n} AND {item}", ' extra="q"')
+
+
 def _creator(i: Sql) -> Sql:
     return _text(
         '<creator><creatorName nameType="',
         _choose("i % 2 = 1", "Organizational", "Personal"),
-        '">', CUSTOMER, " / ", i, "</creatorName>",
+        '"', _extra(3, "i = 1"), ">", CUSTOMER, " / ", i, "</creatorName>",
         _if("i % 2 = 0", "<givenName>G", i, "</givenName><familyName> ", SEGMENT, "</familyName>"),
         _repeat(
             "(k + i) % 4", "j",
             lambda j: _text(
-                '<nameIdentifier nameIdentifierScheme="ORCID" schemeURI="https://orcid.example">',
+                '<nameIdentifier nameIdentifierScheme="ORCID" schemeURI="https://orcid.example"',
+                _extra(4, "i = 1 AND j = 1"), ">",
                 "ID-", K, "-", i, "-", j, "</nameIdentifier>",
             ),
         ),
@@ -68,7 +74,7 @@ def _creator(i: Sql) -> Sql:
             lambda a: _text(
                 "<affiliation",
                 _if("a = 1", ' affiliationIdentifier="ror:', K, '" affiliationIdentifierScheme="ROR"'),
-                ">Dept ", a, " of ", NATION, "</affiliation>",
+                _extra(5, "i = 1 AND a = 1"), ">Dept ", a, " of ", NATION, "</affiliation>",
             ),
         ),
         _if("k % 19 = 0 AND i = 1", "<note>n</note>"),
@@ -79,7 +85,7 @@ def _creator(i: Sql) -> Sql:
 def _contributor() -> Sql:
     return _if(
         "k % 4 = 0",
-        '<contributors><contributor contributorType="DataCollector"><contributorName>',
+        '<contributors><contributor contributorType="DataCollector"', _extra(6), "><contributorName", _extra(7), ">",
         CUSTOMER,
         "</contributorName>",
         _if(
@@ -111,7 +117,7 @@ def _dates() -> Sql:
     return _text(
         "<dates>",
         _if("k % 11 = 0", '<date dateType="Issued"> </date>'),
-        '<date dateType="Issued">',
+        '<date dateType="Issued"', _extra(9), ">",
         _choose("k % 5 = 0", Sql("date_format(order_date, 'yyyy-MM')"), Sql("string(order_date)")),
         "</date>",
         _if("k % 3 <> 0", '<date dateType="Updated" dateInformation="x">', updated, "</date>"),
@@ -124,7 +130,7 @@ def _subject(i: Sql) -> Sql:
         '<subject subjectScheme="segment"',
         _if("i % 2 = 0", ' classificationCode="', i, '"'),
         _if("i = 3", ' xml:lang="de"'),
-        ">", SEGMENT, " topic ", i, "</subject>",
+        _extra(8, "i = 1"), ">", SEGMENT, " topic ", i, "</subject>",
     )
 
 
@@ -132,13 +138,15 @@ def _related(i: Sql) -> Sql:
     return _text(
         '<relatedIdentifier relatedIdentifierType="DOI" relationType="',
         _choose("i = 1", "References", "IsPartOf"),
-        '">10.2/', Sql("string(k + i)"), "</relatedIdentifier>",
+        '"', _extra(11, "i = 1"), ">10.2/", Sql("string(k + i)"), "</relatedIdentifier>",
     )
 
 
 def _alternate_identifiers() -> Sql:
     """The id by three routes, each with a decoy that shows when the wrong one is taken."""
-    url = '<alternateIdentifier alternateIdentifierType="URL">https://x.example/records/'
+    url = _text(
+        '<alternateIdentifier alternateIdentifierType="URL"', _extra(2), ">https://x.example/records/"
+    )
     oai = '<alternateIdentifier alternateIdentifierType="oai">oai:x.example:'
     end = "</alternateIdentifier>"
     return _text(
@@ -152,7 +160,7 @@ def _alternate_identifiers() -> Sql:
 def _resource() -> Sql:
     return _text(
         f'<resource xmlns="{KERNEL_NS}">',
-        '<identifier identifierType="DOI">10.1/', K, "</identifier>",
+        '<identifier identifierType="DOI"', _extra(1), ">10.1/", K, "</identifier>",
         _alternate_identifiers(),
         "<creators>", _repeat("k % 4", "i", _creator), "</creators>",
         _titles(),
@@ -162,16 +170,16 @@ def _resource() -> Sql:
         "</publicationYear>",
         _if("k % 10 = 0", "<language>en</language>"),
         '<resourceType resourceTypeGeneral="', _choose("k % 2 = 0", "Dataset", "Text"),
-        '">Data of ', STATUS, "</resourceType>",
+        '"', _extra(10), ">Data of ", STATUS, "</resourceType>",
         _contributor(),
         "<subjects>", _repeat("k % 5", "i", _subject), "</subjects>",
         _dates(),
         "<relatedIdentifiers>", _repeat("(k + 1) % 3", "i", _related), "</relatedIdentifiers>",
-        '<rightsList><rights xml:lang="en" rightsIdentifier="lic">Some licence</rights>',
+        '<rightsList><rights xml:lang="en" rightsIdentifier="lic"', _extra(12), ">Some licence</rights>",
         '<rights rightsURI="info:eu-repo/semantics/',
         _choose("status = 'F'", "openAccess", "restrictedAccess"),
         '"/></rightsList>',
-        '<descriptions><description descriptionType="Abstract">&lt;p&gt;',
+        '<descriptions><description descriptionType="Abstract"', _extra(13), ">&lt;p&gt;",
         SEGMENT,
         "&lt;/p&gt;</description></descriptions>",
         _if("k % 2 = 1", "<version>v", Sql("string(k % 10)"), "</version>"),
