@@ -32,6 +32,9 @@ def _no_id() -> Column:
     return F.lit(None).cast("string")
 
 
+# The texts of all warnings below, with their codes and contexts, which
+# readers of the issues table know.
+
 # The warnings are one SQL expression, put together from the pieces below. Each piece
 # is SQL text for an array of warnings, or null if there are none. ``record_id`` and
 # ``context`` are SQL too.

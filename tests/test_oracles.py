@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as driver
 from workload import extract_queries, file_queries, record_queries
-from workload.compare import difference, duck
+from tests.compare import difference, duck
 
 SF_DIR = "/root/testdata/sf0.001"
 
