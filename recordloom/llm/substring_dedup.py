@@ -1,4 +1,4 @@
-"""Repeated lines, paragraphs or sentences: every unit is hashed, the earliest occurrence stays.
+"""Repeated lines, paragraphs, sentences or clauses: every unit is hashed, the earliest occurrence stays.
 
 1. Each text is cut into units; a unit's digest is that of its words in lower case. A
    document gives each digest once, what it repeats itself is found again in step 4.
@@ -30,6 +30,7 @@ _ENDS = {
     "line": re.compile(r"(?P<cut>)\n\s*"),
     "paragraph": re.compile(r"(?P<cut>)\n[^\S\n]*\n\s*"),
     "sentence": re.compile(r"(?P<cut>[.!?])\s+|\n\s*"),
+    "clause": re.compile(r"(?P<cut>[.!?,;:])\s+|\n\s*"),
 }
 _REMOVED = "struct<text: string, removed: array<struct<start: long, end: long>>>"
 
@@ -109,13 +110,15 @@ def _cutter(kind: str, min_words: int):
 
 
 def remove_repeats(
-    docs: DataFrame, unit: str = "sentence", min_words: int = 50, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, unit: str = "clause", min_words: int = 40, id_col: str = "doc_id", text_col: str = "text",
     removed_col: str = "removed",
 ) -> DataFrame:
     """``docs`` with repeated runs of units cut from the texts, and the cut spans as ``removed_col``.
 
-    ``unit`` is ``line``, ``paragraph`` (lines up to a blank one) or ``sentence`` (lines, also
-    cut after ``.``, ``!`` or ``?`` before white space). Units are compared by their words
+    ``unit`` is ``line``, ``paragraph`` (lines up to a blank one), ``sentence`` (lines, also
+    cut after ``.``, ``!`` or ``?`` before white space) or ``clause`` (after ``,``, ``;`` and
+    ``:`` as well). A passage that was put into the middle of a line begins in the unit that
+    it was put into, so small units lose less of it. Units are compared by their words
     in lower case. The earliest occurrence stays: that of the smallest id (nulls last), of
     equal ids that of the smallest text hash, within a text the first. Others are removed
     where a run of adjacent ones has ``min_words`` words or more.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.substring_dedup import remove_repeats
 
-ENDS = {"line": r"\n\s*", "paragraph": r"\n[^\S\n]*\n\s*", "sentence": r"(?<=[.!?])\s+|\n\s*"}
+ENDS = {"line": r"\n\s*", "paragraph": r"\n[^\S\n]*\n\s*", "sentence": r"(?<=[.!?])\s+|\n\s*", "clause": r"(?<=[.!?,;:])\s+|\n\s*"}
 
 
 def brute(pairs, kind, min_words):
@@ -41,7 +41,7 @@ def found(df):
 
 def corpus(seed):
     draw = random.Random(seed)
-    sentence = lambda: " ".join(draw.choices(["aa", "Bb", "cé", "dd", "e"], k=draw.randrange(1, 9))) + draw.choice([".", "!", "", "?"])
+    sentence = lambda: " ".join(draw.choices(["aa", "Bb", "cé", "dd", "e"], k=draw.randrange(1, 9))) + draw.choice([".", "!", "", "?", ",", ";"])
     pool = [sentence() for _ in range(60)]
     passage = [sentence() for _ in range(4)]
     out = []
@@ -53,12 +53,25 @@ def corpus(seed):
     return out
 
 
-@pytest.mark.parametrize(("kind", "min_words"), [("line", 1), ("sentence", 8), ("paragraph", 3)])
+@pytest.mark.parametrize(("kind", "min_words"), [("line", 1), ("sentence", 8), ("clause", 5), ("paragraph", 3)])
 def test_matches_a_plain_pass(rows, kind, min_words):
     pairs = corpus(len(kind))
     assert found(remove_repeats(rows(pairs), kind, min_words)) == brute(pairs, kind, min_words)
 
 
+def test_passages_inside_lines(rows):
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choices("abcdefgh", k=6)) + draw.choice(["", "", "", "", ",", "."])
+    passage = [word() for _ in range(60)]
+    hosts = [[word() for _ in range(80)] for _ in range(30)]
+    data = [(k, " ".join(h[:k] + (passage if k % 2 else []) + h[k:])) for k, h in enumerate(hosts)]
+    got = {r.doc_id: r.text for r in remove_repeats(rows(data)).collect()}
+    assert all(got[k] == t for k, t in data if k % 2 == 0 or k == 1)
+    for k, _ in data:
+        if k % 2 and k > 1:
+            assert len(got[k].split()) < 80 + 20 and set(hosts[k]) <= set(got[k].split())
+
+
 def test_awkward_rows(rows):
     passage = " ".join(f"p{k}" for k in range(60)) + "."
     long = " ".join(f"s{k} is here." for k in range(30_000))
