@@ -90,7 +90,7 @@ class WordIds:
     piece of its own and taken off first.
     """
 
-    MOST = 700_000  # memory only: so many words, and the generation before them, are remembered
+    MOST = 400_000  # memory only: so many words, and the generation before them, are remembered
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
@@ -138,7 +138,7 @@ class WordIds:
 
 def word_ids(path: str, end_id: int) -> WordIds:
     """The tokenizer of this worker, loaded once."""
-    return kept_by_worker(f"{path} {end_id}", lambda: WordIds(path, end_id))
+    return kept_by_worker(f"ids {path} {end_id}", lambda: WordIds(path, end_id))
 
 
 def _packer(path: str, window: int, end_id: int, block_tokens: int):

@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,6 +29,7 @@ LEAST_Z = 4.0  # how far, in standard errors, its share of toxic documents is ab
 GRADE_HITS = (1, 3, 6)  # occurrences of toxic features from which a toxic document has grade 1, 2, 3
 _WORD = re.compile(r"[^\W\d_]+")
 _BEGINNINGS = (4, 5, 6, 7)
+_TOGETHER = 200  # documents of the sample whose features a task holds at a time
 
 
 def features_of(word: str) -> list[str]:
@@ -58,19 +60,23 @@ def _selected_features(docs: DataFrame, labels: DataFrame, sample_rows: int, see
     chosen = chosen.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(sample_rows)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
-    def read(column: pa.Array) -> pa.Array:
-        out = []
-        for text in column:
-            terms: Counter = Counter()
-            for word, n in word_counts(text.as_py()).items():
-                for feature in features_of(word):
-                    terms[feature] += n
-            out.append(list(terms.items()))
-        return pa.array(out, pa.map_(pa.string(), pa.int64()))
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, _TOGETHER):
+                part, out = batch.slice(first, _TOGETHER), []
+                for text in part["text"]:
+                    terms: Counter = Counter()
+                    for word, n in word_counts(text.as_py()).items():
+                        for feature in features_of(word):
+                            terms[feature] += n
+                    out.append(list(terms.items()))
+                maps = pa.array(out, pa.map_(pa.string(), pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in keys), maps], names=[*keys, "terms"])
 
     # The sample has sample_rows rows of two numbers at most, so it may be sent to every task.
-    sample = work_table(texts.join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", F.xxhash64("text").alias("hash"), "toxic", F.arrow_udf(read, "map<string, long>")("text").alias("terms")))
+    keys = ["doc_id", "hash", "toxic"]
+    labelled = texts.join(F.broadcast(chosen), "doc_id").withColumn("hash", F.xxhash64("text"))
+    sample = work_table(labelled.select(*keys, "text").mapInArrow(read, "doc_id long, hash long, toxic int, terms map<string, long>"))
     # As columns of numbers, 24 bytes a row; terms come as their places in a list.
     rows = _numbers(sample.groupBy("doc_id", "hash").agg(F.max("toxic").alias("toxic")))
     share = float(rows["toxic"].mean()) if len(rows["toxic"]) else 0.0

@@ -31,9 +31,10 @@ def kept_by_worker(name: str, make: Callable[[], Any]) -> Any:
     """What ``make`` gave the first task of this worker process that asked for ``name``.
 
     Functions come to a worker anew with every task, so what they are to remember from one
-    to the next has a module of its own.
+    to the next has a module of its own. Only the last name asked for is kept.
     """
     held = sys.modules.setdefault("recordloom_kept", types.ModuleType("recordloom_kept")).__dict__
-    if name not in held:
-        held[name] = make()
-    return held[name]
+    if held.get("name") != name:
+        held["value"] = None
+        held["value"], held["name"] = make(), name
+    return held["value"]
