@@ -29,8 +29,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated runs of clauses of 40 words or more; ``n_chars`` is counted anew."""
-    cut = remove_repeats(docs, unit="clause", min_words=40, removed_col="_removed")
+    """Texts without repeated passages of 40 words or more; ``n_chars`` is counted anew."""
+    cut = remove_repeats(docs, unit="passage", min_words=40, removed_col="_removed")
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

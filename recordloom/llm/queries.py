@@ -47,8 +47,8 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without repeated runs of clauses of 40 words or more, and what was cut where."""
-    cut = remove_repeats(_documents(spark, sf_dir), unit="clause", min_words=40)
+    """Documents without repeated passages of 40 words or more, and what was cut where."""
+    cut = remove_repeats(_documents(spark, sf_dir), unit="passage", min_words=40)
     return cut.select("doc_id", "text", "removed", (F.size("removed") > 0).alias("changed"))
 
 

@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from recordloom.llm import queries
 from recordloom.llm.substring_dedup import remove_repeats
 
 ENDS = {"line": r"\n\s*", "paragraph": r"\n[^\S\n]*\n\s*", "sentence": r"(?<=[.!?])\s+|\n\s*", "clause": r"(?<=[.!?,;:])\s+|\n\s*"}
@@ -86,3 +87,47 @@ def test_awkward_rows(rows):
     spans = {r.doc_id: [tuple(s) for s in r.removed] for r in out.where("doc_id = 5").collect()}
     assert spans == {5: [(5, 5 + len(passage) + 1)]}
     assert remove_repeats(rows([])).count() == 0
+
+
+def plain_passages(pairs, size):
+    """Words covered by a window of ``size`` words that stands earlier, in order of the ids."""
+    seen, out = set(), []
+    for i, text in sorted(pairs):
+        words, marks = text.lower().split(), set()
+        for k in range(len(words) - size + 1):
+            window = tuple(words[k : k + size])
+            if window in seen:
+                marks.update(range(k, k + size))
+            seen.add(window)
+        starts = [m.start() for m in re.finditer(r"\S+", text)] + [len(text)]
+        spans = [(starts[k], starts[next(e for e in range(k, len(words) + 1) if e not in marks)]) for k in sorted(marks) if k - 1 not in marks]
+        out.append((i, "".join(c for k, c in enumerate(text) if not any(a <= k < b for a, b in spans)), spans))
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 8])
+def test_passages_match_a_plain_pass(rows, size):
+    pairs = [*corpus(size), (100, ""), (101, "aa Bb " * 20), *((k + 200, t) for k, t in corpus(size)[:8])]
+    assert found(remove_repeats(rows(pairs), "passage", size)) == plain_passages(pairs, size)
+
+
+@pytest.mark.parametrize("marks", [[""], ["", "", "", ",", "."]])
+def test_passages_set_into_sentences_go_as_a_whole(rows, marks):
+    draw = random.Random(len(marks))
+    word = lambda: "".join(draw.choices("abcdefgh", k=6)) + draw.choice(marks)
+    passages = [[word() for _ in range(n)] for n in (40, 51, 58, 60, 200)]
+    hosts = [[word() for _ in range(60)] for _ in range(30)]
+    data = [(k, " ".join(h[: k + 3] + passages[k % 5] + h[k + 3 :])) for k, h in enumerate(hosts)]
+    got = {r.doc_id: r.text for r in remove_repeats(rows(data), "passage", 40).collect()}
+    assert got == {k: t if k < 5 else " ".join(hosts[k]) for k, t in data}
+    # One edited word: both sides that still have 40 words go, to the word.
+    one, edited = passages[4], [*passages[4][:90], "new", *passages[4][91:]]
+    pairs = [(1, " ".join(one)), (2, " ".join(["own", *edited, "end"]))]
+    assert {r.doc_id: r.text for r in remove_repeats(rows(pairs), "passage", 40).collect()} == {1: pairs[0][1], 2: "own new end"}
+
+
+def test_query_cuts_a_passage_inside_a_sentence(spark, tmp_path):
+    passage = " ".join(f"p{k}" for k in range(55))
+    spark.createDataFrame([(1, f"one {passage} two"), (2, f"three {passage} four")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in queries.op2_substring_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: f"one {passage} two", 2: "three four"}
