@@ -57,3 +57,20 @@ def test_query_edits(spark, tmp_path, ids):
         assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
         if len(text.split()) > 200:
             assert got[i].near_edited > 0.35
+
+
+def test_short_texts_are_exact(spark):
+    draw = random.Random(4)
+    data = []
+    for n in range(6, 40):
+        words = text_of(draw, n).split()
+        data.append((" ".join(words), " ".join(words[: n // 2 + 3] + text_of(draw, n).split())))
+    df = spark.createDataFrame(data, "a string, b string").withColumn("both", F.concat_ws(" ", "a", "b"))
+    for name in ("a", "b", "both"):
+        df = with_fingerprint(df, f"{name}_print", F.col(name))
+    x, y = F.col("a_print"), F.col("b_print")
+    for r in df.select("a", "b", "a_print", "b_print", containment(x, y).alias("part"), likeness(x, y).alias("like"), merged(x, y).alias("merged")).collect():
+        one, other = ({tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in (r.a, r.b))
+        assert (len(r.a_print), r.part) == (len(one), len(one & other) / len(one))
+        assert r.like == len(one & other) / min(len(one), len(other))
+        assert r.merged == sorted({*r.a_print, *r.b_print})[:64]
