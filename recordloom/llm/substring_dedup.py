@@ -260,14 +260,13 @@ def _repeated_passages(slim: DataFrame, size: int) -> DataFrame:
     return lists.join(repeated, same, "left").select("doc_id", "text_hash", "stretches", "windows")
 
 
-def _digester(kind: str, min_words: int):
+def _digester(kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = []
             for text in batch["text"]:
-                _, digests, sizes = units(text.as_py() or "", kind)
-                enough = sum(sizes) >= min_words
-                lists.append(np.unique(np.array(digests if enough else [], np.uint64)).view(np.int64))
+                _, digests, _ = units(text.as_py() or "", kind)
+                lists.append(np.unique(np.array(digests, np.uint64)).view(np.int64))
             ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
             values = pa.array(np.concatenate(lists) if lists else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -297,7 +296,7 @@ def _cutter(kind: str, min_words: int):
 def _repeated_units(slim: DataFrame, unit: str, min_words: int) -> DataFrame:
     """``doc_id, text_hash, digests``: units that stand in an earlier document, for those that have any."""
     found = work_table(slim.mapInArrow(
-        _digester(unit, min_words), "doc_id long, text_hash long, digests array<long>"))
+        _digester(unit), "doc_id long, text_hash long, digests array<long>"))
     held = found.select("doc_id", "text_hash", F.explode("digests").alias("digest"))
     key = F.xxhash64("doc_id", "text_hash")
     shared = held.groupBy("digest").agg(F.min(key).alias("low"), F.max(key).alias("high")).where("low <> high")

@@ -131,3 +131,9 @@ def test_query_cuts_a_passage_inside_a_sentence(spark, tmp_path):
     spark.createDataFrame([(1, f"one {passage} two"), (2, f"three {passage} four")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.text for r in queries.op2_substring_dedup(spark, str(tmp_path)).collect()}
     assert got == {1: f"one {passage} two", 2: "three four"}
+
+
+def test_short_documents_count_as_earlier(rows):
+    one, two = (" ".join(f"{c}{k}" for k in range(30)) + "." for c in "ab")
+    got = {r.doc_id: r.text for r in remove_repeats(rows([(1, one), (2, two), (3, f"{one} {two}")]), "clause", 40).collect()}
+    assert got == {1: one, 2: two, 3: ""}
