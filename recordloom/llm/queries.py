@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .fingerprints import as_string, likeness, with_fingerprint
+from .lexical_search import build_index, search
+from .main_text import with_main_text
 from .mixing import WORD, mix_sources
 from .near_dedup import near_duplicates
 from .packing import pack_documents
@@ -15,6 +17,7 @@ from .sharding import shard_rows
 from .substring_dedup import remove_repeats
 from .toxicity import fit_toxicity, score_toxicity
 from .url_templates import Rule, judge_urls
+from .vector_codes import codebooks_digest, fit_and_encode, with_label_error
 from .warc import read_warc, write_warc
 from .work import work_folder, work_table
 
@@ -164,10 +167,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    found = search(build_index(_documents(spark, sf_dir)), _table(spark, sf_dir, "benchmark"), k=50)
+    return found.select(F.col("query_id").alias("item_id"), "rank", "doc_id", "score")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings in eight parts of sixteen entries, and what they lose."""
+    coded, codebooks = fit_and_encode(_table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+    return with_label_error(coded).select("vec_id", "code", "error", "label_error", F.lit(codebooks_digest(codebooks)).alias("codebooks_sha256"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return with_main_text(_table(spark, sf_dir, "pages"), text_col="text").select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_sharding, op2_substring_dedup, op3_packing, op4_toxicity, op5_warc, op6_fingerprints, op7_near_dedup, op8_url_filters,
-              op9_mixing, op10_quality_rules)
+              op9_mixing, op10_quality_rules, op11_lexical_search, op12_vector_codes, op13_main_text)
 }
 
 
@@ -215,4 +236,65 @@ WITH sized AS (SELECT doc_id, lang, source, {_DOMAIN_SQL} AS domain, coalesce(la
 SELECT doc_id, lang, source, unnest(range(epochs::BIGINT + CASE WHEN upto <= part THEN 1 ELSE 0 END)) AS epoch FROM ranked
 """
 
-ORACLES: dict[str, str] = {"op9_mixing": OP9_SQL}
+_TERM_SQL = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+OP11_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '{_TERM_SQL}') AS terms FROM documents),
+    held AS (SELECT *, len(terms) AS n FROM docs WHERE len(terms) > 0),
+    total AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM held),
+    tfs AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM held) GROUP BY ALL),
+    dfs AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tfs, total GROUP BY term, nn),
+    items AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '{_TERM_SQL}')) AS term
+        FROM benchmark),
+    scored AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll))))::BIGINT AS score
+        FROM items JOIN dfs USING (term) JOIN tfs USING (term) JOIN held USING (r), total GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+def _op12_sql(rounds: int) -> str:
+    """SQL that assigns and moves the entries round by round, every distance computed."""
+
+    def assigned(number: int, books: str) -> str:
+        return f"""
+    far{number} AS MATERIALIZED (SELECT r, part, entry, sum((c.v - e.v) * (c.v - e.v))::BIGINT AS apart
+        FROM cells c JOIN {books} e USING (part, pos) GROUP BY ALL),
+    near{number} AS MATERIALIZED (SELECT r, part, entry, apart FROM far{number}
+        QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY apart, entry) = 1)"""
+
+    steps = [f"""
+    books0 AS MATERIALIZED (SELECT part, pos, rank - 1 AS entry, v FROM cells JOIN ranks USING (r) WHERE rank <= 16)"""]
+    for number in range(rounds):
+        steps.append(assigned(number, f"books{number}"))
+        steps.append(f"""
+    moved{number} AS MATERIALIZED (SELECT part, pos, entry, floor(sum(v)::DOUBLE / count(*))::BIGINT AS v
+        FROM near{number} JOIN cells USING (r, part) GROUP BY ALL),
+    books{number + 1} AS MATERIALIZED (SELECT part, pos, entry, coalesce(m.v, b.v) AS v
+        FROM books{number} b LEFT JOIN moved{number} m USING (part, pos, entry))""")
+    steps.append(assigned(rounds, f"books{rounds}"))
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, embedding FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    ranks AS (SELECT r, row_number() OVER (ORDER BY vec_id) AS rank FROM kept),
+    flat AS (SELECT r, len(embedding) // 8 AS width, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS place FROM kept),
+    cells AS MATERIALIZED (SELECT r, place // width AS part, place % width AS pos, floor(x::DOUBLE * 4096)::BIGINT AS v FROM flat),
+    {",".join(steps)},
+    digest AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM books{rounds}),
+    coded AS (SELECT r, string_agg(printf('%02x', entry::INTEGER), '' ORDER BY part) AS code, sum(apart)::BIGINT AS error FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN kept USING (r), digest
+"""
+
+
+# On the given pages the article is what stands in the element of that name; its only inline tag is ``b``.
+_STRIPPED = "regexp_replace(regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '</?b>', '', 'g'), '<[^>]*>', ' ', 'g')"
+for _name, _char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+    _STRIPPED = f"regexp_replace({_STRIPPED}, '&{_name};?', '{_char}', 'g')"
+OP13_SQL = f"""
+WITH texts AS (SELECT page_id, url, trim(regexp_replace({_STRIPPED}, '\\s+', ' ', 'g')) AS text FROM pages)
+SELECT page_id, url, text, length(text) AS n_chars FROM texts
+"""
+
+ORACLES: dict[str, str] = {"op9_mixing": OP9_SQL, "op11_lexical_search": OP11_SQL, "op12_vector_codes": _op12_sql(6), "op13_main_text": OP13_SQL}
