@@ -13,6 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -68,6 +69,17 @@ class Block:
         self.holds: set[str] = set()  # which of main, article and headings are below
 
 
+@dataclass(frozen=True)
+class _Line:
+    """Text of a block up to a child or its end: whether it was chosen, is mostly links, a heading, in the article's element."""
+
+    text: str = ""
+    chosen: bool = False
+    links: bool = False
+    heading: bool = False
+    region: bool = False
+
+
 def _marks(tag: str, attrs: list[tuple[str, str | None]]) -> frozenset[str]:
     """What an element's attributes say about it."""
     found = set()
@@ -165,6 +177,10 @@ class _Reader(HTMLParser):
     def parse_html_declaration(self, i: int) -> int:
         return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
 
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        end = super().parse_comment(i, report)
+        return end if end >= 0 else len(self.rawdata)  # the page is fed whole: an open comment takes the rest
+
     def _pop(self) -> str:
         name, block, dropped = self.stack.pop()
         self.open[name] -= 1
@@ -201,7 +217,7 @@ def _cut(blocks: list[Block]) -> None:
     for block in blocks:
         inside = within.get(id(block.above), False) or block.tag in ("article", "main")
         within[id(block)] = inside
-        if block.tag in HEADINGS | {"main"} or (block.tag == "article" and not block.marks):
+        if block.tag in HEADINGS | {"main"} or (block.tag == "article" and "comments" not in block.marks):
             own[id(block)] = block.tag
     paragraphs = [b.chars if b.tag == "p" else 0 for b in blocks]
     place = {id(b): i for i, b in enumerate(blocks)}
@@ -227,7 +243,8 @@ def _cut(blocks: list[Block]) -> None:
         elif "comments" in block.marks:
             block.cut = not block.holds & {"main", "h1"}
         elif "surrounding" in block.marks:
-            block.cut = not article_below
+            # An article is only cut for its class where it stands in another.
+            block.cut = not article_below and (kind != "article" or within[id(block.above)])
 
 
 def _density(chars: int, tags: int, link_chars: int, links: int, body_share: float) -> float:
@@ -268,8 +285,8 @@ def _measure(blocks: list[Block]) -> None:
                 block.best = part.best
 
 
-def _chosen(blocks: list[Block]) -> set[int]:
-    """The blocks whose whole subtree is main text."""
+def _chosen(blocks: list[Block]) -> tuple[set[int], Block | None]:
+    """The blocks whose whole subtree is main text, and the article or main element they lie in, if any."""
     main = blocks[0].best
     threshold, region, above = main.density, None, main.above
     if main.tag in ("article", "main"):
@@ -288,7 +305,7 @@ def _chosen(blocks: list[Block]) -> set[int]:
         if block.density >= threshold and block.density > 0:
             chosen.add(id(block.best))
         todo += [p for p in block.parts if isinstance(p, Block) and not p.cut]
-    return chosen
+    return chosen, region
 
 
 def main_text(html: str | None) -> str:
@@ -306,44 +323,49 @@ def main_text(html: str | None) -> str:
     _measure(blocks)
     if not blocks[0].chars:
         return ""
-    chosen = _chosen(blocks)
+    chosen, region = _chosen(blocks)
     threshold = blocks[0].density
-    # The lines of the page in order: text, whether it was chosen, whether it is mostly links.
-    lines: list[tuple[str, bool, bool]] = []
-    todo: list[tuple[Block, int, bool, bool]] = [(blocks[0], 0, False, False)]
+    lines: list[_Line] = []
+    todo: list[tuple[Block, int, _Line]] = [(blocks[0], 0, _Line())]
     held: list[str] = []
 
-    def close(inside: bool, links: bool) -> None:
+    def close(like: _Line) -> None:
         words = "".join(held).split()
         held.clear()
         if words:
-            lines.append((" ".join(words), inside, links))
+            lines.append(replace(like, text=" ".join(words)))
 
     while todo:
-        block, at, inside, links = todo.pop()
+        block, at, state = todo.pop()
         if not at:
-            inside = inside or id(block) in chosen
             listed = block.links > 2 and block.link_chars >= _MOSTLY * block.chars and block.density < threshold
-            inside = inside and not (listed and id(block) not in chosen)
-            links = links or 2 * block.link_chars > block.chars
+            state = _Line(
+                chosen=id(block) in chosen or (state.chosen and not listed), links=state.links or 2 * block.link_chars > block.chars,
+                heading=block.tag in HEADINGS, region=state.region or block is region)
         while at < len(block.parts):
             part = block.parts[at]
             at += 1
             if isinstance(part, str):
                 held.append(part)
             else:
-                close(inside, links)
+                close(state)
                 if not part.cut:
-                    todo.append((block, at, inside, links))
-                    todo.append((part, 0, inside, links))
+                    todo += [(block, at, state), (part, 0, state)]
                     break
         else:
-            close(inside, links)
-    kept = [i for i, (_, inside, _) in enumerate(lines) if inside]
+            close(state)
+    kept = [i for i, line in enumerate(lines) if line.chosen]
     if not kept:
         return ""
-    # What stands between two blocks of the text belongs to it, unless it is mostly links.
-    return " ".join(t for t, inside, links in lines[kept[0] : kept[-1] + 1] if inside or not links)
+    # Headings just above the text belong to it, in an article all from its first heading on,
+    # and so does what stands between two of its blocks, unless it is mostly links.
+    first = kept[0]
+    heads = [i for i in range(first) if lines[i].heading and lines[i].region]
+    if heads:
+        first = heads[0]
+    while first and lines[first - 1].heading:
+        first -= 1
+    return " ".join(line.text for line in lines[first : kept[-1] + 1] if line.chosen or not line.links)
 
 
 def with_main_text(pages: DataFrame, html_col: str = "html", text_col: str = "main_text") -> DataFrame:
