@@ -16,7 +16,7 @@ from recordloom.functions.elements import (
     text_of,
 )
 from recordloom.functions.identifiers import extract_record_id, file_name_record_id
-from recordloom.functions.json import object_keys, page_total, record_id_of
+from recordloom.functions.json import array_length, field_of, object_keys, page_total, read_object, read_page, record_id_of
 from recordloom.functions.text import (
     attribute_display_name,
     last_segment,
@@ -25,12 +25,14 @@ from recordloom.functions.text import (
 )
 
 __all__ = [
+    "array_length",
     "attribute_display_name",
     "day_end_exclusive",
     "day_start",
     "element_count",
     "extract_record_id",
     "file_name_record_id",
+    "field_of",
     "first_by_prefix",
     "first_where",
     "first_with_text",
@@ -42,6 +44,8 @@ __all__ = [
     "parse_date_strict",
     "parse_iso_ts",
     "positional_first",
+    "read_object",
+    "read_page",
     "record_id_of",
     "safe_int",
     "text_of",

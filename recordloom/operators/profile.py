@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from recordloom.functions.json import object_keys
+from recordloom.functions.json import object_keys, read_object
 
 
 def issues_by(issues: DataFrame, column: str) -> DataFrame:
@@ -111,14 +111,18 @@ def distribution(records: DataFrame, column: str) -> DataFrame:
 def key_inventory(records: DataFrame, json_col: str, *paths: str) -> DataFrame:
     """``path, key, n``: which keys the JSON objects at the paths have, and in how many records.
 
-    One pass for all paths, by default for the record itself.
+    ``json_col`` holds the text of a record, or what ``read_object`` made of it. One pass and one scan
+    of a record for all paths, by default for the record itself. A repeated key counts once.
     """
+    column = F.col(json_col)
+    is_text = records.schema[json_col].dataType.typeName() == "string"
+    read = records.select((read_object(column) if is_text else column).alias("record_"))
     found = [
         F.transform(
-            F.coalesce(object_keys(F.col(json_col), path), F.array().cast("array<string>")),
+            F.coalesce(object_keys(F.col("record_"), *path.split(".")[1:]), F.array().cast("array<string>")),
             lambda key: F.struct(F.lit(path).alias("path"), key.alias("key")),  # noqa: B023
         )
         for path in paths or ("$",)
     ]
-    keys = records.select(F.explode(F.concat(*found)).alias("at")).select("at.path", "at.key")
+    keys = read.select(F.explode(F.concat(*found)).alias("at")).select("at.path", "at.key")
     return keys.groupBy("path", "key").agg(F.count("*").alias("n"))

@@ -2,32 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recordloom.functions.json import read_line
+from recordloom.functions.json import read_object, read_page, record_id_of
 from recordloom.functions.text import has_text
 
+_RECORD = "record_"
 
-def _is_blank(line: Column) -> Column:
-    return ~has_text(line)
 
-
-def _read(lines: DataFrame) -> DataFrame:
-    """``value, valid, id`` of lines that are not blank."""
-    line = read_line(F.col("value"))
-    read = lines.where(has_text(F.col("value"))).select("*", line.alias("line_"))
-    return read.select(*lines.columns, F.isnull("line_.malformed_").alias("valid_"), F.col("line_.id").alias("id"))
-
-
-def parse_jsonl(lines: DataFrame, keep_null_ids: bool = False) -> DataFrame:
+def parse_jsonl(lines: DataFrame, keep_null_ids: bool = False, record_col: str | None = None) -> DataFrame:
     """Text lines (column ``value``, and any others) with their record's ``id`` as a string.
 
-    Blank lines and lines that are no JSON object are skipped. Records without an id are
+    Blank lines and lines that are not one JSON object are skipped. Records without an id are
     skipped too, unless ``keep_null_ids`` is set. The id is the text that the line has:
-    ``1.0`` is not ``1``, and long numbers keep all their digits.
+    ``1.0`` is not ``1``, and long whole numbers keep all their digits. ``record_col`` names a column for
+    the record as ``read_object`` reads it, so that ids, fields and keys come from one scan of a line.
     """
-    with_id = _read(lines).where("valid_").drop("valid_")
-    return with_id if keep_null_ids else with_id.where(F.col("id").isNotNull())
+    # Exploded, as the optimizer would repeat the scan in every filter that it moves below a projection.
+    once = F.explode(F.filter(F.array(read_object(F.col("value"))), F.isnotnull))
+    valid = lines.where(has_text(F.col("value"))).select("*", once.alias(_RECORD)).withColumn("id", record_id_of(F.col(_RECORD)))
+    kept = valid if keep_null_ids else valid.where(F.col("id").isNotNull())
+    return kept.withColumnRenamed(_RECORD, record_col) if record_col else kept.drop(_RECORD)
 
 
 def read_jsonl_tolerant(
@@ -48,21 +43,19 @@ def read_jsonl_tolerant(
 
 def line_quality(lines: DataFrame) -> DataFrame:
     """One row: how many lines were read, blank, malformed, or had no id."""
-    line = read_line(F.col("value"))
-    checked = lines.select(
-        _is_blank(F.col("value")).alias("blank"),
-        F.isnull(line["malformed_"]).alias("valid"),
-        F.isnull(line["id"]).alias("no_id"),
-    )
+    read = lines.select(has_text(F.col("value")).alias("filled"), F.explode(F.array(read_object(F.col("value")))).alias(_RECORD))
+    checked = read.select("filled", F.col(_RECORD).isNotNull().alias("valid"), F.isnull(record_id_of(F.col(_RECORD))).alias("no_id"))
     return checked.agg(
         F.count("*").alias("lines"),
-        F.count_if("blank").alias("blank_lines"),
-        F.count_if(~F.col("blank") & ~F.col("valid")).alias("bad_lines"),
-        F.count_if(~F.col("blank") & F.col("valid") & F.col("no_id")).alias("lines_without_id"),
+        F.count_if(~F.coalesce("filled", F.lit(False))).alias("blank_lines"),
+        F.count_if(F.col("filled") & ~F.col("valid")).alias("bad_lines"),
+        F.count_if(F.col("filled") & F.col("valid") & F.col("no_id")).alias("lines_without_id"),
     )
 
 
 def explode_api_pages(pages: DataFrame, page: str = "page") -> DataFrame:
-    """One row per record in ``hits.hits``; a page without hits gives no row."""
-    hits = F.try_variant_get(F.col(page), "$.hits.hits", "array<variant>")
-    return pages.withColumn("record", F.explode(hits)).drop(page)
+    """One row per record in ``hits.hits`` of a page's text, with the record's text in ``record``.
+
+    A page without hits, or that is not one JSON object, gives no row.
+    """
+    return pages.withColumn("record", F.explode(read_page(F.col(page))["hits"])).drop(page)

@@ -91,6 +91,23 @@ def test_page_total(spark):
     pages = {
         '{"hits": {"total": 5}}': 5, '{"hits": {"total": {"value": 7}}}': 7, '{"hits": {"total": "12"}}': 12,
         '{"hits": {"total": null}}': 0, '{"hits": {"total": {}}}': 0, '{"hits": {"total": "x"}}': 0,
-        '{"hits": {}}': 0, "{}": 0, "nope": 0,
+        '{"hits": {}}': 0, "{}": 0, "nope": 0, '{"hits": {"total": 12.7}}': 12, '{"hits": {"total": 1e3}}': 1000, '{"hits": {"total": true}}': 1,
+        '{"hits": {"total": NaN}}': 0, '{"hits": {"total": 1, "total": 2}}': 2, '{"hits": {"total": 5}} x': 0, '{"hits": {"total": 5}}, {}': 0,
+        '{"hits": {"total": 5}, "n": [NaN]}': 5, '{"hits": 3}': 0, '{"hits": {"total": {"value": {"value": 3}}}}': 0,
+        '{"hits": {"total": 1e400}}': 0, '{"hits": {"total": 99999999999999999999}}': 0,
     }
-    assert evaluate(spark, list(pages), lambda v: fn.page_total(F.try_parse_json(v))) == list(pages.values())
+    assert evaluate(spark, list(pages), fn.page_total) == list(pages.values())
+
+
+def test_tolerant_objects(spark):
+    texts = {
+        '{"id": 1}': "1", '{"id": 1}{"id": 2}': None, '{"id": 3} trailing': None, '{"id": 1}, {"id": 2}': None, '{"id": 1}], [{"id": 2}': None,
+        '{"id": 1}]': None, "[1]": None, "null": None, "5": None, "": None, "{}": None, '{"id": null}': None, '{"id": "a", "id": "b"}': "b",
+        '{"id": NaN}': "NaN", '{"id": -Infinity}': "-Infinity", '{"id": 1e400}': "Infinity", '{"id": "NaN"}': "NaN", '{"id": true}': "true",
+        '\u00a0{"id": "x"}\u2003': "x", "{'id': 1}": None, '{"id": 1,}': None, '{"id": "a\tb"}': None, '{"id": [1, NaN]}': '[1,"NaN"]',
+        '{"id": 1},{"seal_":"0"}': None,
+    }
+    assert evaluate(spark, list(texts), lambda v: fn.record_id_of(fn.read_object(v))) == list(texts.values())
+    nested = ['{"m": {"a": 1, "a": {"b": 2}, "c": NaN}}', '{"m": {"a": 1}, "m": 3}', '{"x": 1}', "{"]
+    assert evaluate(spark, nested, lambda v: fn.object_keys(fn.read_object(v), "m")) == [["a", "c"], None, None, None]
+    assert evaluate(spark, nested, lambda v: fn.field_of(fn.read_object(v), "m", "a", "b")) == ["2", None, None, None]

@@ -209,6 +209,11 @@ def _json_lines(spark: SparkSession, sf: str) -> DataFrame:
         .when(k % 29 == 0, F.concat(F.lit('{"id": 1, "p": '), F.col("props"), F.lit(', "x": NaN}')))
         .when(k % 31 == 0, F.concat(F.lit('{"id": "old", "id": "e'), k, F.lit('"}')))
         .when(k % 37 == 0, F.concat(F.lit('{"id": '), F.lit(LONG_ID), k % 2, F.lit("}")))
+        .when(k % 41 == 0, F.concat(F.lit('{"id": '), k, F.lit("}{"), F.lit('"id": 2}')))
+        .when(k % 43 == 0, F.concat(F.lit('{"id": '), k, F.lit("} trailing")))
+        .when(k % 47 == 0, F.concat(F.lit('{"id": '), k, F.lit('}], [{"id": 2}')))
+        .when(k % 53 == 0, F.concat(F.lit('{"id": '), k, F.lit('}, {"id": 2}')))
+        .when(k % 59 == 0, F.concat(F.lit('\u00a0{"id": NaN, "p": '), F.col("props"), F.lit("} ")))
         .when(k % 7 == 0, F.concat(F.lit('{"id": '), k))
         .when(k % 5 == 0, F.lit(" \t "))
         .when(k % 4 == 0, F.concat(F.lit('{"id": "e'), k, F.lit('", "p": '), F.col("props"), F.lit("}")))
@@ -248,8 +253,13 @@ def _pages_of_events(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('{"hits": {"total": null}}'),
         F.lit("{}"),
         F.lit("<html>"),
+        # Repeated keys and NaN, in a page and in its records; text behind a page.
+        F.concat(F.lit('{"hits": {"total": 1, "x": NaN}, "hits": {"total": 0, "total": '), user, F.lit(", "), hits, F.lit("}}")),
+        F.concat(F.lit('{"hits": {"total": {"value": NaN}, "hits": [{"id": 0, "id": '), user, F.lit('}, {"id": "n", "x": -Infinity}]}}')),
+        F.concat(F.lit('{"hits": {"total": '), user, F.lit(", "), hits, F.lit("}}{}")),
+        F.concat(F.lit('{"hits": {"total": '), user, F.lit('.9, "hits": null}}')),
     )
-    return events(spark, sf).select("event_id", F.try_parse_json(page).alias("page"))
+    return events(spark, sf).select("event_id", page.alias("page"))
 
 
 def page_total(spark: SparkSession, sf: str) -> DataFrame:
@@ -260,13 +270,16 @@ def page_total(spark: SparkSession, sf: str) -> DataFrame:
 
 def api_page_records(spark: SparkSession, sf: str) -> DataFrame:
     return explode_api_pages(_pages_of_events(spark, sf)).select(
-        "event_id", fn.record_id_of(F.col("record")).alias("id")
+        "event_id", fn.record_id_of(fn.read_object(F.col("record"))).alias("id")
     )
 
 
 def key_inventories(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of records of which some repeat a key, hold NaN, or have text behind them."""
     record = F.concat(
-        F.lit('{"id": 1, "'), F.col("event_type"), F.lit('": 2, "metadata": '), F.col("props"), F.lit("}")
+        F.lit('{"id": 1, "'), F.col("event_type"), F.lit('": 2, "metadata": '), F.col("props"),
+        _by_remainder(F.col("event_id"), F.lit("}"), F.lit(', "id": 3}'), F.lit(', "x": NaN}'), F.lit("} x"),
+                      F.lit(', "metadata": {"y": 1, "y": Infinity}}')),
     )
     raw = events(spark, sf).select(record.alias("raw"))
     return key_inventory(raw, "raw", "$", "$.metadata")
@@ -283,32 +296,32 @@ def _raw_records(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(', "metadata": {"access_right": "'),
         F.when(F.col("o_orderstatus") == "F", F.lit("open")).otherwise(F.lit("restricted")), F.lit('"'),
         F.when(k % 3 != 0, F.lit(', "license": {"id": "cc"}')).otherwise(F.lit("")),
-        F.lit("}}"),
+        F.lit("}"), F.when(k % 7 == 0, F.lit(', "stats": NaN')).otherwise(F.lit("")), F.lit("}"),
     )
-    return parse_jsonl(orders(spark, sf).select(value.alias("value")))
+    return parse_jsonl(orders(spark, sf).select(value.alias("value")), record_col="record")
 
 
-def _field(path: str) -> Column:
-    return F.get_json_object("value", path)
+def _field(*path: str) -> Column:
+    return fn.field_of(F.col("record"), *path)
 
 
 def raw_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Total, ranges of both timestamps, and shares with files and with a license, from stored lines."""
     rows = _raw_records(spark, sf).select(
-        *(fn.parse_iso_ts(_field(f"$.{c}")).cast("timestamp_ntz").alias(c) for c in ("created", "updated")),
-        F.isnotnull(_field("$.files[0]")).alias("files"),
-        F.isnotnull(_field("$.metadata.license")).alias("license"),
+        *(fn.parse_iso_ts(_field(c)).cast("timestamp_ntz").alias(c) for c in ("created", "updated")),
+        (fn.array_length(_field("files")) > 0).alias("files"),
+        F.isnotnull(_field("metadata", "license")).alias("license"),
     )
     return harvest_profile(rows, "created", "updated", {"files": F.col("files"), "license": F.col("license")})
 
 
 def raw_access_rights(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _raw_records(spark, sf).select(_field("$.metadata.access_right").alias("access_right"))
+    rows = _raw_records(spark, sf).select(_field("metadata", "access_right").alias("access_right"))
     return distribution(rows, "access_right")
 
 
 def raw_key_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    return key_inventory(_raw_records(spark, sf), "value", "$", "$.metadata")
+    return key_inventory(_raw_records(spark, sf), "record", "$", "$.metadata")
 
 
 def select_literal(spark: SparkSession, sf: str) -> DataFrame:
@@ -466,19 +479,25 @@ def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """Which row of an id stays is open in a stream, so only ids are shown."""
-    ident = F.when(F.col("event_id") % 11 != 0, F.concat_ws(":", "user_id", "props"))
-    ids = _stream(spark, sf, "events").select(ident.alias("id"))
+    """The first row of every id, whole, of events that come in three batches, and all rows without one."""
     folder = shared_folder(spark)
+    rows = _with_id(spark, sf)
+    turns = [F.lit(f"2024-01-{day}").cast("timestamp_ntz") for day in ("01", "11", "21")]
+    for i, turn in enumerate(turns):
+        part = F.col("ts") >= turn if i else F.lit(True)
+        part = part & (F.col("ts") < turns[i + 1]) if i < 2 else part
+        rows.where(part).coalesce(1).write.parquet(f"{folder}/in/{i}")
+        time.sleep(0.05)
+    stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     query = (
-        dedupe_stream(ids, "id")
+        dedupe_stream(stream, "id", ["ts", "event_id"])
         .writeStream.format("parquet")
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start(f"{folder}/out")
     )
     query.awaitTermination()
-    return spark.read.schema("id string").parquet(f"{folder}/out")
+    return spark.read.schema(rows.schema).parquet(f"{folder}/out")
 
 
 def stream_tumbling_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -600,15 +619,21 @@ def _case(number: str, *choices: str) -> str:
 _LINES = "string_split(text, chr(10))"
 
 # The same lines, each with the id that it has; null for lines that are no records.
+_BEHIND = "event_id % 41 = 0 OR event_id % 43 = 0 OR event_id % 47 = 0 OR event_id % 53 = 0"
 _JSON_LINES = f"""
 SELECT event_id, value, id, k, event_id % 5 = 0 AND id IS NULL AND trim(value, ' ' || chr(9)) = '' AS blank,
-       value LIKE '%}}' AS valid
+       rtrim(value) LIKE '%}}' AND NOT behind AS valid
 FROM (
 SELECT event_id,
        CASE WHEN event_id % 23 = 0 THEN '{{"id": 1.0, "p": ' || props || '}}'
             WHEN event_id % 29 = 0 THEN '{{"id": 1, "p": ' || props || ', "x": NaN}}'
             WHEN event_id % 31 = 0 THEN '{{"id": "old", "id": "e' || event_id || '"}}'
             WHEN event_id % 37 = 0 THEN '{{"id": {LONG_ID}' || (event_id % 2) || '}}'
+            WHEN event_id % 41 = 0 THEN '{{"id": ' || event_id || '}}{{"id": 2}}'
+            WHEN event_id % 43 = 0 THEN '{{"id": ' || event_id || '}} trailing'
+            WHEN event_id % 47 = 0 THEN '{{"id": ' || event_id || '}}], [{{"id": 2}}'
+            WHEN event_id % 53 = 0 THEN '{{"id": ' || event_id || '}}, {{"id": 2}}'
+            WHEN event_id % 59 = 0 THEN chr(160) || '{{"id": NaN, "p": ' || props || '}} '
             WHEN event_id % 7 = 0 THEN '{{"id": ' || event_id
             WHEN event_id % 5 = 0 THEN ' ' || chr(9) || ' '
             WHEN event_id % 4 = 0 THEN '{{"id": "e' || event_id || '", "p": ' || props || '}}'
@@ -618,10 +643,13 @@ SELECT event_id,
             WHEN event_id % 29 = 0 THEN '1'
             WHEN event_id % 31 = 0 THEN 'e' || event_id
             WHEN event_id % 37 = 0 THEN '{LONG_ID}' || (event_id % 2)
+            WHEN {_BEHIND} THEN NULL
+            WHEN event_id % 59 = 0 THEN 'NaN'
             WHEN event_id % 7 = 0 OR event_id % 5 = 0 THEN NULL
             WHEN event_id % 4 = 0 THEN 'e' || event_id
             WHEN event_id % 3 = 0 THEN NULL
             ELSE CAST(user_id AS VARCHAR) END AS id,
+       event_id % 23 > 0 AND event_id % 29 > 0 AND event_id % 31 > 0 AND event_id % 37 > 0 AND ({_BEHIND}) AS behind,
        CASE WHEN event_id % 23 = 0 THEN CAST(props ->> '$.k' AS BIGINT)
             WHEN event_id % 29 = 0 OR event_id % 31 = 0 OR event_id % 37 = 0 THEN NULL
             ELSE CAST(props ->> '$.k' AS BIGINT) END AS k
@@ -767,21 +795,26 @@ SELECT CASE WHEN o_orderstatus = 'F' THEN 'open' ELSE 'restricted' END AS access
 FROM orders GROUP BY ALL""",
     "raw_key_inventory": """
 SELECT '$' AS path, key, count(*) AS n
-FROM (SELECT unnest(['id', 'created', 'updated', 'files', 'metadata']) AS key FROM orders) GROUP BY key
+FROM (SELECT unnest(['id', 'created', 'updated', 'files', 'metadata', CASE WHEN o_orderkey % 7 = 0 THEN 'stats' END]) AS key FROM orders)
+WHERE key IS NOT NULL GROUP BY key
 UNION ALL
 SELECT '$.metadata', key, count(*) AS n
 FROM (SELECT unnest(CASE WHEN o_orderkey % 3 <> 0 THEN ['access_right', 'license'] ELSE ['access_right'] END) AS key
       FROM orders) GROUP BY key""",
     "page_total": """
-SELECT event_id, CASE WHEN event_id % 6 < 3 THEN user_id ELSE 0 END AS total FROM events""",
+SELECT event_id, CASE WHEN event_id % 10 IN (0, 1, 2, 6, 9) THEN user_id ELSE 0 END AS total FROM events""",
     "api_page_records": """
 SELECT event_id, unnest([CAST(user_id AS VARCHAR), 'e' || event_id, NULL]) AS id
-FROM events WHERE event_id % 6 < 2""",
+FROM events WHERE event_id % 10 IN (0, 1, 6)
+UNION ALL
+SELECT event_id, unnest([CAST(user_id AS VARCHAR), 'n']) FROM events WHERE event_id % 10 = 7""",
     "key_inventory": """
 SELECT '$' AS path, key, count(*) AS n
-FROM (SELECT unnest(['id', event_type, 'metadata']) AS key FROM events) GROUP BY key
+FROM (SELECT unnest(['id', event_type, 'metadata', CASE WHEN event_id % 5 = 2 THEN 'x' END]) AS key FROM events WHERE event_id % 5 <> 3)
+WHERE key IS NOT NULL GROUP BY key
 UNION ALL
-SELECT '$.metadata', key, count(*) FROM (SELECT unnest(json_keys(props)) AS key FROM events) GROUP BY key""",
+SELECT '$.metadata', key, count(*)
+FROM (SELECT unnest(CASE WHEN event_id % 5 = 4 THEN ['y'] ELSE json_keys(props) END) AS key FROM events WHERE event_id % 5 <> 3) GROUP BY key""",
     "select_literal": """
 SELECT url AS path, regexp_extract(url, '([^/]*)$', 1) AS file_name
 FROM pages WHERE contains(html, '<html lang="fr">')""",
@@ -843,7 +876,7 @@ SELECT o_orderkey, o_orderdate, field, p AS position, (p + 24) // 25 AS page FRO
   UNION ALL
   SELECT o_orderkey, o_orderdate, 'bestmatch', row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) FROM orders)""",
     "stream_dedupe": f"""
-SELECT id FROM ({_WITH_ID})
+SELECT * FROM ({_WITH_ID})
 QUALIFY id IS NULL OR row_number() OVER (PARTITION BY id ORDER BY ts, event_id) = 1""",
     "stream_tumbling_counts": """
 SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
