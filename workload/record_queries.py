@@ -664,38 +664,32 @@ _NEAR_HOURS = """
 SELECT event_id, make_timestamp(epoch_us(date_trunc('hour', ts)) + 3600000000 - event_id % 2000 - 1) AS ts
 FROM events"""
 
-def _plan_sql(source: str, cap: int, factor: int = 1, lost_us: int = 0) -> str:
+def _plan_sql(source: str, cap: int, doublings: int = 0, lost_us: int = 0) -> str:
     """Windows as children of pieces over the cap, level by level down to one second.
 
     The span is a power of two of seconds from the first day on, so every piece halves evenly.
     """
     return f"""
-WITH src AS MATERIALIZED (SELECT ts FROM ({source})
+WITH src AS MATERIALIZED (SELECT epoch_us(ts) AS us FROM ({source})
 ), tree AS MATERIALIZED (
-  SELECT t0, {factor} * (1 << doublings) * 1000000 AS span, doublings + CAST(log2({factor}) AS BIGINT) AS depth
-  FROM (SELECT date_trunc('day', min(ts)) AS t0,
-               CAST(ceil(log2((epoch_us(max(ts)) - epoch_us(date_trunc('day', min(ts)))) // 1000000 + 1)) AS BIGINT) AS doublings
-        FROM src)
-), e AS MATERIALIZED (SELECT epoch_us(ts) - epoch_us(t0) AS us FROM src, tree
-), levels AS (SELECT unnest(range(0, depth + 1)) AS level FROM tree
-), placed AS (
-  SELECT level, CAST(CAST(us AS HUGEINT) * (1 << level) // span AS BIGINT) AS node, us, span FROM e, levels, tree
+  SELECT t0, {doublings} + CAST(ceil(log2((last_us - t0) // 1000000 + 1)) AS BIGINT) AS depth
+  FROM (SELECT min(us) // 86400000000 * 86400000000 AS t0, max(us) AS last_us FROM src)
+), levels AS MATERIALIZED (
+  SELECT level, (1::BIGINT << (depth - level)) * 1000000 AS width, t0, level = depth AS is_last
+  FROM (SELECT t0, depth, unnest(range(0, depth + 1)) AS level FROM tree)
 ), counted AS MATERIALIZED (
-  SELECT level, node,
-         count(*) FILTER (WHERE {lost_us} = 0 OR us <= CAST(node + 1 AS HUGEINT) * span // (1 << level) - {lost_us}) AS n
-  FROM placed GROUP BY level, node
+  SELECT level, (us - t0) // width AS node, count(*) FILTER (WHERE {lost_us} = 0 OR (us - t0) % width <= width - {lost_us}) AS n
+  FROM levels JOIN src ON us >= t0 GROUP BY ALL
 ), pieces AS (
-  SELECT 0 AS level, 0 AS node
+  SELECT 0::BIGINT AS level, 0::BIGINT AS node
   UNION ALL
-  SELECT level + 1, 2 * node + side FROM counted, tree, (SELECT unnest([0, 1]) AS side)
-  WHERE n > {cap} AND level < depth
+  SELECT c.level + 1, 2 * c.node + side FROM counted c JOIN levels l ON l.level = c.level, unnest([0, 1]) AS sides(side)
+  WHERE n > {cap} AND NOT is_last
 ), plan AS (
-  SELECT p.level, p.node,
-         make_timestamp(CAST(epoch_us(t0) + CAST(p.node AS HUGEINT) * span // (1 << p.level) AS BIGINT)) AS window_start,
-         make_timestamp(CAST(epoch_us(t0) + CAST(p.node + 1 AS HUGEINT) * span // (1 << p.level) AS BIGINT)) AS window_end,
+  SELECT p.level, p.node, make_timestamp(t0 + p.node * width) AS window_start, make_timestamp(t0 + (p.node + 1) * width) AS window_end,
          coalesce(c.n, 0) AS est_total, coalesce(c.n, 0) > {cap} AS over_cap
-  FROM pieces p CROSS JOIN tree LEFT JOIN counted c ON p.level = c.level AND p.node = c.node
-  WHERE coalesce(c.n, 0) <= {cap} OR p.level = depth
+  FROM pieces p JOIN levels l ON l.level = p.level LEFT JOIN counted c ON p.level = c.level AND p.node = c.node
+  WHERE coalesce(c.n, 0) <= {cap} OR is_last
 )"""
 
 
@@ -849,8 +843,8 @@ SELECT * FROM r WHERE ts >= TIMESTAMP '2024-01-15'
   AND (id IS NULL OR NOT EXISTS (SELECT 1 FROM known WHERE known.id = r.id))
 QUALIFY id IS NULL OR row_number() OVER (PARTITION BY id ORDER BY ts, event_id) = 1""",
     "window_plan": _MONTH_PLAN + " SELECT * FROM plan",
-    "window_plan_sparse": _plan_sql("SELECT ts FROM events", CAP, 4) + " SELECT * FROM plan",
-    "window_plan_ms": _plan_sql(_NEAR_HOURS, CAP, 1, 1000) + " SELECT * FROM plan",
+    "window_plan_sparse": _plan_sql("SELECT ts FROM events", CAP, 2) + " SELECT * FROM plan",
+    "window_plan_ms": _plan_sql(_NEAR_HOURS, CAP, 0, 1000) + " SELECT * FROM plan",
     "window_plan_dense": _plan_sql("SELECT date_trunc('hour', ts) AS ts FROM events", DENSE_CAP)
     + " SELECT * FROM plan",
     "window_assign": _MONTH_PLAN + f" SELECT event_id, window_start, window_end FROM {_PLAN_JOIN}",
