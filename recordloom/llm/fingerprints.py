@@ -4,19 +4,18 @@ Whether a hash is kept depends on it alone, so fingerprints of texts of any size
 merged, and what two have in common estimates what the texts have in common even if one is
 a thousand times longer. Built-in functions only.
 
-Where fewer than ``LEAST`` lie below it, the ``LEAST`` smallest hashes are kept instead, all
-of them if there are no more: fingerprints of short texts are whole. Each fingerprint so
-holds every hash up to a bound of its own, and two are compared and merged up to the lower
-one. A short text against one with many hashes is still judged by its few below the fraction.
+The error of such an estimate falls with the number of hashes kept: about one in eight shingles.
+A text of a few words may have none; nothing can be said of it then.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FRACTION = 1 / 16
-LEAST = 64
+FRACTION = 1 / 8
 WIDTH = 5
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -28,57 +27,36 @@ def with_fingerprint(
 
     Shingles are runs of ``width`` words in lower case, cut at ASCII white space; fewer words
     are one shingle. Texts without words, and null, have an empty fingerprint. A text is
-    hashed whole, whatever its length.
+    hashed whole, whatever its length. Other columns stay as they are, whatever their names.
     """
+    hashes = f"words_{uuid.uuid4().hex}"
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _SPACE), lambda w: w != "")
-    count = F.size("_words")
+    count = F.size(hashes)
     runs = F.transform(
-        F.slice("_words", F.lit(1), F.greatest(count - (width - 1), F.lit(0))),
-        lambda w, i: F.xxhash64(w, *(F.get("_words", i + k) for k in range(1, width))))
-    shingles = F.when(count >= width, runs).when(count > 0, F.array(F.xxhash64(F.array_join("_words", " ")))).otherwise(
+        F.slice(hashes, F.lit(1), F.greatest(count - (width - 1), F.lit(0))),
+        lambda w, i: F.xxhash64(w, *(F.get(hashes, i + k) for k in range(1, width))))
+    shingles = F.when(count >= width, runs).when(count > 0, F.array(F.xxhash64(F.array_join(hashes, " ")))).otherwise(
         F.array().cast("array<long>"))
-    limit = _limit(fraction)
+    limit = int(-(2**63) + 2**64 * fraction) if fraction < 1 else 2**63 - 1
     # Hashes of words first, so that a run of words is a hash of a few numbers.
-    hashed = rows.withColumn("_words", F.transform(words, lambda w: F.xxhash64(w))).withColumn("_shingles", shingles)
-    kept = hashed.withColumn("_kept", F.array_sort(F.array_distinct(F.filter("_shingles", lambda s: s <= limit))))
-    smallest = F.slice(F.array_sort(F.array_distinct("_shingles")), 1, LEAST)
-    return kept.withColumn(name, F.when(F.size("_kept") >= LEAST, F.col("_kept")).otherwise(smallest)).drop("_words", "_shingles", "_kept")
-
-
-def _limit(fraction: float) -> int:
-    return int(-(2**63) + 2**64 * fraction) if fraction < 1 else 2**63 - 1
-
+    hashed = rows.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(w)))
+    return hashed.withColumn(name, F.array_sort(F.array_distinct(F.filter(shingles, lambda s: s <= limit)))).drop(hashes)
 
-def _comparable(first: Column, second: Column, fraction: float) -> tuple[Column, Column]:
-    """Both up to the bound below which neither lacks a hash."""
-    limit = F.lit(_limit(fraction))
-    bound = lambda p: F.when(F.size(p) < LEAST, F.lit(2**63 - 1)).otherwise(F.greatest(F.array_max(p), limit))
-    upto = lambda p, other: F.when(
-        (F.size(other) < LEAST) | (F.size(p) == 0) | (F.array_max(p) <= limit), p).otherwise(F.filter(p, lambda h: h <= bound(other)))
-    return upto(first, second), upto(second, first)
 
-
-def merged(first: Column, second: Column, fraction: float = FRACTION) -> Column:
+def merged(first: Column, second: Column) -> Column:
     """The fingerprint of two texts taken together (but for shingles across their border)."""
-    both = F.array_sort(F.array_union(*_comparable(first, second, fraction)))
-    return F.filter(both, lambda h, i: (h <= _limit(fraction)) | (i < LEAST))
-
+    return F.array_sort(F.array_union(first, second))
 
-def containment(first: Column, second: Column, fraction: float = FRACTION) -> Column:
-    """Estimated part of the first text's shingles that the second has; of no shingles, 1; of none to compare, 0."""
-    one, other = _comparable(first, second, fraction)
-    part = F.coalesce(F.size(F.array_intersect(one, other)) / F.nullif(F.size(one), F.lit(0)), F.lit(0.0))
-    return F.when(F.size(first) == 0, F.lit(1.0)).otherwise(part)
 
+def containment(first: Column, second: Column) -> Column:
+    """Estimated part of the first text's shingles that the second has; 0 if the first has no hash."""
+    return F.coalesce(F.size(F.array_intersect(first, second)) / F.nullif(F.size(first), F.lit(0)), F.lit(0.0))
 
-def likeness(first: Column, second: Column, fraction: float = FRACTION) -> Column:
-    """Containment of the smaller fingerprint in the larger, 0 to 1; two empty ones are alike, one is not like another.
 
-    0 as well where one has no hash to compare.
-    """
-    one, other = _comparable(first, second, fraction)
-    part = F.size(F.array_intersect(one, other)) / F.nullif(F.least(F.size(one), F.size(other)), F.lit(0))
-    return F.when((F.size(first) == 0) & (F.size(second) == 0), F.lit(1.0)).otherwise(F.coalesce(part, F.lit(0.0)))
+def likeness(first: Column, second: Column) -> Column:
+    """Containment of the smaller fingerprint in the larger, 0 to 1; 0 where one has no hash."""
+    least = F.nullif(F.least(F.size(first), F.size(second)), F.lit(0))
+    return F.coalesce(F.size(F.array_intersect(first, second)) / least, F.lit(0.0))
 
 
 def as_string(fingerprint: Column) -> Column:

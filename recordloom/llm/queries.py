@@ -104,28 +104,29 @@ def _next_in_order(docs: DataFrame) -> DataFrame:
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how like they are.
 
-    Rows equal in id and text are one document in the order, and each gets its result.
+    Rows equal in id and text are one document in the order, and each gets its result. A text is
+    like an equal one, even if it is too short to have a hash.
     """
     docs = _documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
     order = work_table(_next_in_order(docs))
     same = lambda a, b, c, d: F.col(a).eqNullSafe(F.col(b)) & (F.col(c) == F.col(d))
     wanted = order.select(F.col("doc_id").alias("for_id"), F.col("hash").alias("for_hash"), (F.floor(F.col("n_chars") / 3)).cast("int").alias("take"),
                           "next_id", "next_hash")
-    # Only as much of a text as the document before it needs moves to that document.
-    heads = docs.join(wanted, same("doc_id", "next_id", "hash", "next_hash")).select(
-        "for_id", "for_hash", "next_id", "next_hash", "take", F.expr("substring(text, 1, take)").alias("head"))
-    heads = heads.groupBy("for_id", "for_hash").agg(*(F.any_value(c).alias(c) for c in ("next_id", "next_hash", "take", "head")))
-    both = docs.join(heads, same("doc_id", "for_id", "hash", "for_hash")).withColumn(
+    # Own fingerprints are made before texts move. Both joins below take the same exchange of texts.
+    marked = with_fingerprint(docs, "print", F.col("text"))
+    # Only as much of a text as the document before it needs moves to that document, with the text's fingerprint.
+    heads = marked.join(wanted, same("doc_id", "next_id", "hash", "next_hash")).select(
+        "for_id", "for_hash", "next_hash", F.expr("substring(text, 1, take)").alias("head"), "take", F.col("print").alias("next_print"))
+    heads = heads.groupBy("for_id", "for_hash").agg(*(F.any_value(c).alias(c) for c in ("next_hash", "head", "take", "next_print")))
+    both = marked.join(heads, same("doc_id", "for_id", "hash", "for_hash")).withColumn(
         "edited", F.concat(F.expr("substring(text, 1, length(text) - take)"), "head"))
-    marked = with_fingerprint(with_fingerprint(both, "print", F.col("text")), "edited_print", F.col("edited"))
-    prints = work_table(marked.select(
-        "doc_id", "hash", "next_id", "next_hash", F.length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "print", "edited_print"))
-    following = prints.groupBy(F.col("doc_id").alias("that_id"), F.col("hash").alias("that_hash")).agg(F.any_value("print").alias("that_print"))
-    compared = prints.join(following, same("next_id", "that_id", "next_hash", "that_hash"))
+    compared = with_fingerprint(both, "edited_print", F.col("edited"))
+    alike = lambda equal, other: F.when(equal, 1.0).otherwise(likeness(F.col("print"), F.col(other)))
     return compared.select(
-        "doc_id", "n_chars", "edited_sha256", as_string(F.col("print")).alias("fingerprint"), as_string(F.col("edited_print")).alias("edited_fingerprint"),
-        likeness(F.col("print"), F.col("edited_print")).alias("near_edited"), likeness(F.col("print"), F.col("that_print")).alias("near_next"))
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        as_string(F.col("print")).alias("fingerprint"), as_string(F.col("edited_print")).alias("edited_fingerprint"),
+        alike(F.col("text") == F.col("edited"), "edited_print").alias("near_edited"),
+        alike(F.col("hash") == F.col("next_hash"), "next_print").alias("near_next"))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
