@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ from .work import kept_by_worker
 WINDOW = 2048
 END_ID = 1
 BLOCK_TOKENS = 8_000_000  # 32 MB of ids held by a task
-_TOGETHER = 64  # documents whose new words are tokenized in one call
+_PIECE_COST = 24  # what a piece takes beside its ids, in ids
+_TEXT_BYTES = 4 << 20  # of documents whose words are looked up together
 
 _PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -82,58 +84,60 @@ def best_fit_decreasing(lengths: list[int], window: int) -> tuple[list[int], lis
 
 
 class WordIds:
-    """Ids, as little-endian 32-bit bytes, of each piece of text between ASCII white space.
+    """Ids of texts, put together from those of their pieces between ASCII white space.
 
     The tokenizer drops white space and its pieces never reach across it, so a text's ids are
-    those of its words one after the other. A word is tokenized when first met, with all other
-    new words of some documents in one call; a full stop or comma after a Latin letter is a
-    piece of its own and taken off first.
+    those of its words one after the other. Words are numbered by Arrow, and only those not
+    met before go to the tokenizer, all of some documents in one call. What is known of them are
+    flat arrays, some 30 bytes a word.
     """
 
-    MOST = 400_000  # memory only: so many words, and the generation before them, are remembered
+    MOST = 1_000_000  # memory only: beyond so many words all are forgotten and met anew
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _learn(self, words: set[bytes]) -> None:
-        known, old, new, made = self.known, self.old, {b".", b","}, []
-        for word in words:
-            if word in old:
-                known[word] = old[word]
-                continue
-            base, tail = word, b""
-            if word[-1:] in (b".", b",") and len(word) > 1:
-                head = word[:-1].decode("utf-8")
-                if head[-1] < "ɐ" and head[-1].isalpha():
-                    base, tail = word[:-1], word[-1:]
-            if base.isalpha() and not base.islower():  # ASCII letters alone
-                base = base.lower()
-            made.append((word, base, tail))
-            new.add(base)
-        fresh = [word for word in new if word not in known]
-        found = self.tokenizer.encode([w.decode("utf-8") for w in fresh], is_pretokenized=True, add_special_tokens=False)
-        ids, ends = np.array(found.ids, "<u4"), np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(fresh) + 1))
-        for k, word in enumerate(fresh):
-            known[word] = ids[ends[k] : ends[k + 1]].tobytes()
-        for word, base, tail in made:
-            known[word] = known[base] + known[tail] if tail else known[base]
-
-    def documents(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of whole texts, each with the end id."""
-        words = [t.encode("utf-8").split() if t else [] for t in texts]
-        new = set().union(*words).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > self.MOST:
-                self.known, self.old = {}, self.known
-                new = set().union(*words)
+        self.end_id = end_id
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.ids = np.empty(0, np.uint32)
+        self.ends = np.zeros(1, np.int64)  # where the ids of each word begin, and the last end
+
+    def _learn(self, words: pa.Array) -> None:
+        """Adds words, all of them new."""
+        found = self.tokenizer.encode(words.to_pylist(), is_pretokenized=True, add_special_tokens=False)
+        ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(1, len(words) + 1))
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = np.concatenate([self.ids, np.array(found.ids, np.uint32)])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """Where each of these distinct words stands among the known ones."""
+        at = pc.index_in(words, value_set=self.words)
+        if at.null_count:
+            new = words.filter(at.is_null())
+            if len(self.words) + len(new) > self.MOST and len(self.words):
+                self._forget()
+                return self._numbers(words)
+            at = at.fill_null(-1).to_numpy().copy()
+            at[at < 0] = len(self.words) + np.arange(len(new))
             self._learn(new)
-        ids = self.known.__getitem__
-        return [b"".join([*map(ids, found), self.end]) for found in words]
+            return at
+        return at.to_numpy()
+
+    def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of whole texts, each with the end id, one after the other, and where each text ends."""
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = lists.flatten().dictionary_encode()
+        number = self._numbers(words.dictionary)[words.indices.to_numpy()]
+        size = self.ends[number + 1] - self.ends[number]
+        upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+        ids = self.ids[np.repeat(self.ends[number] - upto[:-1], size) + np.arange(upto[-1])]
+        of_text = upto[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
+        return np.insert(ids, of_text, self.end_id), of_text + np.arange(1, len(texts) + 1)
 
 
 def word_ids(path: str, end_id: int) -> WordIds:
@@ -141,49 +145,71 @@ def word_ids(path: str, end_id: int) -> WordIds:
     return kept_by_worker(f"ids {path} {end_id}", lambda: WordIds(path, end_id))
 
 
-def _packer(path: str, window: int, end_id: int, block_tokens: int):
-    def packed(block: list[tuple], first: int) -> pa.RecordBatch:
-        """Rows of a block, the pieces' order kept; windows are numbered from ``first`` on."""
-        full = window * 4
-        short = [k for k, piece in enumerate(block) if len(piece[2]) < full]
-        places, offsets, used = best_fit_decreasing([len(block[k][2]) // 4 for k in short], window)
-        sequence, offset = np.zeros(len(block), np.int64), np.zeros(len(block), np.int64)
+class _Block:
+    """Pieces that wait to be packed together."""
+
+    def __init__(self) -> None:
+        self.docs: list[pa.Array] = []
+        self.columns: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # start, length, doc_tokens
+        self.ids: list[np.ndarray] = []
+        self.cost = 0
+
+    def packed(self, window: int, first: int) -> tuple[pa.RecordBatch, int]:
+        """Rows of the block, the pieces' order kept, and how many windows they take; these are numbered from ``first`` on."""
+        start, length, total = (np.concatenate(c) for c in zip(*self.columns, strict=True))
+        short = np.flatnonzero(length < window)
+        places, offsets, used = best_fit_decreasing(length[short].tolist(), window)
+        sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
         sequence[short], offset[short] = places, offsets
-        whole = np.setdiff1d(np.arange(len(block)), short)
+        whole = np.flatnonzero(length == window)
         sequence[whole] = used + np.arange(len(whole))
-        columns = list(zip(*block, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()),
-             pa.array(columns[3], pa.int64()), pa.array(sequence + first), pa.array(offset)],
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)]).astype(np.int32) * 4
+        ids = np.concatenate(self.ids).astype("<u4")
+        pieces = pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+        batch = pa.RecordBatch.from_arrays(
+            [pa.concat_arrays(self.docs), pa.array(start), pieces, pa.array(total), pa.array(sequence + first), pa.array(offset)],
             names=["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"])
+        return batch, used + len(whole)
 
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with some megabytes of text each."""
+    sizes = np.cumsum(pc.binary_length(batch["text"]).fill_null(0).to_numpy().astype(np.int64) + 1)
+    cuts = np.flatnonzero(np.diff(sizes // _TEXT_BYTES)) + 1
+    for low, high in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+        yield batch.slice(low, high - low)
+
+
+def _packer(path: str, window: int, end_id: int, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = word_ids(path, end_id)
         first = TaskContext.get().partitionId() << 36
-        block: list[tuple] = []
-        held = 0
-
-        def packed_block() -> pa.RecordBatch:
-            nonlocal block, held, first
-            batch = packed(block, first)
-            first += len(block)  # as many windows at most
-            block, held = [], 0
-            return batch
-
-        for batch in batches:
-            doc_ids = batch["doc_id"].to_pylist()
-            for first_row in range(0, len(doc_ids), _TOGETHER):
-                rows = slice(first_row, first_row + _TOGETHER)
-                texts = [t.as_py() for t in batch["text"][rows]]
-                for doc_id, whole in zip(doc_ids[rows], ids.documents(texts), strict=True):
-                    total = len(whole) // 4
-                    for start in range(0, total, window):
-                        block.append((doc_id, start, whole[start * 4 : (start + window) * 4], total))
-                        held += min(window, total - start)
-                        if held >= block_tokens:
-                            yield packed_block()
-        if block:
-            yield packed_block()
+        block = _Block()
+        for rows in (part for batch in batches if batch.num_rows for part in _slices(batch)):
+            found, ends = ids.documents(rows["text"])
+            begins = np.concatenate([np.zeros(1, np.int64), ends[:-1]])
+            totals = ends - begins
+            pieces = -(-totals // window)
+            doc = np.repeat(np.arange(len(totals)), pieces)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * window
+            length = np.minimum(window, totals[doc] - start)
+            # Blocks end where the rows before them have cost enough, so memory is bounded for many short texts too.
+            cost = block.cost + np.cumsum(length + _PIECE_COST)
+            cuts = np.flatnonzero(np.diff(cost // block_tokens, prepend=block.cost // block_tokens)) + 1
+            for k, (low, high) in enumerate(zip([0, *cuts], [*cuts, len(doc)], strict=True)):
+                if high > low:
+                    block.docs.append(rows["doc_id"].take(pa.array(doc[low:high])))
+                    block.columns.append((start[low:high], length[low:high], totals[doc[low:high]]))
+                    at = begins[doc[low]] + start[low]
+                    block.ids.append(found[at : at + int(length[low:high].sum())])
+                    block.cost += int((length[low:high] + _PIECE_COST).sum())
+                if k < len(cuts):
+                    batch, windows = block.packed(window, first)
+                    yield batch
+                    first += windows
+                    block = _Block()
+        if block.columns:
+            yield block.packed(window, first)[0]
 
     return run
 
@@ -195,7 +221,7 @@ def pack_documents(
     """``doc_id, start, ids, doc_tokens, sequence_id, offset``: a row for each piece of a document.
 
     ``tokenizer`` is the path of a file for the ``tokenizers`` library whose pieces end at
-    white space, on every executor. A document's ids are followed by ``end_id``; documents
+    white space, on every executor; words go to it as they are. A block ends at ``block_tokens`` ids, where each piece counts 24 more. A document's ids are followed by ``end_id``; documents
     longer than ``window`` are cut every ``window`` ids. ``ids`` are little-endian 32-bit
     numbers; ``start`` counts the document's ids before them, ``offset`` those before them
     in the window ``sequence_id``. Windows have no gaps but at their end.

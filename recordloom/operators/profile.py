@@ -33,18 +33,29 @@ def _as_map(counts: DataFrame, key: str, name: str) -> DataFrame:
     return counts.agg(F.map_from_entries(entries).alias(name))
 
 
-def run_summary(judged: DataFrame, issues: DataFrame, top_n: int = 50) -> DataFrame:
-    """One row: documents processed and failed, issue counts, top signatures.
-
-    ``judged`` needs only ``error_code``. The maps hold severities and codes, of which
-    there is a fixed handful; the signatures are limited to ``top_n``.
-    """
-    totals = judged.agg(
+def document_totals(judged: DataFrame) -> DataFrame:
+    """One row: documents processed and failed. ``judged`` needs only ``error_code``."""
+    return judged.agg(
         F.count("*").alias("processed_files"),
         F.count_if(F.col("error_code").isNotNull()).alias("fatal_parse_errors"),
     )
-    # Counted once; the three reports below all sum up these counts.
-    counts = issues.groupBy("severity", "code", "message").agg(F.count("*").alias("n"))
+
+
+def signature_counts(issues: DataFrame) -> DataFrame:
+    """``severity, code, message, n``. Sums of such counts are the counts of all they come from, unlike lists of the most frequent."""
+    return issues.groupBy("severity", "code", "message").agg(F.count("*").alias("n"))
+
+
+def run_summary(judged: DataFrame, issues: DataFrame, top_n: int = 50) -> DataFrame:
+    """One row: documents processed and failed, issue counts, top signatures."""
+    return summarize(document_totals(judged), signature_counts(issues), top_n)
+
+
+def summarize(totals: DataFrame, counts: DataFrame, top_n: int = 50) -> DataFrame:
+    """The one row of ``totals`` with reports on the issues that ``signature_counts`` counted, in one run or several.
+
+    The maps hold severities and codes, of which there is a fixed handful; the signatures are limited to ``top_n``.
+    """
     severities = _as_map(_rolled_up(counts, "severity"), "severity", "issue_counts_by_severity")
     codes = _as_map(_rolled_up(counts, "code"), "code", "issue_counts_by_code")
     signature = F.concat(F.col("code"), F.lit(": "), F.col("message"))

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.operators import dedupe_against_existing, dedupe_first
-from recordloom.plans import read_store, run_extract, store_records
-from recordloom.sinks import register_tables, write_jsonl, write_table
-from recordloom.schemas import CHILD_TABLES, RECORD_TABLES, table_schema
+from recordloom.plans import read_store, run_extract, store_records, summary_of_runs
+from recordloom.sinks import register_tables, tables as tables_sink, write_jsonl, write_table
+from recordloom.schemas import ALL_TABLES, CHILD_TABLES, RECORD_TABLES, table_schema
 from recordloom.sources import (
     explode_api_pages,
     line_quality,
@@ -82,7 +82,7 @@ def test_small_tables_get_few_files(spark, tmp_path):
 def test_summaries_stay_after_an_append(spark, docs, tmp_path):
     for append in (False, True):
         one = run_extract(docs, str(tmp_path), append=append).first()
-        assert one.processed_files == len(golden.DOCS) and one.issues_jsonl == f"{tmp_path}/issues"
+        assert one.processed_files == len(golden.DOCS) and one.issues_jsonl.startswith(f"{tmp_path}/issues/run=")
         assert one.generated_utc.endswith("+00:00")
     assert spark.read.json(f"{tmp_path}/summary").count() == 2
 
@@ -129,15 +129,52 @@ def test_formats_agree_and_append_doubles(spark, docs, tmp_path):
     assert read_tables(spark, str(tmp_path / "parquet"))["creators"].count() == before
 
 
+@pytest.mark.parametrize("append", [False, True])
+def test_a_run_that_dies_between_two_tables_changes_nothing(spark, docs, tmp_path, monkeypatch, append):
+    out = str(tmp_path)
+    run_extract(docs.limit(9), out)
+    before = {n: sorted(map(str, t.collect())) for n, t in read_tables(spark, out, ALL_TABLES).items()}
+    real, written = tables_sink.write_table, []
+
+    def dies(df, folder, *args):
+        if "/subjects/" in folder:
+            raise OSError("the disk is full")
+        written.append(folder)
+        return real(df, folder, *args)
+
+    monkeypatch.setattr(tables_sink, "write_table", dies)
+    with pytest.raises(OSError, match="full"):
+        run_extract(docs, out, append=append)
+    assert any("/records/" in w for w in written)
+    assert {n: sorted(map(str, t.collect())) for n, t in read_tables(spark, out, ALL_TABLES).items()} == before
+    assert summary_of_runs(spark, out).first().processed_files == 9
+    monkeypatch.undo()
+    run_extract(docs, out, append=append)
+    count = len(golden.DOCS)
+    assert read_tables(spark, out)["records"].count() == count + 9 * append
+    merged = summary_of_runs(spark, out).first()
+    assert (merged.runs, merged.processed_files) == (1 + append, count + 9 * append)
+
+
+def test_a_later_run_of_a_slot_replaces_the_earlier(spark, docs, tmp_path):
+    out = str(tmp_path)
+    run_extract(docs.limit(3), out)
+    for rows in (docs.limit(5), docs.limit(2)):
+        run_extract(rows, out, append=True, slot="batch_id=0")
+    assert read_tables(spark, out)["records"].count() == 5
+    assert len(list((tmp_path / "records").glob("run=*"))) == 2
+    assert summary_of_runs(spark, out).first().runs == 2
+
+
 def test_json_keeps_nulls_dates_and_letters(spark, docs, tmp_path):
     run_extract(docs, str(tmp_path), "jsonl", max_records_per_file=3)
-    lines = [json.loads(x) for p in (tmp_path / "records").glob("part-*") for x in p.read_text("utf-8").splitlines()]
+    lines = [json.loads(x) for p in (tmp_path / "records").rglob("part-*") for x in p.read_text("utf-8").splitlines()]
     assert all(list(x) == table_schema("records").fieldNames() for x in lines)
     by_name = {x["source_file_name"]: x for x in lines}
     assert by_name["13.xml"]["issued_date"] == "2020-01-02"
-    raw = "".join(p.read_text("utf-8") for p in (tmp_path / "records").glob("part-*"))
+    raw = "".join(p.read_text("utf-8") for p in (tmp_path / "records").rglob("part-*"))
     assert "Café" in raw
-    assert all(len(p.read_text("utf-8").splitlines()) <= 3 for p in (tmp_path / "records").glob("part-*"))
+    assert all(len(p.read_text("utf-8").splitlines()) <= 3 for p in (tmp_path / "records").rglob("part-*"))
 
 
 def test_empty_table_is_readable(spark, tmp_path):

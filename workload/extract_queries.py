@@ -360,6 +360,25 @@ _LISTED = _DOCS + """, entries AS (
   SELECT '/xml/' || k || '.xml' AS path, k || '.xml' AS file_name, k % 3 = 2 AS found FROM entries
 )"""
 
+def summary_sql(signatures: str = "", top: int = 50, more: str = "") -> str:
+    """The summary row; ``signatures`` says which issues the list of signatures is about."""
+    return _ISSUES + f""", sev AS (
+  SELECT severity, count(*) AS n FROM found GROUP BY severity
+), codes AS (SELECT code, count(*) AS n FROM found GROUP BY code
+), sigs AS (
+  SELECT code || ': ' || message AS signature, count(*) AS n FROM found {signatures}
+  GROUP BY ALL ORDER BY n DESC, signature LIMIT {top}
+)
+SELECT (SELECT count(*) FROM d) AS processed_files,
+       (SELECT count(*) FROM d WHERE malformed OR no_resource) AS fatal_parse_errors,
+       (SELECT '{{' || string_agg('"' || severity || '":' || n, ',' ORDER BY severity) || '}}' FROM sev)
+         AS issue_counts_by_severity,
+       (SELECT '{{' || string_agg('"' || code || '":' || n, ',' ORDER BY code) || '}}' FROM codes)
+         AS issue_counts_by_code,
+       (SELECT string_agg(n || ' ' || signature, chr(10) ORDER BY n DESC, signature) FROM sigs)
+         AS top_issue_signatures{more}"""
+
+
 ORACLES = {
     "records": _RECORDS + " SELECT * FROM recs",
     "error_records": _RECORDS + " SELECT * FROM recs WHERE NOT parse_ok",
@@ -465,21 +484,7 @@ SELECT severity, count(*) AS n FROM found GROUP BY severity""",
     "document_issue_signatures": _ISSUES + """
 SELECT code || ': ' || message AS signature, count(*) AS n FROM found
 GROUP BY ALL ORDER BY n DESC, signature LIMIT 50""",
-    "run_summary": _ISSUES + """, sev AS (
-  SELECT severity, count(*) AS n FROM found GROUP BY severity
-), codes AS (SELECT code, count(*) AS n FROM found GROUP BY code
-), sigs AS (
-  SELECT code || ': ' || message AS signature, count(*) AS n FROM found
-  GROUP BY ALL ORDER BY n DESC, signature LIMIT 50
-)
-SELECT (SELECT count(*) FROM d) AS processed_files,
-       (SELECT count(*) FROM d WHERE malformed OR no_resource) AS fatal_parse_errors,
-       (SELECT '{' || string_agg('"' || severity || '":' || n, ',' ORDER BY severity) || '}' FROM sev)
-         AS issue_counts_by_severity,
-       (SELECT '{' || string_agg('"' || code || '":' || n, ',' ORDER BY code) || '}' FROM codes)
-         AS issue_counts_by_code,
-       (SELECT string_agg(n || ' ' || signature, chr(10) ORDER BY n DESC, signature) FROM sigs)
-         AS top_issue_signatures""",
+    "run_summary": summary_sql(),
     "sql_example": _RECORDS + """
 SELECT record_id, identifier, primary_title, publication_year, version
 FROM recs WHERE version IS NOT NULL ORDER BY record_id LIMIT 20""",
