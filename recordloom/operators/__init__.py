@@ -16,6 +16,7 @@ from recordloom.operators.shred import shred_documents
 from recordloom.operators.tables import derive_tables, judge_documents, table_from_documents
 from recordloom.operators.windows import (
     HalvingTree,
+    assign_any_windows,
     assign_windows,
     count_by_window,
     count_leaves,
@@ -27,6 +28,7 @@ __all__ = [
     "HALF_OPEN",
     "MS_INCLUSIVE",
     "HalvingTree",
+    "assign_any_windows",
     "assign_windows",
     "count_by_window",
     "count_leaves",

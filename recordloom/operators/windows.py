@@ -11,9 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recordloom.operators.filters import HALF_OPEN, MS_INCLUSIVE, check_mode, in_time_window
+from recordloom.session import materialize
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _MICROSECOND = timedelta(microseconds=1)
@@ -300,6 +301,48 @@ def assign_windows(
     return assigned
 
 
+def assign_any_windows(
+    records: DataFrame,
+    ts: str,
+    windows: DataFrame,
+    start: str = "window_start",
+    end: str = "window_end",
+    mode: str = HALF_OPEN,
+) -> DataFrame:
+    """Each record with ``start`` and ``end`` of the window that holds it, whatever its windows are.
+
+    Windows need no common tree: split again, of uneven lengths or with gaps between them,
+    they must only not overlap. Records in no window, or without a time, are left out, and
+    so are windows without bounds. Columns of the two names are replaced.
+
+    Starts and records are sorted together by ranges of time and stored; within a range the
+    last start before a record is its window's, and a range takes over the last start of
+    those before it. Records of one time may lie in several ranges, so none is a hot one.
+    """
+    check_mode(mode)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    window = F.struct(F.col(start), F.col(end), micros(end).alias("ends"))
+    kept = [c for c in records.columns if c not in (start, end)]
+    starts = windows.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(
+        micros(start).alias("at"), _long(0).alias("tie"), window.alias("window"))
+    times = records.where(F.col(ts).isNotNull()).select(
+        micros(ts).alias("at"), (F.monotonically_increasing_id() + 1).alias("tie"), F.struct("*").alias("row"))
+    both = starts.unionByName(times, allowMissingColumns=True)
+    ordered = both.repartitionByRange("at", "tie").sortWithinPartitions("at", "tie")
+    stored = materialize(ordered.withColumn("place", F.monotonically_increasing_id())).withColumn("part", F.shiftright("place", 33))
+
+    last_start = F.max_by("window", F.when(F.col("window").isNotNull(), F.col("place")))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    carried = stored.groupBy("part").agg(last_start.alias("latest")).select(
+        "part", F.last("latest", ignorenulls=True).over(before).alias("carried"))
+    upto = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = stored.withColumn("latest", F.last("window", ignorenulls=True).over(upto)).join(carried, "part")
+    found = found.withColumn("window", F.coalesce("latest", "carried"))
+    least_left = _ONE_MS_US if mode == MS_INCLUSIVE else 1
+    return found.where(F.col("row").isNotNull() & (F.col("at") <= F.col("window.ends") - least_left)).select(
+        *(F.col("row")[c].alias(c) for c in kept), F.col("window")[start].alias(start), F.col("window")[end].alias(end))
+
+
 def count_by_window(assigned: DataFrame) -> DataFrame:
     """Records per window; hot windows are summed before the shuffle."""
     return assigned.groupBy("window_start", "window_end").agg(F.count("*").alias("n"))

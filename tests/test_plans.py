@@ -10,6 +10,7 @@ from recordloom.operators import dedupe_against_existing, dedupe_first, in_time_
 from recordloom.operators.tables import derive_tables, judge_documents
 from recordloom.schemas import CHILD_TABLES
 from recordloom.session import materialize
+from recordloom.sinks.tables import register_tables
 from workload import extract_queries, record_queries
 from workload.xml_docs import build_xml
 
@@ -88,3 +89,15 @@ def test_no_query_needs_a_cross_join(spark):
         if name in STREAMS:
             continue
         assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan(query(spark, SF_DIR))), name
+
+
+def test_saved_tables_join_without_a_shuffle(spark, tmp_path):
+    left = spark.range(100).select(F.col("id").cast("string").alias("record_id"), F.lit("a").alias("a"))
+    right = spark.range(300).select((F.col("id") % 100).cast("string").alias("record_id"), F.lit("b").alias("b"))
+    spark.sql(f"CREATE DATABASE saved LOCATION '{tmp_path}/saved'")
+    register_tables({"heads": left, "lines": right}, "saved", buckets=4)
+    joined = spark.sql("SELECT /*+ MERGE(heads) */ * FROM saved.heads JOIN saved.lines USING (record_id)")
+    assert exchanges(joined) == 0
+    assert joined.count() == 300
+    register_tables({"heads": left}, "saved", buckets=4)  # replaced, not added to
+    assert spark.table("saved.heads").count() == 100

@@ -10,6 +10,7 @@ from recordloom.operators import (
     HALF_OPEN,
     MS_INCLUSIVE,
     HalvingTree,
+    assign_any_windows,
     assign_windows,
     count_by_window,
     paginate,
@@ -127,3 +128,23 @@ def test_page_count(spark):
     df = spark.createDataFrame([(0,), (1,), (25,), (26,)], "n long")
     got = df.select(page_count(F.col("n"), 25).alias("p"), page_count(F.col("n"), 25, 2).alias("q")).collect()
     assert [(r.p, r.q) for r in got] == [(1, 2), (1, 3), (1, 3), (2, 4)]
+
+
+@pytest.mark.parametrize("mode", [HALF_OPEN, MS_INCLUSIVE])
+def test_any_windows_agree_with_brute_force(spark, mode):
+    """Gaps, uneven lengths, a time that half of the records share, nulls, a clashing column, no windows."""
+    start = datetime(2024, 1, 1)
+    at = lambda us: start + timedelta(microseconds=us)
+    rng = random.Random(4)
+    cuts = sorted(rng.sample(range(0, 400_000), 60))
+    windows = [(at(s), at(e)) for s, e in zip(cuts[::2], cuts[1::2])] + [(at(500_000), at(700_000)), (at(700_000), at(700_001)), (None, at(1))]
+    times = [rng.choice([at(cuts[10]), at(rng.randrange(-10, 800_000)), at(rng.choice(cuts)), at(698_999)]) for _ in range(600)] + [None]
+    records = spark.createDataFrame([(k, t, "x") for k, t in enumerate(times)], "id long, ts timestamp_ntz, window_end string")
+    known = spark.createDataFrame(windows, "window_start timestamp_ntz, window_end timestamp_ntz")
+    slack = timedelta(milliseconds=1) if mode == MS_INCLUSIVE else timedelta(microseconds=1)
+    expected = {(k, s, e) for k, t in enumerate(times) if t for s, e in windows if s and s <= t <= e - slack}
+    found = assign_any_windows(records.repartition(5), "ts", known, mode=mode)
+    assert found.columns == ["id", "ts", "window_start", "window_end"]
+    rows = [(r.id, r.window_start, r.window_end) for r in found.collect()]
+    assert len(rows) == len(expected) > 300 and set(rows) == expected
+    assert assign_any_windows(records, "ts", known.limit(0)).count() == 0

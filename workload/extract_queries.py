@@ -6,6 +6,8 @@ in ``xml_docs`` implies for the tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.operators.issues import issues_table
@@ -114,6 +116,18 @@ def star_join(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def star_join_saved(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in SQL over saved tables of a database, bucketed by record id."""
+    _, tables = extract_tables(build_xml(spark, sf), tables=["records", "creators"])
+    database = f"extract_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{shared_folder(spark)}'")
+    register_tables(tables, database, buckets=8)
+    return spark.sql(f"""
+SELECT resource_type_general, publication_year, count(*) AS creator_rows, count(affiliation_name) AS affiliated_rows,
+       count_if(affiliation_order = 1) AS persons
+FROM {database}.records JOIN {database}.creators USING (record_id) GROUP BY ALL""")
+
+
 def select_docs(spark: SparkSession, sf: str) -> DataFrame:
     """File names of the documents that carry the literal type tag."""
     tag = '<resourceType resourceTypeGeneral="Dataset">'
@@ -174,6 +188,7 @@ QUERIES = {
     "run_summary": summary,
     "sql_example": sql_example,
     "star_join": star_join,
+    "star_join_saved": star_join_saved,
     "select_docs_containing": select_docs,
     "missing_files": missing_files,
     "missing_file_issues": missing_file_issues,
@@ -379,6 +394,14 @@ SELECT (SELECT count(*) FROM d) AS processed_files,
          AS top_issue_signatures{more}"""
 
 
+_STAR_JOIN = _CREATOR_ROWS + """
+SELECT CASE WHEN k % 2 = 0 THEN 'Dataset' ELSE 'Text' END AS resource_type_general,
+       CASE WHEN k % 7 <> 0 THEN CAST(year(order_date) AS BIGINT) END AS publication_year,
+       count(*) AS creator_rows,
+       count(affiliation_name) AS affiliated_rows,
+       count(*) FILTER (WHERE affiliation_order = 1) AS persons
+FROM ok JOIN creator_rows USING (record_id) GROUP BY ALL"""
+
 ORACLES = {
     "records": _RECORDS + " SELECT * FROM recs",
     "error_records": _RECORDS + " SELECT * FROM recs WHERE NOT parse_ok",
@@ -488,13 +511,8 @@ GROUP BY ALL ORDER BY n DESC, signature LIMIT 50""",
     "sql_example": _RECORDS + """
 SELECT record_id, identifier, primary_title, publication_year, version
 FROM recs WHERE version IS NOT NULL ORDER BY record_id LIMIT 20""",
-    "star_join": _CREATOR_ROWS + """
-SELECT CASE WHEN k % 2 = 0 THEN 'Dataset' ELSE 'Text' END AS resource_type_general,
-       CASE WHEN k % 7 <> 0 THEN CAST(year(order_date) AS BIGINT) END AS publication_year,
-       count(*) AS creator_rows,
-       count(affiliation_name) AS affiliated_rows,
-       count(*) FILTER (WHERE affiliation_order = 1) AS persons
-FROM ok JOIN creator_rows USING (record_id) GROUP BY ALL""",
+    "star_join": _STAR_JOIN,
+    "star_join_saved": _STAR_JOIN,
     "select_docs_containing": _DOCS + """
 SELECT file_name FROM d WHERE k % 2 = 0 AND k % 101 <> 0 AND k % 43 <> 10""",
     "missing_files": _LISTED + " SELECT path, file_name, found FROM listed",

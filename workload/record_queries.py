@@ -12,6 +12,7 @@ from recordloom import functions as fn
 from recordloom.operators import (
     MS_INCLUSIVE,
     HalvingTree,
+    assign_any_windows,
     assign_windows,
     count_by_window,
     count_leaves,
@@ -437,6 +438,20 @@ def window_assign(spark: SparkSession, sf: str) -> DataFrame:
     return _assigned(spark, sf).select("event_id", "window_start", "window_end")
 
 
+def window_assign_uneven(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of uneven lengths with gaps; every third day's is split again, away from its middle."""
+    rows = events(spark, sf).select("event_id", "ts")
+    days = rows.select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).distinct()
+    n = F.dayofyear("day")
+    hours = lambda h: F.make_interval(hours=h)
+    bounds = days.select(n.alias("n"), (F.col("day") + hours(n % 6)).alias("s"), (F.col("day") + hours(18 + n % 6)).alias("e"))
+    middle = F.col("s") + F.expr("interval 7 hours 1 microsecond")
+    piece = lambda s, e: F.struct(s.alias("window_start"), e.alias("window_end"))
+    s, e = F.col("s"), F.col("e")
+    windows = bounds.select(F.inline(F.when(F.col("n") % 3 == 0, F.array(piece(s, middle), piece(middle, e))).otherwise(F.array(piece(s, e)))))
+    return assign_any_windows(rows, "ts", windows).select("event_id", "window_start", "window_end")
+
+
 def window_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_by_window(_assigned(spark, sf))
 
@@ -591,6 +606,7 @@ QUERIES = {
     "window_plan_ms": window_plan_ms,
     "window_plan_dense": window_plan_dense,
     "window_assign": window_assign,
+    "window_assign_uneven": window_assign_uneven,
     "window_counts": window_counts,
     "window_split": window_split,
     "paginate": daily_pages,
@@ -848,6 +864,13 @@ QUALIFY id IS NULL OR row_number() OVER (PARTITION BY id ORDER BY ts, event_id)
     "window_plan_dense": _plan_sql("SELECT date_trunc('hour', ts) AS ts FROM events", DENSE_CAP)
     + " SELECT * FROM plan",
     "window_assign": _MONTH_PLAN + f" SELECT event_id, window_start, window_end FROM {_PLAN_JOIN}",
+    "window_assign_uneven": """
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE)::TIMESTAMP AS day, dayofyear(ts) AS n FROM events),
+  bounds AS (SELECT n, day + to_hours(n % 6) AS s, day + to_hours(18 + n % 6) AS e FROM days),
+  windows AS (
+    SELECT s AS window_start, CASE WHEN n % 3 = 0 THEN s + INTERVAL 7 HOURS + INTERVAL 1 MICROSECOND ELSE e END AS window_end FROM bounds
+    UNION ALL SELECT s + INTERVAL 7 HOURS + INTERVAL 1 MICROSECOND, e FROM bounds WHERE n % 3 = 0)
+SELECT event_id, window_start, window_end FROM events JOIN windows ON ts >= window_start AND ts < window_end""",
     "window_counts": _MONTH_PLAN + f"""
 SELECT window_start, window_end, count(*) AS n FROM {_PLAN_JOIN} GROUP BY ALL""",
     "window_split": """
