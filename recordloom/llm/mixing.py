@@ -56,15 +56,21 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, Column
     """Budget of each leaf of ``(*levels, available)``; ``budget_share`` is of all tokens."""
     capacity = leaves.withColumn("capacity", F.col("available") * max_epochs)
     total = leaves.agg(F.floor(F.coalesce(F.sum("available"), F.lit(0)) * F.lit(budget_share)).cast("long").alias("budget"))
+    nodes: list[DataFrame] = []
+    below = capacity
+    for depth in reversed(range(len(levels))):
+        summed = below.groupBy(*levels[: depth + 1]).agg(F.sum("capacity").alias("capacity"))
+        nodes.append(summed.withColumn("weight", weights[levels[depth]].cast("long")))
+        # What a node without weight holds is no capacity of those above it.
+        below = nodes[-1].where("weight > 0")
     above: DataFrame | None = None
     for depth, name in enumerate(levels):
         path = levels[: depth + 1]
-        nodes = capacity.groupBy(*path).agg(F.sum("capacity").alias("capacity")).withColumn("weight", weights[name].cast("long"))
         if above is None:
             # One row with the budget, so that the product has as many rows as there are children.
-            fed = nodes.withColumn("budget", total.scalar())
+            fed = nodes.pop().withColumn("budget", total.scalar())
         else:
-            fed = nodes.join(above, path[:-1])
+            fed = nodes.pop().join(above, path[:-1])
         above = share_budgets(fed, path[:-1], name).select(*path, "budget")
     return leaves.join(above, levels)
 
@@ -77,7 +83,7 @@ def mix_sources(
 
     ``levels`` names the tree's levels from the top and says how a row's branch is found; a
     null branch counts as the empty string. ``weights`` gives whole-number weights from the
-    level columns; zero takes nothing. ``tokens`` counts a row's tokens, by default the words
+    level columns; zero takes nothing, and what lies below counts for no node above. ``tokens`` counts a row's tokens, by default the words
     of ``text`` (null: none). The budget is ``budget_share`` of all tokens, or all that
     ``max_epochs`` epochs hold if that is less.
 

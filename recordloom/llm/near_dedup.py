@@ -156,7 +156,7 @@ def near_duplicates(
 
     A document is its set of distinct shingles of ``width`` words (A-Z in lower case, cut
     at ASCII white space; fewer words are one shingle). Two are linked if the intersection
-    is at least ``percent`` hundredths of the union; ``component_id`` is the smallest id
+    is at least ``percent`` (80 to 100, others are refused) hundredths of the union; ``component_id`` is the smallest id
     that links reach. Null and empty texts, or such of white space, have no shingles and
     are linked with nothing: their component is their own id. Rows with equal texts share
     a component even if an id is null or repeated; where no id of a component is known the
@@ -170,6 +170,8 @@ def near_duplicates(
 
 def _placed(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str, seed: int) -> DataFrame:
     """Each row's id, text hash, set size, root (null without shingles) and component's smallest id."""
+    if not 80 <= percent <= 100:
+        raise ValueError("regions are laid out for similarities from 80 to 100 percent")
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("text_hash"))
     features = work_table(slim.mapInArrow(_featurizer(width, seed), _FEATURES))

@@ -59,11 +59,11 @@ def fitting_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column,
 
 
 def general_segments(path: Column, depth: int) -> Column:
-    """Segments of a path, numbers and hexadecimal names as wildcards; those beyond ``depth`` as one ``**``."""
+    """Segments of a path, numbers and hexadecimal names as wildcards; those beyond ``depth`` are one segment together."""
     parts = F.transform(
         F.split(F.regexp_replace(path, "^/", ""), "/"),
         lambda s: F.regexp_replace(F.regexp_replace(s, r"^(?=.*[0-9])[0-9a-fA-F]{8,}(?=$|\.)", "{hex}"), "[0-9]+", "{n}"))
-    cut = F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))
+    cut = F.concat(F.slice(parts, 1, depth), F.array(F.array_join(F.slice(parts, depth + 1, F.size(parts)), "/")))
     return F.when(F.size(parts) > depth, cut).otherwise(parts)
 
 
@@ -132,7 +132,8 @@ def judge_urls(
     rejected, else ``allow``. ``bad`` labels pages; by default the rules do, those they
     block and those they allow. Null urls and urls without ``://`` have an empty host and
     path, and one template together. Repeated rows are judged each, other columns are only
-    read by ``bad``; no rows give no rows.
+    read by ``bad``; no rows give no rows. The tree has ``depth`` levels and one more, where all further
+    segments of a path, however many, are one name; paths that differ there differ in it.
     """
     host, path = host_and_path(F.col(url_col))
     parsed = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"),

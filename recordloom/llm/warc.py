@@ -152,7 +152,7 @@ def read_records(stream) -> Iterator[Record]:
             for piece in members.take(int(record.fields["content-length"])):
                 whole.update(piece)
                 block += piece
-                if split is None and (at := block.find(_END)) >= 0:
+                if split is None and (at := block.find(_END, max(0, len(block) - len(piece) - len(_END)))) >= 0:
                     split = at + len(_END)
                     body.update(block[split:])
                 elif split is not None:

@@ -4,20 +4,16 @@ from __future__ import annotations
 
 import sys
 import types
-import uuid
 from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Where a session names no shared folder (a local test): on a cluster set spark.checkpoint.dir.
-UNSET_FOLDER = "/tmp/checkpoints"
-
+from recordloom.session import shared_folder
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh path below ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or UNSET_FOLDER
-    return f"{base.rstrip('/')}/llm/{uuid.uuid4()}"
+    """A fresh path below ``spark.checkpoint.dir``; a session that names none raises, as no other folder is shared."""
+    return f"{shared_folder(spark)}/llm"
 
 
 def work_table(df: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def brute(data, share, epochs, seed):
         for parent in [p for p in budgets if len(p) == level]:
             capacity = defaultdict(int)
             for leaf, n in leaves.items():
-                if leaf[:level] == parent:
+                if leaf[:level] == parent and all(weight(below, leaf[below]) > 0 for below in range(level + 1, 3)):
                     capacity[leaf[level]] += n * epochs
             for name, b in fill(budgets[parent], [(c, weight(level, n), n) for n, c in capacity.items()]).items():
                 budgets[*parent, name] = b

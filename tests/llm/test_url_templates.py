@@ -54,6 +54,14 @@ def test_planted_tree(spark):
     assert {r.template for r in path_templates(parsed).collect()} == {"/*/q"}
 
 
+def test_paths_that_differ_far_down(spark):
+    data = [(k, f"http://h/a/b/c/d/e/f/{name}/{k}", name == "spam") for k in range(40) for name in ("spam", "good")]
+    data += [(100, "http://h/a/b/c/d/e/f/spam/900", None), (101, "http://h/a/b/c/d/e/f/good/900", None)]
+    pages = spark.createDataFrame(data, "page_id long, url string, spam boolean")
+    got = {r.page_id: r.verdict for r in judge_urls(pages, [], bad=F.col("spam"), least_purity=0.7).where("page_id >= 100").collect()}
+    assert got == {100: "block", 101: "allow"}
+
+
 def test_awkward_rows(spark):
     pages = spark.createDataFrame([(None, None), (1, "http://h/" + "x/" * 50_000), (2, "http://h/a"), (2, "http://h/a")], "page_id long, url string")
     pages = pages.withColumns({n: F.lit(n) for n in ("host", "path", "rule", "bad", "segments")})

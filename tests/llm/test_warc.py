@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import io
+import time
 
 from pyspark.sql import functions as F
 
@@ -54,3 +55,16 @@ def test_members_and_faults():
     assert [r.status for r in read_records(io.BytesIO(short + data[2]))][0] == "framing"
     assert [r.status for r in read_records(io.BytesIO(b"not gzip"))] == ["framing"]
     assert list(read_records(io.BytesIO(b""))) == []
+
+
+def test_blocks_with_and_without_an_empty_line():
+    """Searched once as they come, wherever the end of the head lies between two pieces."""
+    record = lambda block: gzip_member(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n", 1)
+    for size in range(65_480, 65_540):
+        head = b"H: " + b"x" * size + b"\r\n\r\n"
+        (got,) = read_records(io.BytesIO(record(head + b"body")))
+        assert (got.status, got.payload) == ("ok", b"body")
+    block = b"no head " * 8_000_000
+    begun = time.monotonic()
+    (got,) = read_records(io.BytesIO(record(block)))
+    assert got.status == "ok" and got.payload == block and time.monotonic() - begun < 30
