@@ -25,6 +25,9 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 URL_RULES = [Rule("block", "net"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
 
+# Words that label an url as bad where no rule does.
+URL_BAD_WORDS = ["adult", "ads", "casino", "pills", "porn", "spam", "viagra", "xxx"]
+
 # The tree that the documents are mixed by: a domain holds sources, each in several languages.
 DOMAINS = {"books": ["src10", "src11", "src12", "src13", "src14"], "forum": ["src18", "src19"], "reference": ["src15", "src16", "src17"]}
 DOMAIN_WEIGHTS = {"web": 45, "books": 25, "reference": 20, "forum": 10}
@@ -135,8 +138,8 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every page's url; the rules label what the templates are judged by."""
-    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+    """Verdict on every page's url; rules and, where none fits, words of the url label what the templates are judged by."""
+    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES, bad_words=URL_BAD_WORDS)
 
 
 def mix_documents(docs: DataFrame, budget_share: float, max_epochs: int) -> DataFrame:

@@ -58,6 +58,12 @@ def fitting_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column,
     return text, verdict
 
 
+def has_word(host: Column, path: Column, words: list[str]) -> Column:
+    """Whether one of ``words`` (a-z) is a whole word of host or path, in any case; false for empty ones."""
+    parts = F.split(F.translate(F.concat(host, F.lit("/"), path), _UPPER, _LOWER), "[^a-z]+")
+    return F.arrays_overlap(parts, F.array(*map(F.lit, words)))
+
+
 def general_segments(path: Column, depth: int) -> Column:
     """Segments of a path, numbers and hexadecimal names as wildcards; those beyond ``depth`` are one segment together."""
     parts = F.transform(
@@ -68,13 +74,14 @@ def general_segments(path: Column, depth: int) -> Column:
 
 
 def path_templates(
-    pages: DataFrame, depth: int = 5, chi_square: float = 9.21
+    pages: DataFrame, depth: int = 5, chi_square: float = 9.21, least_pages: int = 5
 ) -> DataFrame:
     """``host, segments, template, n, bad, good`` for each distinct host and list of general segments.
 
     ``pages`` has ``host``, ``segments`` and ``bad`` (true, false, or null without a label).
     ``chi_square`` is the bound of the test, by default that of one in a hundred at two
-    degrees of freedom.
+    degrees of freedom; segments of fewer than ``least_pages`` pages, for which it does not hold, are
+    merged.
     """
     counts = [F.sum(c).alias(c) for c in ("n", "bad", "good")]
     now = work_table(pages.groupBy("host", "segments").agg(
@@ -94,7 +101,7 @@ def path_templates(
             for size, hits in ((F.col("n"), seen), (rest, total - seen)):
                 expected = total * size / F.col("all_n")
                 test = test + F.coalesce(F.pow(hits - expected, 2) / F.nullif(expected, F.lit(0.0)), F.lit(0.0))
-        own = (F.col("children") == 1) | (test > chi_square)
+        own = (F.col("children") == 1) | ((test > chi_square) & (F.col("n") >= least_pages))
         names = judged.select("host", "template", "child", F.when(own, F.col("child")).otherwise("*").alias("name"))
         moved = rows.join(names, ["host", "template", "child"], "left")
         now = work_table(moved.select("host", "segments", "n", "bad", "good", F.when(
@@ -124,13 +131,15 @@ def rejected_templates(
 
 def judge_urls(
     pages: DataFrame, rules: list[Rule], bad: Column | None = None, depth: int = 5, id_col: str = "page_id", url_col: str = "url",
-    least_purity: float = 0.8, least_labelled: float = 0.5,
+    least_purity: float = 0.8, least_labelled: float = 0.5, bad_words: list[str] | None = None,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict, template, purity`` for every row of ``pages``.
 
     The longest fitting rule decides; without one, ``block`` if the page's template is
     rejected, else ``allow``. ``bad`` labels pages; by default the rules do, those they
-    block and those they allow. Null urls and urls without ``://`` have an empty host and
+    block and those they allow. With ``bad_words`` pages without such a label are bad if their host or path has one
+    of these words, and good if it has none: a template whose pages mostly have them is rejected as a whole, with
+    those of its pages that have none, and a page with such a word in a good template is allowed. Null urls and urls without ``://`` have an empty host and
     path, and one template together. Repeated rows are judged each, other columns are only
     read by ``bad``; no rows give no rows. The tree has ``depth`` levels and one more, where all further
     segments of a path, however many, are one name; paths that differ there differ in it.
@@ -142,6 +151,8 @@ def judge_urls(
     ruled = parsed.withColumn("rule", rule).withColumn("ruled", verdict)
     if bad is None:
         ruled = ruled.withColumn("bad", F.col("ruled") == "block")
+    if bad_words:
+        ruled = ruled.withColumn("bad", F.coalesce("bad", has_word(F.col("host"), F.col("path"), bad_words)))
     ruled = ruled.withColumn("segments", general_segments(F.col("path"), depth))
     paths = path_templates(ruled, depth)
     known = paths.select("host", "segments", "template").join(

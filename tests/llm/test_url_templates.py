@@ -2,10 +2,11 @@
 
 import random
 import re
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from recordloom.llm.queries import URL_RULES
+from recordloom.llm.queries import URL_BAD_WORDS, URL_RULES, op8_url_filters
 from recordloom.llm.url_templates import judge_urls, path_templates, general_segments
 
 
@@ -68,3 +69,37 @@ def test_awkward_rows(spark):
     got = judge_urls(pages, URL_RULES).collect()
     assert len(got) == 4 and {r.verdict for r in got} == {"allow"}
     assert judge_urls(pages.limit(0), URL_RULES).count() == 0
+
+
+def test_words_label_templates(spark):
+    name = lambda k: chr(97 + k // 26) + chr(97 + k % 26)
+    data = [(k, f"http://h.test/{kind}/{name(k)}{word}") for k in range(60) for kind, word in (("offers", "-pills"), ("news", ""))]
+    data += [(900, "http://h.test/offers/zz"), (901, "http://h.test/news/zz-pills"), (902, "http://h.test/news/spamming")]
+    pages = spark.createDataFrame(data, "page_id long, url string")
+    got = {r.page_id: r.verdict for r in judge_urls(pages, [], bad_words=["pills", "spam"]).where("page_id >= 900").collect()}
+    # A page in a bad template goes without a word, one in a good template stays with one.
+    assert got == {900: "block", 901: "allow", 902: "allow"}
+
+
+def test_registered_query_against_brute_force(spark):
+    got = op8_url_filters(spark, "/root/testdata/sf0.1").collect()
+    templates, hosts = defaultdict(Counter), defaultdict(Counter)
+    for r in got:
+        rule, words = plain_rule(r.host, r.path), re.split("[^a-z]+", f"{r.host}/{r.path}".lower())
+        bad = rule.verdict == "block" if rule else bool(set(words) & set(URL_BAD_WORDS))
+        templates[r.host, r.template][bad] += 1
+        hosts[r.host][bad] += 1
+    whole = (sum(h[True] for h in hosts.values()) + 1) / (len(got) + 2)
+    blocked = 0
+    for r in got:
+        base = (hosts[r.host][True] + 4 * whole) / (hosts[r.host].total() + 4)
+        own = templates[r.host, r.template]
+        purity = (own[True] + 4 * base) / (own.total() + 4)
+        assert abs(purity - r.purity) < 1e-9
+        rule = plain_rule(r.host, r.path)
+        wanted = rule.verdict if rule else "block" if own[True] and purity >= 0.8 else "allow"
+        assert r.verdict == wanted
+        blocked += not rule and wanted == "block"
+        # Nothing of a host without a listed word or rule is lost.
+        assert r.verdict == "allow" or rule or hosts[r.host][True]
+    assert blocked > 0
