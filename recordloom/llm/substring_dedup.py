@@ -98,9 +98,6 @@ class _Hasher(WordHashes):
         super().__init__()
         self.up = self.down = np.empty(0, np.uint64)
 
-    def __missing__(self, word: str) -> int:
-        return super().__missing__(word.encode("utf-8", "surrogatepass"))
-
     def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             self.up, self.down = (

@@ -16,10 +16,11 @@ class WordHashes(dict):
 
     MOST = 500_000  # memory only: beyond it the words are forgotten and hashed anew
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | str) -> int:
         if len(self) >= self.MOST:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        coded = word.encode("utf-8", "surrogatepass") if isinstance(word, str) else word
+        value = self[word] = xxhash.xxh3_64_intdigest(coded)
         return value
 
 
