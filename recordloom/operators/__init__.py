@@ -22,6 +22,8 @@ from recordloom.operators.windows import (
     count_leaves,
     plan_windows_by_count,
     split_windows,
+    store_leaves,
+    stored_leaves,
 )
 
 __all__ = [
@@ -49,6 +51,8 @@ __all__ = [
     "shred_documents",
     "sort_order",
     "split_windows",
+    "store_leaves",
+    "stored_leaves",
     "table_from_documents",
     "top_issue_signatures",
     "where_equal",

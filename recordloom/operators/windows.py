@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from recordloom.operators.filters import HALF_OPEN, MS_INCLUSIVE, check_mode, in_time_window
 from recordloom.session import materialize
@@ -170,6 +170,29 @@ def count_leaves(records: DataFrame, ts: str, tree: HalvingTree, mode: str = HAL
     return placed.groupBy("leaf").agg(F.count("*").alias("n"), tail.alias("tail"))
 
 
+def _leaves_folder(path: str, tree: HalvingTree, mode: str) -> str:
+    check_mode(mode)
+    return f"{path}/tree={tree.start_us}-{tree.span_us}-{tree.depth}-{mode}"
+
+
+def store_leaves(
+    records: DataFrame, ts: str, tree: HalvingTree, path: str, batch_id: int | str, mode: str = HALF_OPEN
+) -> None:
+    """Keep the leaf counts of one batch of records below ``path``; a batch that comes again replaces its own."""
+    counted = count_leaves(records, ts, tree, mode)
+    counted.write.mode("overwrite").parquet(f"{_leaves_folder(path, tree, mode)}/batch_id={batch_id}")
+
+
+def stored_leaves(spark: SparkSession, tree: HalvingTree, path: str, mode: str = HALF_OPEN) -> DataFrame:
+    """``leaf, n, tail`` over all batches kept for this tree and mode.
+
+    Counts add up, so a new batch is counted alone and the records of earlier ones are not read
+    again. Counts of other trees or modes below the same path stay out.
+    """
+    kept = spark.read.schema("leaf bigint, n bigint, tail bigint").parquet(_leaves_folder(path, tree, mode))
+    return kept.groupBy("leaf").agg(F.sum("n").alias("n"), F.sum("tail").alias("tail"))
+
+
 def plan_windows_by_count(
     records: DataFrame,
     ts: str,

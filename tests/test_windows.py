@@ -17,6 +17,8 @@ from recordloom.operators import (
     page_count,
     plan_windows_by_count,
     split_windows,
+    store_leaves,
+    stored_leaves,
 )
 
 MS = timedelta(milliseconds=1)
@@ -148,3 +150,19 @@ def test_any_windows_agree_with_brute_force(spark, mode):
     rows = [(r.id, r.window_start, r.window_end) for r in found.collect()]
     assert len(rows) == len(expected) > 300 and set(rows) == expected
     assert assign_any_windows(records, "ts", known.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("mode", [HALF_OPEN, MS_INCLUSIVE])
+def test_counts_of_batches_add_up(spark, tmp_path, mode):
+    start, draw = datetime(2024, 1, 1), random.Random(8)
+    tree = HalvingTree(start, start + timedelta(hours=3))
+    stamps = [start + timedelta(microseconds=draw.randrange(3 * 3600 * 10**6)) for _ in range(300)]
+    table = lambda some: spark.createDataFrame([(t,) for t in some], "ts timestamp_ntz")
+    path = str(tmp_path)
+    for batch, some in (("a", stamps[:200]), ("b", stamps[:50]), ("none", []), ("b", stamps[200:])):
+        store_leaves(table(some), "ts", tree, path, batch, mode)
+    # A tree with other leaves, below the same path.
+    store_leaves(table(stamps), "ts", HalvingTree(start, start + timedelta(hours=4)), path, "a", mode)
+    leaves = stored_leaves(spark, tree, path, mode)
+    got = plan_windows_by_count(table([]), "ts", tree, 20, mode, leaves=leaves).collect()
+    assert [(r.window_start, r.window_end, r.est_total) for r in got] == planned(spark, stamps, tree, 20, mode)

@@ -26,6 +26,8 @@ from recordloom.operators import (
     plan_windows_by_count,
     sort_order,
     split_windows,
+    store_leaves,
+    stored_leaves,
     top_issue_signatures,
     where_equal,
 )
@@ -409,6 +411,15 @@ def window_plan(spark: SparkSession, sf: str) -> DataFrame:
     return plan_windows_by_count(rows, "ts", _tree(rows), CAP)
 
 
+def window_plan_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan from counts kept for each of three batches, one of which came twice."""
+    rows, folder = events(spark, sf), shared_folder(spark)
+    tree = _tree(rows)
+    for batch in (0, 1, 2, 1):
+        store_leaves(rows.where(F.pmod("event_id", F.lit(3)) == batch), "ts", tree, folder, batch)
+    return plan_windows_by_count(rows, "ts", tree, CAP, leaves=stored_leaves(spark, tree, folder))
+
+
 def window_plan_sparse(spark: SparkSession, sf: str) -> DataFrame:
     """A span four times as long as the data, so that some windows are empty."""
     rows = events(spark, sf)
@@ -602,6 +613,7 @@ QUERIES = {
     "dedupe_first": first_per_id,
     "dedupe_against_existing": new_ids,
     "window_plan": window_plan,
+    "window_plan_batches": window_plan_batches,
     "window_plan_sparse": window_plan_sparse,
     "window_plan_ms": window_plan_ms,
     "window_plan_dense": window_plan_dense,
@@ -859,6 +871,7 @@ SELECT * FROM r WHERE ts >= TIMESTAMP '2024-01-15'
   AND (id IS NULL OR NOT EXISTS (SELECT 1 FROM known WHERE known.id = r.id))
 QUALIFY id IS NULL OR row_number() OVER (PARTITION BY id ORDER BY ts, event_id) = 1""",
     "window_plan": _MONTH_PLAN + " SELECT * FROM plan",
+    "window_plan_batches": _MONTH_PLAN + " SELECT * FROM plan",
     "window_plan_sparse": _plan_sql("SELECT ts FROM events", CAP, 2) + " SELECT * FROM plan",
     "window_plan_ms": _plan_sql(_NEAR_HOURS, CAP, 0, 1000) + " SELECT * FROM plan",
     "window_plan_dense": _plan_sql("SELECT date_trunc('hour', ts) AS ts FROM events", DENSE_CAP)
