@@ -1,15 +1,20 @@
 """Near-duplicate documents: candidates from an LSH forest, links confirmed on full shingle sets.
 
-Every document has a signature of MinHash values, cut into ``orders`` keys of ``DEPTH``
-values. Sorted by such a key, documents with a long common prefix stand together; a region
-is a run that shares the first ``BASE`` values. Two documents of similarity 0.8 share no
-region in any of 32 orders with a probability of about 3 in a million.
+Every document has a signature of MinHash values, cut into ``TREES`` keys of ``DEPTH`` values. Each
+tree is the sorted order of its keys: all trees are sorted at once by ranges of tree, key and
+node, so a run of equal keys may lie in several ranges and none is a hot one. In sorted order
+documents with a long common prefix stand together; a region is a run that shares the first
+``BASE`` values. Two documents of similarity 0.8 share no region in any of 32 trees with a
+probability of about 3 in a million.
 
 Candidates are found in two rounds, and no region is cut short:
 
-1. each member against the first of its region and against the first of the deepest run,
-   ``DEPTH`` values, that it shares. That is two pairs a row however large a region is, and
-   ties together almost all that belongs together;
+1. each row of a tree against a row before it that has the longest common prefix with it, if
+   that is ``BASE`` values or more. The depth so adapts to the region: in a dense one the
+   prefix is the whole key, in a sparse one it ends sooner. Of several rows with that prefix
+   the first of the run of equal keys next to it is taken. That is one pair a row however
+   large a region is, and ties together almost all that belongs together. The last row of a
+   range is handed on to the next;
 2. in regions that still hold several components, every member outside the region's
    largest component against all members of other components, unless sizes or sketches
    rule out the needed similarity. So a region of near copies costs next to nothing.
@@ -28,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,20 +42,22 @@ from .words import mixed, shingle_set
 from .work import work_table
 
 BASE = 5  # values that a region shares
-DEPTH = 7  # values that the deepest run shares
-ORDERS = 32
-_BITS = ORDERS * DEPTH  # of the sketch with a bit of each value
+DEPTH = 7  # values of a key
+TREES = 32
+_DIGITS = 16  # bits of each value in a key: four values in its high number, the others in its low one
+_BITS = TREES * DEPTH  # of the sketch with a bit of each value
 _RESTS = 1024  # bits of the sketch of odd rests
 _BLOCK = 512  # shingles hashed at a time, to stay in the processor's cache
 # Standard deviations by which agreeing bits may fall short of what a linked pair is expected to have.
 _SLACK = 4.5
 
-_FEATURES = "doc_id long, text_hash long, n_shingles long, digest binary, regions array<long>, runs array<long>, bits array<long>, odd array<long>"
+_MEMBERS = "node long, region long, neighbour long, part int, edge int"
+_FEATURES = "doc_id long, text_hash long, n_shingles long, digest binary, high array<long>, low array<long>, bits array<long>, odd array<long>"
 
 
 def _factors(seed: int) -> np.ndarray:
     draw = np.random.default_rng(seed)
-    return draw.integers(1, 2**63, ORDERS * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return draw.integers(1, 2**63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
@@ -62,15 +70,14 @@ def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def _keys(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the first values of every order, of all its values, and a bit of each value."""
+    """High and low numbers of the key of every tree, and a bit of each value."""
     values = mixed(values)
-    orders = values.reshape(ORDERS, DEPTH)
-    path = np.arange(1, ORDERS + 1, dtype=np.uint64)
-    for k in range(DEPTH):
-        path = mixed(path * np.uint64(0x9E3779B97F4A7C15) + orders[:, k])
-        if k == BASE - 1:
-            regions = path
-    return regions.view(np.int64), path.view(np.int64), _packed(values & np.uint64(1))
+    digits = values.reshape(TREES, DEPTH) >> np.uint64(64 - _DIGITS)
+    numbers = []
+    for part in (digits[:, :4], digits[:, 4:]):
+        places = np.uint64(64 - _DIGITS) - np.arange(part.shape[1], dtype=np.uint64) * np.uint64(_DIGITS)
+        numbers.append(np.bitwise_or.reduce(part << places, axis=1).view(np.int64))
+    return (*numbers, _packed(values & np.uint64(1)))
 
 
 def _packed(bits: np.ndarray) -> np.ndarray:
@@ -87,7 +94,7 @@ def odd_rests(shingles: np.ndarray) -> np.ndarray:
 def _featurizer(width: int, seed: int):
     factors = _factors(seed)
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
-                        *((n, pa.list_(pa.int64())) for n in ("regions", "runs", "bits", "odd"))])
+                        *((n, pa.list_(pa.int64())) for n in ("high", "low", "bits", "odd"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,6 +132,58 @@ def _set_reader(width: int):
     return run
 
 
+def _walk_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of regions, each with its neighbour before it, from rows ``tree, high, low, node`` in sorted order.
+
+    Rows alone in their region are left out, but for the first and the last of the range:
+    ``edge`` has 1 for the first and 2 for the last, 3 for an only one, and 0 otherwise.
+    """
+    part = TaskContext.get().partitionId()
+    held = None  # the last row so far, which waits for the row after it
+
+    def rows(of: dict[str, np.ndarray], kept: np.ndarray) -> pa.RecordBatch:
+        tree, high, low = (of[n].astype(np.int64)[kept].view(np.uint64) for n in ("tree", "high", "low"))
+        region = mixed(mixed(mixed(tree + np.uint64(1)) + high) + (low >> np.uint64(64 - _DIGITS)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(of["node"][kept]), pa.array(region.view(np.int64)),
+             pa.array(of["neighbour"][kept], mask=~of["shares"][kept]),
+             pa.array(np.full(kept.sum(), part, np.int32)), pa.array(of["edge"][kept])],
+            names=["node", "region", "neighbour", "part", "edge"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        of = {n: batch[n].to_numpy() for n in ("tree", "high", "low", "node")}
+        if held is not None:
+            of = {n: np.concatenate([held[n], v]) for n, v in of.items()}
+        count = len(of["node"])
+        region = (of["tree"][1:] == of["tree"][:-1]) & (of["high"][1:] == of["high"][:-1]) & (
+            (of["low"][1:] ^ of["low"][:-1]) >> (64 - _DIGITS) == 0)
+        run = region & (of["low"][1:] == of["low"][:-1])
+        start = np.maximum.accumulate(np.where(np.concatenate([[True], ~run]), np.arange(count), 0))
+        # The first of the run a row is in, and for that first itself the first of the run before.
+        head = of["node"][start]
+        if held is not None:
+            head[start == 0] = held["head"][0]
+        of["head"], of["neighbour"] = head, np.concatenate([head[:1], head[:-1]])
+        of["shares"] = np.concatenate([[False], region])
+        of["edge"] = np.zeros(count, np.int32)
+        if held is None:
+            of["edge"][0] = 1
+        else:
+            for n in ("neighbour", "shares", "edge"):
+                of[n][0] = held[n][0]
+        kept = of["shares"] | (of["edge"] > 0)
+        kept[:-1] |= region
+        held = {n: v[-1:].copy() for n, v in of.items()}
+        kept[-1] = False
+        if kept.any():
+            yield rows(of, kept)
+    if held is not None:
+        held["edge"] += 2
+        yield rows(held, np.array([True]))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes ``(a, b)`` whose full sets have at least ``percent`` of their union in common."""
     first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
@@ -178,18 +237,19 @@ def _placed(docs: DataFrame, width: int, percent: int, id_col: str, text_col: st
     nodes = work_table(
         features.where("digest is not null").groupBy("digest").agg(
             F.min("doc_id").alias("least_id"), F.any_value("n_shingles").alias("size"),
-            F.any_value("regions").alias("regions"), F.any_value("runs").alias("runs"),
+            F.any_value("high").alias("high"), F.any_value("low").alias("low"),
             F.any_value("bits").alias("bits"), F.any_value("odd").alias("odd"),
         ).withColumn("node", F.monotonically_increasing_id()))
 
-    # Rows of every order whose region holds more than one node.
-    spread = nodes.select("node", F.explode(F.arrays_zip("regions", "runs")).alias("at")).select(
-        "node", F.col("at.regions").alias("region"), F.col("at.runs").alias("run"))
-    shared = spread.groupBy("region").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
-    members = work_table(spread.join(shared.select("region", "head"), "region"))
-    heads = members.groupBy("run").agg(F.min("node").alias("run_head"))
-    near = members.join(heads, "run")
-    first = near.select("node", F.explode(F.array("head", "run_head")).alias("b")).where("node <> b")
+    # Rows of every tree whose region holds more than one node, and those at the ends of a sorted range.
+    key = ["tree", "high", "low", "node"]
+    trees = nodes.select("node", F.posexplode(F.arrays_zip("high", "low")).alias("tree", "at")).select(
+        "tree", "at.high", "at.low", "node")
+    members = work_table(trees.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(_walk_trees, _MEMBERS))
+    before = F.lag(F.struct("region", "node", "part")).over(Window.orderBy("part", "edge"))  # two rows for each range
+    borders = members.where("edge > 0").withColumn("last", before).where("last.region = region and last.part <> part")
+    first = members.where("neighbour is not null").select("node", F.col("neighbour").alias("b")).unionByName(
+        borders.select("node", F.col("last.node").alias("b"))).where("node <> b")
     pairs = work_table(first.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct())
 
     # Full sets of the nodes that have company at all, read from one of their documents.

@@ -3,10 +3,11 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.llm.near_dedup import drop_near_duplicates, near_duplicates
+from recordloom.llm.near_dedup import BASE, DEPTH, TREES, _keys, _walk_trees, drop_near_duplicates, near_duplicates
 
 
 def shingles(text, width):
@@ -85,3 +86,57 @@ def test_no_rows_and_other_columns(rows):
     out = drop_near_duplicates(df, 2)
     assert out.columns == df.columns
     assert sorted(r.doc_id for r in out.collect()) == sorted({c for *_, c in brute(corpus(3, 30), 2)})
+
+
+def test_no_link_lost_at_the_threshold(rows):
+    # Ninety distinct words, ten of them new in the copy: 80 words shared of 100, so exactly 0.8 with one-word shingles.
+    pairs = []
+    for k in range(2000):
+        words = [f"p{k}w{j}" for j in range(100)]
+        pairs += [(2 * k, " ".join(words[:90])), (2 * k + 1, " ".join(words[:80] + words[90:]))]
+    got = near_duplicates(rows(pairs), 1)
+    assert got.where("component_id <> doc_id - doc_id % 2").count() == 0
+
+
+def test_regions_that_reach_over_ranges(spark, rows):
+    names = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    before = {n: spark.conf.get(n) for n in names}
+    base = [f"b{k}" for k in range(80)]
+    pairs = [(k, " ".join([*base[: k % 4], f"new{k}", *base[k % 4 :]])) for k in range(400)] + corpus(5, 60)[1::3]
+    pairs = [(k, t) for k, (_, t) in enumerate(pairs)]
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        assert found(near_duplicates(rows(pairs), 2)) == brute(pairs, 2)
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def test_neighbours_have_the_longest_common_prefix(spark):
+    draw = random.Random(3)
+    values = [(t, *(draw.randrange(2) << 48 | draw.randrange(2) << 32 for _ in range(2)), n) for n in range(300) for t in range(2)]
+    ordered = spark.createDataFrame(values, "tree int, high long, low long, node long").coalesce(1).sortWithinPartitions(
+        "tree", "high", "low", "node")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = ordered.mapInArrow(_walk_trees, "node long, region long, neighbour long, part int, edge int").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = []
+    rank = sorted(values)
+    for k, (tree, high, low, node) in enumerate(rank):
+        near = [r for r in rank[:k] if (r[0], r[1]) == (tree, high) and r[2] >> 48 == low >> 48]
+        if near:
+            run = max(r[2] for r in near)
+            expected.append((node, next(r[3] for r in near if r[2] == run)))
+    assert [(r.node, r.neighbour) for r in got if r.neighbour is not None] == expected
+    assert [r.edge for r in got if r.edge] == [1, 2]
+
+
+def test_keys_keep_the_order_of_values():
+    values = np.random.default_rng(1).integers(0, 2**63, TREES * DEPTH, dtype=np.uint64)
+    other = values.copy()
+    other[BASE::DEPTH] += np.uint64(1)  # the first BASE values of each tree stay
+    (high, low, _), (high2, low2, _) = _keys(values), _keys(other)
+    assert (high == high2).all() and ((low ^ low2) >> 48 == 0).all() and (low != low2).any()
