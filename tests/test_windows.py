@@ -13,6 +13,7 @@ from recordloom.operators import (
     assign_any_windows,
     assign_windows,
     count_by_window,
+    count_leaves,
     paginate,
     page_count,
     plan_windows_by_count,
@@ -102,6 +103,21 @@ def test_assignment_agrees_with_the_plan(spark, mode):
         assert assigned.count() == len(stamps)
 
 
+def test_assignment_sends_no_table_to_the_driver(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    tree = HalvingTree(start, start + timedelta(seconds=2**22))
+    rows = spark.range(2000).selectExpr("id", "cast(timestamp_seconds(1704067200 + id * 1000) as timestamp_ntz) as ts")
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    count_leaves(rows, "ts", tree).write.parquet(str(tmp_path / "leaves"))
+    leaves = spark.read.parquet(str(tmp_path / "leaves"))
+    plan = plan_windows_by_count(rows, "ts", tree, 200, leaves=leaves)
+    assigned = assign_windows(rows, "ts", plan, tree, leaves=leaves)
+    # The files are small, but a leaf has a row for each level.
+    assert assigned.count() == 2000
+    assert "Broadcast" not in assigned._jdf.queryExecution().executedPlan().toString()
+
+
 def test_split_windows(spark):
     day = datetime(2024, 1, 1)
     rows = [(day, day + timedelta(days=1)), (day, day + timedelta(seconds=1)), (day, day + timedelta(microseconds=3000003))]
