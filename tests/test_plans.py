@@ -101,3 +101,14 @@ def test_saved_tables_join_without_a_shuffle(spark, tmp_path):
     assert joined.count() == 300
     register_tables({"heads": left}, "saved", buckets=4)  # replaced, not added to
     assert spark.table("saved.heads").count() == 100
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_warnings_are_made_once(spark, strict):
+    docs = build_xml(spark, SF_DIR)
+    judged = judge_documents(docs, strict, ["issues"])
+    # No counts and plain texts, which no warning needs.
+    assert not {"titles_count", "publisher"} & set(judged.columns)
+    issues = derive_tables(judged, ["issues"])["issues"]
+    made = [df._jdf.queryExecution().optimizedPlan().toString().count("Unhandled root child") for df in (judged.select("warnings"), issues)]
+    assert made[0] == made[1] > 0
