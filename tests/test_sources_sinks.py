@@ -2,7 +2,9 @@
 
 import gzip
 import json
+import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,6 +197,30 @@ def test_registered_tables_join_in_sql(spark, docs, tmp_path):
     assert set(CHILD_TABLES) < {t.name for t in spark.catalog.listTables()}
 
 
+def test_saved_tables_are_written_at_once(spark, tmp_path):
+    """Each table's task waits for that of the other, which a save of one after the other never starts."""
+
+    def rows_of(own, other):
+        def wait(batches):
+            (tmp_path / own).touch()
+            until = time.monotonic() + 15
+            while not (tmp_path / other).exists() and time.monotonic() < until:
+                time.sleep(0.05)
+            met = (tmp_path / other).exists()
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"record_id": batch["id"], "met": pa.array([met] * len(batch))})
+
+        return spark.range(0, 3, 1, 1).mapInArrow(wait, "record_id long, met boolean")
+
+    spark.sql(f"CREATE DATABASE at_once LOCATION '{tmp_path}/at_once'")
+    try:
+        register_tables({"a": rows_of("a", "b"), "b": rows_of("b", "a")}, "at_once", buckets=2)
+        for name in ("a", "b"):
+            assert sorted(map(tuple, spark.table(f"at_once.{name}").collect())) == [(i, True) for i in range(3)]
+    finally:
+        spark.sql("DROP DATABASE at_once CASCADE")
+
+
 def test_raw_sink_writes_lines_unchanged(spark, tmp_path):
     df = spark.createDataFrame([(LINES[0],), (LINES[4],)], "value string")
     write_jsonl(df, str(tmp_path / "raw"))
