@@ -11,6 +11,7 @@ from recordloom.operators.tables import derive_tables, judge_documents
 from recordloom.schemas import CHILD_TABLES
 from recordloom.session import materialize
 from recordloom.sinks.tables import register_tables
+from recordloom.sources import documents
 from workload import extract_queries, record_queries
 from workload.xml_docs import build_xml
 
@@ -112,3 +113,16 @@ def test_warnings_are_made_once(spark, strict):
     issues = derive_tables(judged, ["issues"])["issues"]
     made = [df._jdf.queryExecution().optimizedPlan().toString().count("Unhandled root child") for df in (judged.select("warnings"), issues)]
     assert made[0] == made[1] > 0
+
+
+def test_contents_of_a_long_list_are_not_sorted(spark, monkeypatch):
+    listed = spark.createDataFrame([("/a",), ("/b",), ("/a",), ("/none",), (None,)] + [("/hot",)] * 300, "path string")
+    rows = [("/a", "a", b"1"), ("/a", "a", b"2"), ("/b", "b", None), ("/hot", "hot", b"3"), ("/x", "x", b"4"), (None, "n", b"5")]
+    docs = spark.createDataFrame(rows, "path string, file_name string, content binary")
+    want = sorted(map(str, documents.attach_content(listed, docs).collect()))
+    monkeypatch.setattr(documents, "_HASHED_FROM", 10, raising=False)
+    attached = documents.attach_content(listed, docs)
+    plan = attached._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ShuffledHashJoin .* Inner", plan)
+    assert not re.search(r"SortMergeJoin .* Inner", plan)
+    assert sorted(map(str, attached.collect())) == want and len(want) == 307
