@@ -253,3 +253,28 @@ def test_store_appends_once_and_repeats_safely(spark, tmp_path):
     assert got == sorted([("a", 0), ("b", 0), (None, 0), ("c", 1), (None, 1)], key=str)
     store_records(batch("z"), root, 5, "n", append=False)
     assert [(r.id, r.batch_id) for r in read_store(spark, root).collect()] == [("z", 5)]
+
+
+def test_compressed_json_has_the_same_rows_in_less_space(spark, docs, tmp_path):
+    many = docs.crossJoin(spark.range(20)).drop("id")
+    runs = {c: str(tmp_path / c) for c in ("none", "gzip")}
+    for codec, out in runs.items():
+        run_extract(many, out, "jsonl", max_records_per_file=100, json_compression=codec)
+    for name in ALL_TABLES:
+        plain, small = (read_tables(spark, out, [name], "json")[name].drop("timestamp_utc") for out in runs.values())
+        assert sorted(map(str, plain.collect())) == sorted(map(str, small.collect())), name
+    parts = {c: list((tmp_path / c / "records").rglob("part-*")) for c in runs}
+    assert all(p.suffix == (".gz" if c == "gzip" else ".json") for c in runs for p in parts[c])
+    size = {c: sum(p.stat().st_size for p in parts[c]) for c in runs}
+    assert size["gzip"] * 4 < size["none"]
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_tables_of_large_files_are_written_without_a_shuffle(spark, docs, tmp_path, monkeypatch, large):
+    """Many rows a file are written by the tasks that read them; the rows of many small files share files."""
+    if large:
+        monkeypatch.setattr("recordloom.plans.extract._LARGE_FILE", 1)
+    run_extract(docs.repartition(4), str(tmp_path))
+    parts = list((tmp_path / "records").rglob("part-*"))
+    assert (len(parts) > 1) == large
+    assert read_tables(spark, str(tmp_path))["records"].count() == len(golden.DOCS)
