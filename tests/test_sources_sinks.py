@@ -1,6 +1,7 @@
 """JSON Lines, packed documents, table folders, runs, and SQL registration."""
 
 import gzip
+import hashlib
 import json
 import time
 
@@ -23,6 +24,7 @@ from recordloom.sources import (
 )
 from recordloom.session import shared_folder
 from tests import golden
+from workload import file_queries
 
 LINES = ['{"id": 1, "t": "é"}', "", "  ", "{broken", '{"id": "b"}', '{"x": 1}', "[1]", '{"id": null}']
 
@@ -278,3 +280,19 @@ def test_tables_of_large_files_are_written_without_a_shuffle(spark, docs, tmp_pa
     parts = list((tmp_path / "records").rglob("part-*"))
     assert (len(parts) > 1) == large
     assert read_tables(spark, str(tmp_path))["records"].count() == len(golden.DOCS)
+
+
+@pytest.mark.parametrize("n", [0, 3, 9_000_000, 30_000_000])
+def test_hashes_of_many_rows_do_not_overflow(spark, n):
+    """A row whose hash is near the top, so often that the sum leaves the longs, once and more than once around."""
+    row, (first, *others) = [], file_queries._columns("titles")
+    for k in range(1000):
+        row = [str(k), *("~" for _ in others)]
+        number = int(hashlib.md5("|".join(row).encode()).hexdigest()[:10], 16)
+        if number > 0.99 * 2**40:
+            break
+    texts = [F.lit(row[0]).alias(first), *(F.lit(None).cast("string").alias(c) for c in others)]
+    got = file_queries._measured({"titles": spark.range(n).select(*texts)})
+    total = (n * number + 2**63) % 2**64 - 2**63
+    assert [tuple(r) for r in got.collect()] == [("titles", n, n, total)]
+    assert got.schema["rows_hash"].dataType.simpleString() == "bigint"
