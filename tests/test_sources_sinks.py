@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import json
+import re
 import time
 
 import pyarrow as pa
@@ -296,3 +297,55 @@ def test_hashes_of_many_rows_do_not_overflow(spark, n):
     total = (n * number + 2**63) % 2**64 - 2**63
     assert [tuple(r) for r in got.collect()] == [("titles", n, n, total)]
     assert got.schema["rows_hash"].dataType.simpleString() == "bigint"
+
+
+_MIXED = "s string, n bigint, i int, x double, b boolean, d date"
+
+
+def _mixed(spark, n, parts):
+    old = F.when(F.col("id") % 9 == 0, F.lit("0001-01-01").cast("date")).otherwise(F.date_add(F.lit("2020-01-01"), F.col("id").cast("int")))
+    rows = spark.range(0, n, 1, parts).select(
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit('Café "\n'), "id")).alias("s"), F.col("id").alias("n"), F.col("id").cast("int").alias("i"),
+        (F.col("id") / 8).alias("x"), (F.col("id") % 2 == 0).alias("b"), F.when(F.col("id") % 5 > 0, old).alias("d"))
+    assert rows.dtypes == spark.createDataFrame([], _MIXED).dtypes
+    return rows
+
+
+def _sorted(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize(("file_format", "codec"), [("parquet", "none"), ("jsonl", "none"), ("jsonl", "gzip")])
+def test_many_small_files_have_no_checksum_files(spark, tmp_path, file_format, codec):
+    """Each costs two processes and a block of the disk, as much as the file itself. Rows and limits are those of Spark's writer."""
+    df, kind = _mixed(spark, 1000, 3), tables_sink.FORMATS[file_format]
+    reader = spark.read.schema(_MIXED).format(kind)
+    for mode, times in (("overwrite", 1), ("append", 2), ("overwrite", 1)):
+        write_table(df, str(tmp_path / "few"), file_format, mode, 30, json_compression=codec, rebalance=False)
+        assert _sorted(reader.load(str(tmp_path / "few"))) == _sorted(df) if times == 1 else True
+        parts = list((tmp_path / "few").glob("part-*"))
+        assert len(parts) == times * 36  # 334 rows a task
+        assert reader.load(str(tmp_path / "few")).count() == times * 1000
+    sizes = reader.load(str(tmp_path / "few")).groupBy(F.input_file_name()).count().select(F.max("count"), F.min("count")).first()
+    assert tuple(sizes) == (30, 3)
+    assert sorted(p.name for p in (tmp_path / "few").iterdir() if not p.name.startswith("part-")) == ["_SUCCESS"]
+    write_table(df, str(tmp_path / "whole"), file_format, json_compression=codec)
+    assert _sorted(reader.load(str(tmp_path / "whole"))) == _sorted(df)
+    names = {re.sub(r"^part-[^.]*", "", p.name) for k in ("few", "whole") for p in (tmp_path / k).glob("part-*")}
+    assert len(names) == 1, names
+    if kind == "parquet":
+        assert spark.read.parquet(str(tmp_path / "few")).schema == spark.read.parquet(str(tmp_path / "whole")).schema
+
+
+def test_small_files_of_an_empty_table_and_of_a_write_that_fails(spark, tmp_path):
+    folder = str(tmp_path / "rights")
+    for file_format in ("jsonl", "parquet"):
+        write_table(spark.createDataFrame([], table_schema("rights")), folder, file_format, max_records_per_file=3)
+    assert spark.read.parquet(folder).schema == table_schema("rights")
+    assert spark.read.parquet(folder).count() == 0
+    write_table(_mixed(spark, 10, 2), folder, max_records_per_file=3)
+    bad = _mixed(spark, 100, 2).withColumn("s", F.when(F.col("n") == 90, F.raise_error(F.lit("broken"))).otherwise(F.col("s")))
+    with pytest.raises(Exception, match="broken"):
+        write_table(bad, folder, max_records_per_file=3)
+    assert spark.read.parquet(folder).count() == 10
+    assert not list((tmp_path / "rights").glob("_staging*"))
