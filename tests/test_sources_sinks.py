@@ -5,6 +5,7 @@ import hashlib
 import json
 import re
 import time
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -349,3 +350,15 @@ def test_small_files_of_an_empty_table_and_of_a_write_that_fails(spark, tmp_path
         write_table(bad, folder, max_records_per_file=3)
     assert spark.read.parquet(folder).count() == 10
     assert not list((tmp_path / "rights").glob("_staging*"))
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_a_run_leaves_no_working_copy(spark, docs, tmp_path, own):
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(base.rglob("*.parquet"))
+    summary = run_extract(docs, str(tmp_path / "out"), work_folder=str(tmp_path / "work") if own else None)
+    assert set(base.rglob("*.parquet")) == before
+    assert not (tmp_path / "work").exists()
+    assert summary.first().processed_files == len(golden.DOCS)
+    assert read_tables(spark, str(tmp_path / "out"))["records"].count() == len(golden.DOCS)
+
